@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chargelake import schemas
 from chargelake.staging import staged
@@ -58,23 +58,16 @@ def charges(spark: SparkSession, sf_dir: str, order_columns: bool = False) -> Da
     return rows if order_columns else rows.drop(*ORDER_COLUMNS)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small hospital document around each charge, covering both variants and every kind of empty level.
-
-    Built row by row, so that no hospital's charges meet in one task, and staged, as documents are read
-    from storage. ``setting`` tells deliveries apart.
-    """
-    row = charges(spark, sf_dir, order_columns=True)
-    hospital, code = F.col("hospital_id").cast("int"), F.col("code").cast("int")
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    kind = hospital % 10
+def _listed(first: Column, second: Column, empty: Column, both: Column, element_type: str) -> Column:
+    """No element, both, or only the first."""
+    chosen = F.when(empty, F.array()).when(both, F.array(first, second)).otherwise(F.array(first))
+    return chosen.cast(f"array<{element_type}>")
 
-    def listed(first, second, empty, both, element_type):
-        """No element, both, or only the first."""
-        chosen = F.when(empty, F.array()).when(both, F.array(first, second)).otherwise(F.array(first))
-        return chosen.cast(f"array<{element_type}>")
 
-    own_payer = F.struct(
+def with_payers(row: DataFrame) -> DataFrame:
+    """Add the payer list of each charge: none, its payer, or its payer and an uninsured price."""
+    line, none = F.col("l_linenumber"), F.lit(None)
+    own = F.struct(
         "payer_name", "plan_name", "billing_class", "methodology",
         F.when(line != 5, F.col("standard_charge_dollar")).alias("standard_charge_dollar"),
         F.when(line == 5, F.col("standard_charge_dollar")).alias("estimated_amount"),
@@ -84,33 +77,47 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("P"), line.cast("string")).alias("pIdx"),
     )
     uninsured = F.struct(
-        F.lit("Uninsured").alias("payer_name"), F.lit(None).alias("plan_name"), F.lit("facility").alias("billing_class"),
+        F.lit("Uninsured").alias("payer_name"), none.alias("plan_name"), F.lit("facility").alias("billing_class"),
         F.lit("Case Rate").alias("methodology"), F.col("discounted_cash").alias("standard_charge_dollar"),
-        F.lit(None).alias("estimated_amount"), F.lit(None).alias("standard_charge_percentage"),
-        F.lit(None).alias("additional_payer_notes"), F.lit(None).alias("standard_charge_algorithm"),
-        F.lit("P0").alias("pIdx"),
-    )
-    payers = listed(own_payer, uninsured, F.col("payer_name").isNull(), line == 4, schemas.PAYER)
-    charge = F.struct(
-        F.col("care_setting").alias("setting"), "gross_charge", "discounted_cash", F.col("min_charge").alias("minimum"),
-        F.col("max_charge").alias("maximum"), payers.alias("payers_information"),
-    )
-    second_charge = F.struct(
-        F.lit("both").alias("setting"), (F.col("gross_charge") * 2).alias("gross_charge"), "discounted_cash",
-        F.col("min_charge").alias("minimum"), F.col("max_charge").alias("maximum"), payers.alias("payers_information"),
-    )
-    codes = listed(
-        F.struct("code", "modifiers", F.col("code_type").alias("type")),
-        F.struct(F.concat(F.lit("N"), F.col("code")).alias("code"), F.lit(None).alias("modifiers"), F.lit("NDC").alias("type")),
-        code % 13 == 0, code % 3 == 0, schemas.CODE,
+        none.alias("estimated_amount"), none.alias("standard_charge_percentage"),
+        none.alias("additional_payer_notes"), none.alias("standard_charge_algorithm"), F.lit("P0").alias("pIdx"),
     )
+    return row.withColumn("payers", _listed(own, uninsured, F.col("payer_name").isNull(), line == 4, schemas.PAYER))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A small hospital document around each charge, covering both variants and every kind of empty level.
+
+    Built row by row, so that no hospital's charges meet in one task, and staged, as documents are read
+    from storage. ``setting`` tells deliveries apart.
+    """
+    row = with_payers(charges(spark, sf_dir, order_columns=True))
+    code, line = F.col("code").cast("int"), F.col("l_linenumber")
+    kind = F.col("hospital_id").cast("int") % 10
+
+    def charge(setting: Column, times: int) -> Column:
+        return F.struct(
+            setting.alias("setting"), (F.col("gross_charge") * times).alias("gross_charge"), "discounted_cash",
+            F.col("min_charge").alias("minimum"), F.col("max_charge").alias("maximum"),
+            F.col("payers").alias("payers_information"),
+        )
+
+    def listed_code(number: Column, modifiers: Column, system: Column) -> Column:
+        return F.struct(number.alias("code"), modifiers.alias("modifiers"), system.alias("type"))
+
     item = F.struct(
         F.col("service_description").alias("description"),
         F.struct(F.lit("ML").alias("type"), F.col("modifiers").alias("unit")).alias("drug_information"),
-        codes.alias("code_information"),
-        listed(charge, second_charge, line == 7, line == 2, schemas.CHARGE).alias("standard_charges"),
+        _listed(
+            listed_code(F.col("code"), F.col("modifiers"), F.col("code_type")),
+            listed_code(F.concat(F.lit("N"), F.col("code")), F.lit(None), F.lit("NDC")),
+            code % 13 == 0, code % 3 == 0, schemas.CODE,
+        ).alias("code_information"),
+        _listed(
+            charge(F.col("care_setting"), 1), charge(F.lit("both"), 2), line == 7, line == 2, schemas.CHARGE
+        ).alias("standard_charges"),
     )
-    items = F.when(order % 11 == 0, F.array()).otherwise(F.array(item)).cast(f"array<{schemas.ITEM}>")
+    items = F.when(F.col("l_orderkey") % 11 == 0, F.array()).otherwise(F.array(item))
     built = row.select(
         F.when(kind % 3 != 0, F.col("hospital_id")).alias("pId"),
         F.when(kind == 3, F.col("hospital_id")).alias("provider_id"),
@@ -125,7 +132,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(kind == 9, F.col("license_number")).alias("hospital_license_number"),
             F.col("license_state").alias("state"),
         ).alias("license_information"),
-        items.alias("standard_charge_information"),
+        items.cast(f"array<{schemas.ITEM}>").alias("standard_charge_information"),
         F.col("care_setting").alias("setting"),
     )
     return staged(built, "documents")
