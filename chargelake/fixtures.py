@@ -53,15 +53,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a scan has fewer splits than there are cores; else as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def charges(spark: SparkSession, sf_dir: str, order_columns: bool = False) -> DataFrame:
-    rows = spark.sql(CHARGES_SQL, **{name: table(spark, sf_dir, name) for name in TABLES})
+    scans = {name: table(spark, sf_dir, name) for name in TABLES}
+    rows = spark.sql(CHARGES_SQL, **(scans | {"lineitem": spread(scans["lineitem"])}))
     return rows if order_columns else rows.drop(*ORDER_COLUMNS)
 
 
 def _listed(first: Column, second: Column, empty: Column, both: Column, element_type: str) -> Column:
     """No element, both, or only the first."""
-    chosen = F.when(empty, F.array()).when(both, F.array(first, second)).otherwise(F.array(first))
-    return chosen.cast(f"array<{element_type}>")
+    length = F.when(empty, 0).when(both, 2).otherwise(1)
+    return F.slice(F.array(first, second), F.lit(1), length).cast(f"array<{element_type}>")
 
 
 def with_payers(row: DataFrame) -> DataFrame:
