@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -64,7 +64,7 @@ def open_array(df: DataFrame, array: str, element: str, keep_empty: bool | Colum
     return df.select(*others, generator.alias(element))
 
 
-def document_header(docs: DataFrame, license_number: Column, extra: Sequence[str] = ()) -> DataFrame:
+def document_header(docs: DataFrame, license_number: Column, extra: Iterable[str] = ()) -> DataFrame:
     return docs.select(
         *extra,
         F.coalesce("pId", "provider_id").alias("hospital_id"),
@@ -151,27 +151,33 @@ def flatten_any_license(docs: DataFrame, known_ids: Mapping[str, str] | DataFram
     return payer_rows(code_charge_rows(headed, False), False, dollar).drop(*schemas.VARIANT_2_ONLY, "payer")
 
 
-def flatten_documents(docs: DataFrame, extra: Sequence[str] = (), rebalance: bool = False) -> DataFrame:
-    """Documents of both variants in one pass, as bronze rows. Documents of neither give no rows.
+def flatten_documents(
+    docs: DataFrame, extra: Sequence[str] = (), rebalance: bool = False, keep_unknown: bool = False
+) -> DataFrame:
+    """Documents of both variants in one pass, as bronze rows.
 
-    ``extra`` names further document columns to carry along.
+    ``extra`` names further document columns to carry along. Documents of neither variant give no rows, or
+    with ``keep_unknown`` one row each that has only header columns; ``document_variant`` tells them apart.
     """
-    tagged = docs.withColumn("_variant", document_variant()).filter("_variant IS NOT NULL")
-    second = F.col("_variant") == 2
+    variant = F.col("document_variant")
+    tagged = docs.withColumn("document_variant", document_variant())
+    if keep_unknown:
+        known_items = F.when(variant.isNotNull(), F.col("standard_charge_information"))
+        tagged = tagged.withColumn("standard_charge_information", known_items)
+        extra = [*extra, "document_variant"]
+    else:
+        tagged = tagged.filter(variant.isNotNull())
+    first, second = variant.eqNullSafe(1), variant.eqNullSafe(2)
     license_number = F.coalesce("license_information.license", "license_information.license_number")
-    headed = document_header(tagged, license_number, [*extra, "_variant"])
-    rows = payer_rows(code_charge_rows(headed, second, rebalance), second)
-    owner = {name: second for name in schemas.VARIANT_2_ONLY} | {name: ~second for name in schemas.VARIANT_1_ONLY}
+    headed = document_header(tagged, license_number, dict.fromkeys([*extra, "document_variant"]))
+    rows = payer_rows(code_charge_rows(headed, ~first, rebalance), ~first)
+    owner = {name: second for name in schemas.VARIANT_2_ONLY} | {name: first for name in schemas.VARIANT_1_ONLY}
     return rows.select(
         *extra,
         *[F.when(owner[name], F.col(name)).alias(name) if name in owner else F.col(name) for name in schemas.BRONZE],
     )
 
 
-def unknown_documents(docs: DataFrame) -> DataFrame:
-    return docs.filter(document_variant().isNull())
-
-
 def align_csv(wide: DataFrame, truncate_cents: bool = False) -> DataFrame:
     """Bronze columns from a wide CSV read as text. Numbers that do not parse give NULL.
 

@@ -43,12 +43,12 @@ def with_coverage(charges: DataFrame) -> DataFrame:
 
 
 def service_facts(charges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Per service: its greatest price rank, its coverage and its number of charges.
+    """Per service: its greatest price rank, its coverage and its number of prices.
 
     Coverage is looked up by name, so charges without a service have none.
     """
     greatest = ranks.groupBy(SERVICE).agg(
-        F.max("price_rank").alias("max_price_rank"), F.sum("priced_rows").alias("service_rows")
+        F.max("price_rank").alias("max_price_rank"), F.count(F.lit(1)).alias("service_prices")
     )
     return greatest.join(payer_coverage(charges), SERVICE, "left")
 
@@ -75,7 +75,7 @@ def score(
         facts = facts.withColumn("max_coverage", F.col("payer_coverage_count"))
     facts = staged(facts, "services")
     priced = staged(
-        lookup_join(ranks, facts, [SERVICE], null_safe=True, weight="service_rows").drop("service_rows"), "prices"
+        lookup_join(ranks, facts, [SERVICE], null_safe=True, weight="service_prices").drop("service_prices"), "prices"
     )
     joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True, weight="priced_rows")
     parts = joined.drop("priced_rows").withColumns({

@@ -9,19 +9,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from chargelake import schemas
 from chargelake.operators import dimensions, quality
 from chargelake.operators.clean import CLEANERS
 from chargelake.operators.enrich import enrich, stamp
-from chargelake.operators.flatten import document_variant, flatten_documents, unknown_documents
+from chargelake.operators.flatten import HEADER, flatten_documents
 from chargelake.sinks.export import Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources.files import files_to_ingest, list_files, scan_documents, with_source
 
 REGISTRY = "ingest_registry"
-REGISTRY_SCHEMA = "source_path string, source_name string, length bigint, run_ts timestamp"
+FILE_SCHEMA = "source_path string, source_name string, source_id string, length bigint"
+REGISTRY_SCHEMA = FILE_SCHEMA + ", run_ts timestamp"
 KEYED_DIMENSIONS = {
     "dim_payer": ("payer_id bigint, payer_name string", dimensions.payer_additions),
     "dim_plan": ("plan_id bigint, plan_name string", dimensions.plan_additions),
@@ -29,18 +30,24 @@ KEYED_DIMENSIONS = {
 ATTRIBUTE_DIMENSIONS = {"dim_hospital": schemas.DIM_HOSPITAL, "dim_procedure": schemas.DIM_PROCEDURE}
 
 
-def write_bronze(lake: Lakehouse, docs: DataFrame, spread: bool) -> int:
-    """Flatten documents that carry ``source_name`` into their bronze partitions.
+def write_bronze(lake: Lakehouse, docs: DataFrame, spread: bool) -> None:
+    """Flatten documents that carry ``source_id`` into their bronze partitions, in one pass.
 
-    Returns how many documents were of no known variant; they are counted in the same pass.
+    A document of no known variant leaves one row with its header, see ``rejected_documents``.
     """
-    seen = Observation()
-    unknown = F.count_if(document_variant().isNull()).alias("unknown")
-    rows = flatten_documents(docs.observe(seen, unknown), ["source_name"], rebalance=spread)
+    rows = flatten_documents(docs, ["source_id"], rebalance=spread, keep_unknown=True)
     if spread:
-        rows = rows.hint("rebalance", "source_name")
-    lake.overwrite_partitions("bronze_charges", rows, ["source_name"])
-    return seen.get.get("unknown", 0)
+        rows = rows.hint("rebalance", "source_id")
+    lake.overwrite_partitions("bronze_charges", rows, ["source_id"])
+
+
+def bronze_charges(lake: Lakehouse) -> DataFrame:
+    return lake.read("bronze_charges").filter("document_variant IS NOT NULL").drop("document_variant")
+
+
+def rejected_documents(lake: Lakehouse) -> DataFrame:
+    """Headers of the documents that were of no known variant."""
+    return lake.read("bronze_charges").filter("document_variant IS NULL").select("source_id", *HEADER)
 
 
 def ingest(
@@ -51,49 +58,50 @@ def ingest(
     on_unknown: str = "reject",
     multi_line: bool = True,
 ) -> int:
-    """Bring files that were not ingested before into bronze; returns their number.
+    """Bring files whose name was not ingested before into bronze; returns their number.
 
-    ``on_known`` and ``on_unknown`` may be "error": then a file ingested before, or a document of no known
-    variant, stops the run. Rejected documents are kept in a table of their own.
+    ``on_known="error"`` stops the run when one was; two new files of one name always do.
+    ``on_unknown="error"`` stops it for a document of no known variant. Jobs use only what a finished run
+    has recorded.
     """
     spark = lake.spark
     listing = list_files(spark, paths)
     registry = lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA)
     # Paths and sizes of new files only: what Spark's own file listing holds on the driver as well.
-    new = files_to_ingest(listing, registry).select("source_path", "source_name", "length").collect()
+    new = files_to_ingest(listing, registry).select("source_path", "source_name", "source_id", "length").collect()
     if on_known == "error" and len(new) < listing.count():
         raise ValueError("some of the files were ingested before")
     if not new:
         return 0
+    if len({row.source_name for row in new}) < len(new):
+        raise ValueError("two of the new files have the same name")
 
     # Flattening needs no shuffle unless one file outweighs a task's fair share.
     sizes = [row.length for row in new]
     spread = max(sizes) * spark.sparkContext.defaultParallelism > sum(sizes)
-    new_paths = [row.source_path for row in new]
-    docs = with_source(scan_documents(spark, new_paths, multi_line))
-    if write_bronze(lake, docs, spread):
-        rejected = unknown_documents(docs).drop("source_path")
-        if on_unknown == "error":
-            example = rejected.select("source_name").first()
-            raise ValueError(f"{example.source_name} holds a document of no known variant")
-        lake.overwrite_partitions("rejected_documents", rejected, ["source_name"])
-    taken = spark.createDataFrame(new, REGISTRY_SCHEMA.rsplit(",", 1)[0])
+    docs = with_source(scan_documents(spark, [row.source_path for row in new], multi_line))
+    write_bronze(lake, docs, spread)
+    taken = spark.createDataFrame(new, FILE_SCHEMA)
+    if on_unknown == "error":
+        unknown = rejected_documents(lake).join(taken, "source_id", "left_semi").first()
+        if unknown is not None:
+            raise ValueError(f"{unknown.source_id} holds a document of no known variant")
     lake.append(REGISTRY, stamp(taken, "run_ts", run_ts))
     return len(new)
 
 
-def rows_of_run(lake: Lakehouse, table: str, run_ts: datetime | Column) -> DataFrame:
-    """The partitions of the sources that a run ingested; others are pruned."""
+def rows_of_run(lake: Lakehouse, rows: DataFrame, run_ts: datetime | Column) -> DataFrame:
+    """Rows from the sources that a run ingested; partitions of others are pruned."""
     mark = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
-    sources = lake.read(REGISTRY).filter(F.col("run_ts") == mark).select("source_name").distinct()
-    return lake.read(table).join(sources, "source_name", "left_semi")
+    sources = lake.read(REGISTRY).filter(F.col("run_ts") == mark).select("source_id").distinct()
+    return rows.join(sources, "source_id", "left_semi")
 
 
 def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") -> None:
-    """Clean and enrich a run's bronze rows into silver."""
-    cleaned = CLEANERS[mode](rows_of_run(lake, "bronze_charges", run_ts))
-    silver = enrich(cleaned, run_ts).hint("rebalance", "source_name")
-    lake.overwrite_partitions("silver_charges", silver, ["source_name"])
+    """Clean and enrich a run's bronze rows into silver. Rows of different files are never duplicates."""
+    cleaned = CLEANERS[mode](rows_of_run(lake, bronze_charges(lake), run_ts))
+    silver = enrich(cleaned, run_ts).hint("rebalance", "source_id")
+    lake.overwrite_partitions("silver_charges", silver, ["source_id"])
 
 
 def build_gold(lake: Lakehouse, silver: DataFrame, run_ts: datetime | Column) -> None:
@@ -120,7 +128,7 @@ def run_all(
     files = ingest(lake, paths, run_ts)
     if files:
         refine(lake, run_ts, mode)
-        build_gold(lake, rows_of_run(lake, "silver_charges", run_ts), run_ts)
+        build_gold(lake, rows_of_run(lake, lake.read("silver_charges"), run_ts), run_ts)
     if target is not None:
         export_gold(lake, target)
     return files

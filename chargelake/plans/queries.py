@@ -165,7 +165,7 @@ def ingest_new_only(spark, sf_dir):
     lake = _lake(spark, "pickup")
     jobs.ingest(lake, first, F.lit("2025-02-01").cast("timestamp"))
     jobs.ingest(lake, [first, second], _run_ts(local=False))
-    return jobs.rows_of_run(lake, "bronze_charges", _run_ts(local=False)).drop("source_name")
+    return jobs.rows_of_run(lake, jobs.bronze_charges(lake), _run_ts(local=False)).drop("source_id")
 
 
 # Sinks
@@ -652,7 +652,7 @@ def plan_metadata(spark, sf_dir):
 def ingest_bronze(spark, sf_dir):
     lake = _lake(spark, "bronze")
     jobs.ingest(lake, _all_documents(spark, sf_dir), _run_ts(local=False))
-    return lake.read("bronze_charges").drop("source_name")
+    return jobs.bronze_charges(lake).drop("source_id")
 
 
 @query
@@ -660,7 +660,7 @@ def refine_silver(spark, sf_dir):
     lake = _lake(spark, "refine")
     jobs.ingest(lake, _delivered(spark, sf_dir, "inpatient", "outpatient"), _run_ts(local=False))
     jobs.refine(lake, _run_ts(local=False))
-    return _without_zone(lake.read("silver_charges").drop("source_name"))
+    return _without_zone(lake.read("silver_charges").drop("source_id"))
 
 
 @query
@@ -694,4 +694,4 @@ def stream_pickup(spark, sf_dir):
     checkpoint = scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
         start_pickup(lake, folder, checkpoint).awaitTermination()
-    return lake.read("bronze_charges").drop("source_name")
+    return jobs.bronze_charges(lake).drop("source_id")

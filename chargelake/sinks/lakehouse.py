@@ -44,7 +44,8 @@ class Lakehouse:
             return
         writer = df.write.format(self.table_format).mode("overwrite")
         if partition_by:
-            writer = writer.partitionBy(*partition_by)
+            # Kept with the table: later overwrites touch only the partitions they hold.
+            writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.full_name(table))
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -66,8 +67,7 @@ class Lakehouse:
         elif self._v2:
             df.writeTo(self.full_name(table)).overwritePartitions()
         else:
-            writer = self._in_table_order(table, df).write.mode("overwrite")
-            writer.option("partitionOverwriteMode", "dynamic").insertInto(self.full_name(table))
+            self._in_table_order(table, df).write.insertInto(self.full_name(table), overwrite=True)
 
     def drop(self, tables: Sequence[str]) -> None:
         for table in tables:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chargelake import schemas
 from chargelake.functions.columns import file_stem
@@ -19,10 +19,16 @@ def scan_documents(spark: SparkSession, paths: str | Sequence[str], multi_line:
     return spark.read.schema(schemas.DOCUMENT).option("multiLine", multi_line).json(paths)
 
 
+def _source_columns(path: Column) -> list[Column]:
+    """Path, table-style name and an id of a file; the id differs for files of the same name."""
+    name = file_stem(path)
+    source_id = F.concat_ws("-", name, F.lower(F.hex(F.xxhash64(path))))
+    return [path.alias("source_path"), name.alias("source_name"), source_id.alias("source_id")]
+
+
 def with_source(df: DataFrame) -> DataFrame:
-    """Add the path each row was read from and its table-style name. Directly on a file scan only."""
-    path = F.col("_metadata.file_path")
-    return df.select("*", path.alias("source_path"), file_stem(path).alias("source_name"))
+    """Add the file each row was read from. Directly on a file scan only."""
+    return df.select("*", *_source_columns(F.url_decode("_metadata.file_path")))
 
 
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
@@ -37,12 +43,11 @@ def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Path, table-style name, length and time of each file; contents are not read."""
+    """Source columns and length of each file; contents are not read."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    return listed.select(
-        F.col("path").alias("source_path"), file_stem(F.col("path")).alias("source_name"), "length", "modificationTime"
-    )
+    return listed.select(*_source_columns(F.col("path")), "length")
 
 
 def files_to_ingest(listing: DataFrame, registry: DataFrame) -> DataFrame:
-    return listing.join(registry.select("source_path"), "source_path", "left_anti")
+    """Files of a name that was not ingested before."""
+    return listing.join(registry.select("source_name"), "source_name", "left_anti")

@@ -14,7 +14,7 @@ from chargelake.sources.files import with_source
 def start_pickup(
     lake: Lakehouse, folder: str, checkpoint: str, files_per_batch: int = 1000, spread: bool = True
 ) -> StreamingQuery:
-    """Ingest the files that are new in a folder into bronze, then stop.
+    """Ingest the files whose names are new in a folder into bronze, then stop.
 
     ``checkpoint`` must lie in shared storage. A batch repeated after a failure replaces the partitions
     of its own files, so bronze holds each file once.
@@ -23,6 +23,7 @@ def start_pickup(
         lake.spark.readStream.schema(schemas.DOCUMENT)
         .option("multiLine", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("fileNameOnly", True)
         .json(folder)
     )
 
