@@ -46,9 +46,14 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich(clean.clean_strict(_charges(spark, sf_dir)), _run_ts())
 
 
-def _stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver as a table, for operators that read it more than once."""
-    return staged(_silver(spark, sf_dir), "silver")
+def _stored_silver(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """Silver, or some columns of it, as a table for operators that read it more than once."""
+    silver = _silver(spark, sf_dir)
+    return staged(silver.select(*names) if names else silver, "silver")
+
+
+SERVICE_KEY = ("hospital_id", "code", "service_description")
+SCORE_INPUT = (*SERVICE_KEY, "payer_name", "plan_name", "standard_charge_dollar", "has_brand_indicator")
 
 
 def _lake(spark: SparkSession, label: str) -> Lakehouse:
@@ -174,8 +179,8 @@ def ingest_new_only(spark, sf_dir):
 @query
 def sink_parquet_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "sink")
-    for rows in (_charges(spark, sf_dir).limit(0), _charges(spark, sf_dir)):
-        rows.write.mode("overwrite").parquet(folder)
+    for _ in range(2):
+        _charges(spark, sf_dir).write.mode("overwrite").parquet(folder)
     return files.scan_parquet(spark, folder)
 
 
@@ -455,14 +460,14 @@ def enrich_silver(spark, sf_dir):
 
 @query
 def anti_new_members(spark, sf_dir):
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, "payer_name", "payer_category")
     known = silver.filter(F.col("payer_category").isin("Commercial", "Other")).select("payer_name").distinct()
     return new_members(silver.select("payer_name").distinct(), known, ["payer_name"], null_safe=False)
 
 
 @query
 def unmatched_plans(spark, sf_dir):
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, *schemas.PLAN_METADATA, "pricing_model")
     known = silver.filter((F.col("pricing_model") == "Case Rate") & (F.col("plan_type") != "Other"))
     return quality.unmatched_plans(quality.plan_metadata(silver), known)
 
@@ -479,21 +484,21 @@ def _plans(silver: DataFrame) -> DataFrame:
 
 @query
 def fact_payer_lookup(spark, sf_dir):
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, "hospital_id", "code", "payer_name", "gross_charge")
     keyed = dimensions.with_payer_key(silver, _payers(silver))
     return keyed.select("hospital_id", "code", "payer_name", "gross_charge", "payer_id")
 
 
 @query
 def fact_plan_lookup(spark, sf_dir):
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, "hospital_id", "code", "plan_name", "gross_charge")
     keyed = dimensions.with_plan_key(silver, _plans(silver))
     return keyed.select("hospital_id", "code", "plan_name", "gross_charge", "plan_id")
 
 
 @query
 def coverage_join(spark, sf_dir):
-    covered = score.with_coverage(_stored_silver(spark, sf_dir))
+    covered = score.with_coverage(_stored_silver(spark, sf_dir, *SERVICE_KEY, "gross_charge", "payer_name"))
     return covered.select("hospital_id", "code", "service_description", "gross_charge", "payer_coverage_count")
 
 
@@ -523,12 +528,10 @@ def distinct_subset(spark, sf_dir):
 
 # Windows and scores
 
-SERVICE_KEY = ("hospital_id", "code", "service_description")
-
 
 @query
 def price_rank(spark, sf_dir):
-    ranked = score.with_price_rank(_stored_silver(spark, sf_dir))
+    ranked = score.with_price_rank(_stored_silver(spark, sf_dir, *SERVICE_KEY, "standard_charge_dollar"))
     return ranked.select(*SERVICE_KEY, "standard_charge_dollar", "price_rank")
 
 
@@ -540,7 +543,7 @@ def price_rank_with_nulls(spark, sf_dir):
 
 @query
 def service_max(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir))
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
     return scored.select("service_description", "max_price_rank", "max_coverage").distinct()
 
 
@@ -552,29 +555,29 @@ def surrogate_keys(spark, sf_dir):
 
 @query
 def score_price(spark, sf_dir):
-    return score.score(_stored_silver(spark, sf_dir)).select(*SERVICE_KEY, "price_rank", "max_price_rank", "score_price")
+    return score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)).select(*SERVICE_KEY, "price_rank", "max_price_rank", "score_price")
 
 
 @query
 def score_coverage(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir))
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
     return scored.select(*SERVICE_KEY, "payer_coverage_count", "max_coverage", "score_coverage")
 
 
 @query
 def score_coverage_global(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir), coverage_scope="global")
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), coverage_scope="global")
     return scored.select(*SERVICE_KEY, "payer_coverage_count", "max_coverage", "score_coverage")
 
 
 @query
 def score_brand(spark, sf_dir):
-    return score.score(_stored_silver(spark, sf_dir)).select(*SERVICE_KEY, "has_brand_indicator", "score_brand")
+    return score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)).select(*SERVICE_KEY, "has_brand_indicator", "score_brand")
 
 
 @query
 def final_score(spark, sf_dir):
-    return score.score(_stored_silver(spark, sf_dir)).select(
+    return score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)).select(
         *SERVICE_KEY, "payer_name", "plan_name", "standard_charge_dollar", "price_rank", "payer_coverage_count",
         "score_price", "score_coverage", "score_brand", "final_score",
     )
@@ -584,7 +587,7 @@ def final_score(spark, sf_dir):
 
 
 def _grown_payers(spark: SparkSession, sf_dir: str, first_category: str) -> DataFrame:
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, "payer_name", "payer_category")
     first = staged(_payers(silver.filter(F.col("payer_category") == first_category)), "payers")
     return dimensions.merged_dimension(first, dimensions.payer_additions(silver, first))
 
@@ -601,13 +604,13 @@ def dim_payer(spark, sf_dir):
 
 @query
 def dim_plan(spark, sf_dir):
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, "plan_name", "plan_type")
     first = staged(_plans(silver.filter(F.col("plan_type") == "HMO")), "plans")
     return dimensions.merged_dimension(first, dimensions.plan_additions(silver, first))
 
 
 def _grown_attributes(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
-    silver = _stored_silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir, *dict.fromkeys([*names, "care_setting"]))
     inpatient = silver.filter(F.col("care_setting") == "inpatient")
     first = staged(dimensions.attribute_additions(inpatient, None, names), "members")
     return dimensions.merged_dimension(first, dimensions.attribute_additions(silver, first, names))
