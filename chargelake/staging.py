@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 BROADCAST_BYTES = 32 << 20
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
+_prepared: set[str] = set()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Only a local session may go without that setting; it then uses a folder that ends with the process.
+    Only a local session may go without that setting. What an application puts there is removed when
+    it ends.
     """
     global _local_scratch
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -25,7 +27,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if _local_scratch is None:
             _local_scratch = tempfile.TemporaryDirectory(prefix="chargelake-")
         root = _local_scratch.name
-    return f"{root.rstrip('/')}/chargelake/{spark.sparkContext.applicationId}/{label}-{uuid4().hex}"
+    folder = f"{root.rstrip('/')}/chargelake/{spark.sparkContext.applicationId}"
+    if folder not in _prepared:
+        _prepare(spark, folder)
+        _prepared.add(folder)
+    return f"{folder}/{label}-{uuid4().hex}"
+
+
+def _prepare(spark: SparkSession, folder: str) -> None:
+    """Create the application's folder and have its file system delete it at the end."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

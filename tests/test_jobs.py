@@ -135,12 +135,16 @@ def test_jdbc_options_carry_no_fixed_login():
     assert "password" not in options
 
 
-def test_scratch_follows_the_cluster_setting():
+def test_scratch_follows_the_cluster_setting(monkeypatch):
     def session(folder, master):
         context = SimpleNamespace(master=master, applicationId="app")
         return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: folder), sparkContext=context)
 
-    assert staging.scratch_path(session("s3://shared/", "yarn"), "x").startswith("s3://shared/chargelake/app/x-")
+    prepared = []
+    monkeypatch.setattr(staging, "_prepare", lambda _, folder: prepared.append(folder))
+    for _ in range(2):
+        assert staging.scratch_path(session("s3://shared/", "yarn"), "x").startswith("s3://shared/chargelake/app/x-")
+    assert prepared == ["s3://shared/chargelake/app"]
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.scratch_path(session(None, "yarn"), "x")
 
