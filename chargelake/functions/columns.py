@@ -18,9 +18,11 @@ def iso_date(name: str) -> Column:
 
 
 def file_stem(name: Column) -> Column:
-    """Table-style name of a file: base name without .json, lower case, blanks and dashes as underscores."""
+    """Table-style name of a file: base name without .json or .csv, lower case, blanks and dashes as underscores."""
     base = F.substring_index(name, "/", -1)
-    return F.translate(F.lower(F.replace(base, F.lit(".json"), F.lit(""))), " -", "__")
+    for suffix in (".json", ".csv"):
+        base = F.replace(base, F.lit(suffix), F.lit(""))
+    return F.translate(F.lower(base), " -", "__")
 
 
 def charge_bucket(amount: Column) -> Column:

@@ -178,7 +178,7 @@ def flatten_documents(
     )
 
 
-def align_csv(wide: DataFrame, truncate_cents: bool = False) -> DataFrame:
+def align_csv(wide: DataFrame, truncate_cents: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Bronze columns from a wide CSV read as text. Numbers that do not parse give NULL.
 
     ``truncate_cents`` cuts negotiated, least and greatest amounts to whole dollars.
@@ -193,4 +193,4 @@ def align_csv(wide: DataFrame, truncate_cents: bool = False) -> DataFrame:
         if truncate_cents and name in cut:
             value = value.try_cast("bigint").cast("double")
         columns.append(value.alias(name))
-    return wide.select(*columns)
+    return wide.select(*extra, *columns)

@@ -15,12 +15,13 @@ from chargelake import schemas
 from chargelake.operators import dimensions, quality
 from chargelake.operators.clean import CLEANERS
 from chargelake.operators.enrich import enrich, stamp
-from chargelake.operators.flatten import HEADER, flatten_documents
+from chargelake.operators.flatten import HEADER, align_csv, flatten_documents
 from chargelake.sinks.export import Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.sources.files import files_to_ingest, list_files, scan_documents, with_source
+from chargelake.sources.files import files_to_ingest, list_files, scan_csv, scan_documents, with_source
 
 REGISTRY = "ingest_registry"
+CSV_VARIANT = 3
 FILE_SCHEMA = "source_path string, source_name string, source_id string, length bigint"
 REGISTRY_SCHEMA = FILE_SCHEMA + ", run_ts timestamp"
 KEYED_DIMENSIONS = {
@@ -35,10 +36,17 @@ def write_bronze(lake: Lakehouse, docs: DataFrame, spread: bool) -> None:
 
     A document of no known variant leaves one row with its header, see ``rejected_documents``.
     """
-    rows = flatten_documents(docs, ["source_id"], rebalance=spread, keep_unknown=True)
-    if spread:
-        rows = rows.hint("rebalance", "source_id")
-    lake.overwrite_partitions("bronze_charges", rows, ["source_id"])
+    _write_sources(lake, flatten_documents(docs, ["source_id"], rebalance=spread, keep_unknown=True), spread)
+
+
+def write_bronze_csv(lake: Lakehouse, wide: DataFrame, spread: bool) -> None:
+    """Align wide CSV rows that carry ``source_id`` into their bronze partitions."""
+    rows = align_csv(wide, extra=["source_id", "document_variant"])
+    _write_sources(lake, rows, spread)
+
+
+def _write_sources(lake: Lakehouse, rows: DataFrame, spread: bool) -> None:
+    lake.overwrite_partitions("bronze_charges", rows.hint("rebalance", "source_id") if spread else rows, ["source_id"])
 
 
 def bronze_charges(lake: Lakehouse) -> DataFrame:
@@ -57,9 +65,11 @@ def ingest(
     on_known: str = "skip",
     on_unknown: str = "reject",
     multi_line: bool = True,
+    file_format: str = "json",
 ) -> int:
     """Bring files whose name was not ingested before into bronze; returns their number.
 
+    The files hold hospital documents, or with ``file_format="csv"`` wide rows under one common header.
     ``on_known="error"`` stops the run when one was; two new files of one name always do.
     ``on_unknown="error"`` stops it for a document of no known variant. Jobs use only what a finished run
     has recorded.
@@ -79,8 +89,13 @@ def ingest(
     # Flattening needs no shuffle unless one file outweighs a task's fair share.
     sizes = [row.length for row in new]
     spread = max(sizes) * spark.sparkContext.defaultParallelism > sum(sizes)
-    docs = with_source(scan_documents(spark, [row.source_path for row in new], multi_line))
-    write_bronze(lake, docs, spread)
+    new_paths = [row.source_path for row in new]
+    if file_format == "csv":
+        wide = with_source(scan_csv(spark, new_paths)).withColumn("document_variant", F.lit(CSV_VARIANT))
+        # A CSV file can be split, so its rows lie in several tasks and are gathered by source to write them.
+        write_bronze_csv(lake, wide, spread=True)
+    else:
+        write_bronze(lake, with_source(scan_documents(spark, new_paths, multi_line)), spread)
     taken = spark.createDataFrame(new, FILE_SCHEMA)
     if on_unknown == "error":
         unknown = rejected_documents(lake).join(taken, "source_id", "left_semi").first()

@@ -261,12 +261,14 @@ def _two_step_keys(name: str, key: str, first: str, keep_null: bool) -> str:
             FROM (SELECT DISTINCT {name} FROM silver WHERE {first} AND {known})"""})
 
 
+_CSV_ROWS = _charges("""SELECT * REPLACE (CAST(hospital_id AS VARCHAR) AS hospital_id), NULL AS hospital_location,
+    NULL AS drug_type, NULL AS drug_unit, NULL AS additional_payer_notes, NULL AS standard_charge_algorithm,
+    NULL AS payer_id FROM charges""")
+
 ORACLES: dict[str, str] = {
     # sources
     "scan_json_nested": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
-    "scan_csv": _charges("""SELECT * REPLACE (CAST(hospital_id AS VARCHAR) AS hospital_id), NULL AS hospital_location,
-        NULL AS drug_type, NULL AS drug_unit, NULL AS additional_payer_notes, NULL AS standard_charge_algorithm,
-        NULL AS payer_id FROM charges"""),
+    "scan_csv": _CSV_ROWS,
     "scan_parquet": _charges("SELECT * FROM charges"),
     "scan_table": _charges("SELECT * FROM charges"),
     "incremental_scan": f"""WITH stamped AS ({_STAMPED_LINES}) SELECT l_orderkey, l_partkey, gold_ingestion_ts FROM stamped
@@ -412,6 +414,7 @@ ORACLES: dict[str, str] = {
     "plan_metadata": _silver("SELECT DISTINCT payer_name, plan_name, payer_category, plan_type FROM silver"),
     # jobs
     "ingest_bronze": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
+    "ingest_csv": _CSV_ROWS,
     "refine_silver": _refined("SELECT * FROM silver"),
     "build_gold": using("dim_payer", "dim_plan", then=_FACT_FROM_SILVER),
     "export_gold_twice": _refined("""SELECT hospital_id, payer_name, plan_name, code, gross_charge, standard_charge_dollar,

@@ -658,6 +658,14 @@ def ingest_bronze(spark, sf_dir):
     return jobs.bronze_charges(lake).drop("source_id")
 
 
+@query
+def ingest_csv(spark, sf_dir):
+    lake, folder = _lake(spark, "csv"), scratch_path(spark, "csv-files")
+    fixtures.write_csv(_charges(spark, sf_dir), folder)
+    jobs.ingest(lake, folder, _run_ts(local=False), file_format="csv")
+    return jobs.bronze_charges(lake).drop("source_id")
+
+
 @query
 def refine_silver(spark, sf_dir):
     lake = _lake(spark, "refine")

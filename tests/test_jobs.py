@@ -94,6 +94,16 @@ def test_unknown_documents_are_kept_aside(lake, deliver):
         jobs.ingest(lake, deliver("b.json", UNKNOWN), SECOND, on_unknown="error")
 
 
+def test_documents_and_csv_share_bronze(lake, deliver, tmp_path):
+    jobs.ingest(lake, deliver("a.json", TYPE_1), FIRST)
+    (tmp_path / "Vernon Memorial.csv").write_text("description,provider_id,standard_charge | gross\nKnee,9,12.5\nHip,9,\n")
+    assert jobs.ingest(lake, str(tmp_path / "Vernon Memorial.csv"), SECOND, file_format="csv") == 1
+    added = jobs.rows_of_run(lake, jobs.bronze_charges(lake), SECOND)
+    assert sorted((r.service_description, r.gross_charge) for r in added.collect()) == [("Hip", None), ("Knee", 12.5)]
+    assert jobs.bronze_charges(lake).count() == 6 and jobs.rejected_documents(lake).isEmpty()
+    assert {r.source_name for r in lake.read(jobs.REGISTRY).collect()} == {"a", "vernon_memorial"}
+
+
 def test_stream_takes_each_file_once(lake, deliver, tmp_path):
     def pick_up():
         start_pickup(lake, str(tmp_path / "in"), str(tmp_path / "checkpoint")).awaitTermination()
