@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from chargelake.operators.lookup import lookup_join
 from chargelake.operators.ordering import running_total
@@ -10,6 +10,7 @@ from chargelake.staging import staged
 
 SERVICE = "service_description"
 PRICE = "standard_charge_dollar"
+ROWS_IN_ONE_TASK = 1_000_000
 
 # Weights of the score's parts.
 WEIGHTS = {"score_price": 0.5, "score_coverage": 0.3, "score_brand": 0.2}
@@ -27,7 +28,20 @@ def price_ranks(charges: DataFrame) -> DataFrame:
     return summed.select(SERVICE, PRICE, rank.alias("price_rank"), "priced_rows")
 
 
-def with_price_rank(charges: DataFrame) -> DataFrame:
+def sorts_in_one_task(charges: DataFrame, limit: int) -> bool:
+    """Whether the largest service has few enough charges to be sorted by a single task."""
+    largest = charges.groupBy(SERVICE).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return (largest or 0) <= limit
+
+
+def rank_by_window(charges: DataFrame) -> DataFrame:
+    cheapest_first = Window.partitionBy(SERVICE).orderBy(PRICE)
+    return charges.withColumn("price_rank", F.rank().over(cheapest_first).cast("bigint"))
+
+
+def with_price_rank(charges: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
+    if sorts_in_one_task(charges, rows_in_one_task):
+        return rank_by_window(charges)
     ranks = staged(price_ranks(charges), "ranks")
     return lookup_join(charges, ranks, [SERVICE, PRICE], null_safe=True, weight="priced_rows").drop("priced_rows")
 
@@ -53,32 +67,54 @@ def service_facts(charges: DataFrame, ranks: DataFrame) -> DataFrame:
     return greatest.join(payer_coverage(charges), SERVICE, "left")
 
 
+def describe_by_windows(charges: DataFrame) -> DataFrame:
+    """Rank, greatest rank and coverage from one shuffle; each service is held by one task.
+
+    Payers are counted by their place in name order, which adds two numbers to a row and not a set of names.
+    """
+    service = Window.partitionBy(SERVICE)
+    placed = rank_by_window(charges).withColumn("_place", F.dense_rank().over(service.orderBy("payer_name")))
+    unnamed = F.max(F.isnull("payer_name").cast("int")).over(service)
+    payers = (F.max("_place").over(service) - unnamed).cast("bigint")
+    return placed.select(
+        *charges.columns,
+        "price_rank",
+        F.max("price_rank").over(service).alias("max_price_rank"),
+        F.when(F.col(SERVICE).isNotNull(), payers).alias("payer_coverage_count"),
+    )
+
+
+def describe_by_counts(charges: DataFrame) -> DataFrame:
+    """The same from counts per price. All facts about a price are gathered before the one join to the
+    charges, so a service of any size is spread over many tasks."""
+    ranks = staged(price_ranks(charges), "ranks")
+    facts = staged(service_facts(charges, ranks), "services")
+    priced = lookup_join(ranks, facts, [SERVICE], null_safe=True, weight="service_prices").drop("service_prices")
+    priced = staged(priced, "prices")
+    joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True, weight="priced_rows")
+    return joined.drop("priced_rows")
+
+
 def score(
     charges: DataFrame,
     weights: dict[str, float] = WEIGHTS,
     coverage_scope: str = "service",
+    rows_in_one_task: int = ROWS_IN_ONE_TASK,
 ) -> DataFrame:
     """Add ranks, coverage, partial scores and ``final_score`` to each charge.
 
     Coverage is measured against the best of its own service, which makes that part 1 for every service
     with a payer; ``coverage_scope="global"`` measures it against the best of all services.
 
-    ``charges`` is read three times, twice for two columns only, so it should be a table or staged. All
-    facts about a price are gathered before the one join to the charges.
+    Windows do the work while no service has more than ``rows_in_one_task`` charges, counts per price
+    beyond. ``charges`` is read more than once, mostly for two columns, so it should be a table or staged.
     """
-    ranks = staged(price_ranks(charges), "ranks")
-    facts = service_facts(charges, ranks)
+    fits = sorts_in_one_task(charges, rows_in_one_task)
+    described = describe_by_windows(charges) if fits else describe_by_counts(charges)
+    best = F.col("payer_coverage_count")
     if coverage_scope == "global":
-        facts = staged(facts, "services")
-        facts = facts.withColumn("max_coverage", facts.agg(F.max("payer_coverage_count")).scalar())
-    else:
-        facts = facts.withColumn("max_coverage", F.col("payer_coverage_count"))
-    facts = staged(facts, "services")
-    priced = staged(
-        lookup_join(ranks, facts, [SERVICE], null_safe=True, weight="service_prices").drop("service_prices"), "prices"
-    )
-    joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True, weight="priced_rows")
-    parts = joined.drop("priced_rows").withColumns({
+        best = F.lit(payer_coverage(charges).agg(F.max("payer_coverage_count")).first()[0]).cast("bigint")
+    parts = described.withColumn("max_coverage", best).withColumns({
         "score_price": F.try_divide(F.col("max_price_rank") - F.col("price_rank"), F.col("max_price_rank")),
         "score_coverage": F.try_divide(F.col("payer_coverage_count"), F.col("max_coverage")),
         "score_brand": F.col("has_brand_indicator").cast("double"),

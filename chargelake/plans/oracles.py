@@ -397,6 +397,7 @@ ORACLES: dict[str, str] = {
         max(payer_coverage_count) OVER () AS max_coverage,
         CAST(payer_coverage_count AS DOUBLE) / max(payer_coverage_count) OVER () AS score_coverage FROM parts"""),
     "score_brand": _scored(f"{_SERVICE_KEY}, has_brand_indicator, score_brand"),
+    "final_score_by_counts": _scored(f"{_SERVICE_KEY}, payer_name, price_rank, max_price_rank, final_score"),
     "final_score": _scored("""hospital_id, code, service_description, payer_name, plan_name, standard_charge_dollar,
         price_rank, payer_coverage_count, score_price, score_coverage, score_brand, final_score"""),
     # star schema

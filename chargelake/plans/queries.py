@@ -538,12 +538,12 @@ def price_rank(spark, sf_dir):
 @query
 def price_rank_with_nulls(spark, sf_dir):
     rows = _charges(spark, sf_dir).select(*SERVICE_KEY, "standard_charge_dollar")
-    return score.with_price_rank(staged(rows, "charges"))
+    return score.with_price_rank(staged(rows, "charges"), rows_in_one_task=0)
 
 
 @query
 def service_max(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
     return scored.select("service_description", "max_price_rank", "max_coverage").distinct()
 
 
@@ -560,7 +560,7 @@ def score_price(spark, sf_dir):
 
 @query
 def score_coverage(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
     return scored.select(*SERVICE_KEY, "payer_coverage_count", "max_coverage", "score_coverage")
 
 
@@ -575,6 +575,13 @@ def score_brand(spark, sf_dir):
     return score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)).select(*SERVICE_KEY, "has_brand_indicator", "score_brand")
 
 
+@query
+def final_score_by_counts(spark, sf_dir):
+    """As ``final_score``, the way it is done when a service is too large for one task."""
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
+    return scored.select(*SERVICE_KEY, "payer_name", "price_rank", "max_price_rank", "final_score")
+
+
 @query
 def final_score(spark, sf_dir):
     return score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)).select(

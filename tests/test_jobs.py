@@ -170,6 +170,6 @@ def test_ranking_reads_only_its_columns(spark, tmp_path):
         F.lit("s").alias("service_description"), F.col("id").cast("double").alias("standard_charge_dollar"),
         F.lit("unused").alias("other"))
     wide.write.parquet(str(tmp_path / "wide"))
-    ranked = with_price_rank(spark.read.parquet(str(tmp_path / "wide"))).select("price_rank")
+    ranked = with_price_rank(spark.read.parquet(str(tmp_path / "wide")), rows_in_one_task=0).select("price_rank")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "other" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan

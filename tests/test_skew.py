@@ -95,8 +95,13 @@ def test_score_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
         .join(coverage, "service_description", "left").withColumn("m", F.max("r").over(by_service))
         .select("id", "r", "m", "covered")
     )
-    small = score.score(charges).select("id", "price_rank", "max_price_rank", "payer_coverage_count", "final_score")
+    shown = ["id", "price_rank", "max_price_rank", "payer_coverage_count", "final_score"]
+    windowed = score.score(charges).select(*shown)
+    small = score.score(charges, rows_in_one_task=100).select(*shown)
     monkeypatch.setattr(score, "lookup_join", lambda *a, **k: lookup_join(*a, **k, broadcast_bytes=0, heavy_keys=5))
-    large = score.score(charges).select(*small.columns)
-    assert rows(small) == rows(large)
+    large = score.score(charges, rows_in_one_task=100).select(*shown)
+    assert rows(windowed) == rows(small) == rows(large)
     assert rows(small.drop("final_score")) == rows(want)
+    assert not score.sorts_in_one_task(charges, 3999) and score.sorts_in_one_task(charges, 4000)
+    ranked = [rows(score.with_price_rank(charges, limit).select("id", "price_rank")) for limit in (0, 10_000)]
+    assert ranked[0] == ranked[1]
