@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, secrets
+from chargelake.llm import decontaminate, language, secrets
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.fold("doc_id", 4) == 2
+    model = language.learn(docs.filter(~held_out))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -39,6 +47,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_language_id": op5_language_id,
     "op7_secret_scan": op7_secret_scan,
     "op9_decontamination": op9_decontamination,
 }
