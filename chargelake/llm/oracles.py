@@ -51,7 +51,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
     sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (n) LEFT JOIN named USING (n)"""
 
+_TOKENS = "[x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> '']"
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS n, doc_id, {_TOKENS} AS w FROM documents),
+s AS (SELECT n, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] END) AS own FROM d),
+e AS (SELECT n, len(own) AS size, unnest(own) AS sh FROM s),
+links AS (SELECT a.n AS x, b.n AS y FROM e a JOIN e b USING (sh) WHERE a.n <> b.n
+    GROUP BY a.n, b.n, a.size, b.size HAVING 100 * count(*) >= 80 * (a.size + b.size - count(*))),
+reach AS (SELECT n, n AS m FROM s UNION SELECT r.n, l.y FROM reach r JOIN links l ON l.x = r.m),
+least AS (SELECT r.n, min(s.doc_id) AS component_id FROM reach r JOIN s ON s.n = r.m GROUP BY r.n)
+SELECT doc_id, CAST(len(own) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM s JOIN least USING (n)"""
+
 ORACLES = {
+    "op6_near_duplicates": _NEAR_DUPLICATES,
     "op7_secret_scan": _SECRETS,
     "op9_decontamination": _DECONTAMINATION,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, secrets
+from chargelake.llm import decontaminate, language, near_dup, secrets
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
@@ -17,6 +17,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+    component = F.col("component.id")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
 
@@ -48,6 +54,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_language_id": op5_language_id,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
     "op9_decontamination": op9_decontamination,
 }
