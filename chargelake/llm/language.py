@@ -139,7 +139,12 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a known language, with all columns as they are."""
+    """The rows whose text has a known language, with all columns as they are.
+
+    Where nothing could be learned, a letter in the text is enough.
+    """
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, near_dup, secrets
+from chargelake.llm import decontaminate, language, near_dup, packing, secrets
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
@@ -52,9 +52,14 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
     "op9_decontamination": op9_decontamination,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }

@@ -1,4 +1,54 @@
-STAGES = []
+"""From raw documents to packed training sequences, stage by stage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from chargelake.llm import decontaminate, language, near_dup, packing, secrets
+from chargelake.llm.common import table
+from chargelake.staging import staged
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no language: without text, or without a letter."""
+    model = language.learn(docs.filter(language.fold("doc_id", 4) != 2))
+    return language.with_language(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates: five-word shingles, similarity 0.8."""
+    return near_dup.without_near_duplicates(docs, size=5, percent=80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold ten consecutive words of a benchmark item, or a whole shorter item."""
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces secrets in the texts and keeps all documents."""
+    return secrets.redact_secrets(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document lies in the training sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("secret_scan", secret_scan),
+    ("packing", best_fit_packing),
+]
+
+# Language ID and packing cannot be said in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
