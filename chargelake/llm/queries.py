@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, near_dup, packing, secrets
+from chargelake.llm import decontaminate, language, near_dup, packing, secrets, sharding
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
 
+def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = sharding.shard(table(spark, sf_dir, "documents"), 24)
+    return rows.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = language.fold("doc_id", 4) == 2
@@ -57,6 +64,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_virtual_slots": op4_virtual_slots,
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
