@@ -65,7 +65,16 @@ least AS (SELECT r.n, min(s.doc_id) AS component_id FROM reach r JOIN s ON s.n =
 SELECT doc_id, CAST(len(own) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
 FROM s JOIN least USING (n)"""
 
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+s AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+    max(page_id) OVER (PARTITION BY payload) AS head FROM p),
+t AS (SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM head AS again FROM s)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN head END AS refers_to FROM t"""
+
 ORACLES = {
+    "op8_warc_bundles": _WARC,
     "op6_near_duplicates": _NEAR_DUPLICATES,
     "op7_secret_scan": _SECRETS,
     "op9_decontamination": _DECONTAMINATION,

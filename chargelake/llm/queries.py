@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, near_dup, packing, secrets, sharding
+from chargelake.llm import decontaminate, language, near_dup, packing, secrets, sharding, warc
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
@@ -48,6 +48,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.read_bundles(warc.archive(table(spark, sf_dir, "pages")))
+    return read.select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -68,6 +75,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
+    "op8_warc_bundles": op8_warc_bundles,
     "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
