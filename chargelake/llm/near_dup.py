@@ -4,8 +4,8 @@ Texts with equal sets form a class, and only classes are compared. In each of se
 start at the node of one of their minwise values; a node with more than ``LEAF`` members is branched by a further
 minwise value, chosen by the node itself, and so on. In a small node all members are compared by short sketches. In a
 large one, at each level, every member is compared with one pivot, so that a group of any size hangs together without
-all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest of them, then
-those that the forest leaves in different components. Large nodes that are left at the last level compare the members
+all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest or two of them,
+then all that these leave in different components. Large nodes that are left at the last level compare the members
 that have not joined the pivot's component with all others, in packets.
 
 A pair at the threshold stays together in one tree down to the second level with a probability of 0.64; sixteen trees
@@ -35,6 +35,7 @@ LEVELS = 12
 LEAF = 40
 COORDINATES = 64
 PACKET = 64
+FORESTS = 2
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
 _RANDOM = np.random.default_rng(20240611)
@@ -125,7 +126,7 @@ def packets_of(rows: DataFrame, label: str) -> DataFrame:
 
 
 def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
-    """(x, y, first): pairs found similar by sketch, y the greater; ``first`` ones make a forest in each list."""
+    """(x, y): pairs found similar by sketch, y the greater."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,11 +148,7 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
             one.append((own + i).ravel()), other.append((own + j).ravel())
         one, other = np.concatenate(one), np.concatenate(other)
         met = similar(sketch[one], sketch[other], n[one], n[other], percent) if len(one) else np.zeros(0, bool)
-        one, other = one[met], other[met]
-        order = np.lexsort((one, other))
-        one, other = one[order], other[order]
-        first = np.concatenate([[True], other[1:] != other[:-1]])[: len(other)]
-        x, y, firsts = [cid[one]], [cid[other]], [first]
+        x, y = [cid[one[met]]], [cid[other[met]]]
         if not small.all():
             pivot = batch.column("pivot")
             pivots = np.repeat(np.arange(batch.num_rows), lengths)
@@ -161,13 +158,12 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
             p_n = pivot.field("n").to_numpy(zero_copy_only=False)
             met = similar(sketch[mine], p_sketch[own], n[mine], p_n[own], percent)
             met &= (cid[mine] != p_cid[own]).any(axis=1)
-            x.append(p_cid[own[met]]), y.append(cid[mine[met]]), firsts.append(np.ones(int(met.sum()), bool))
+            x.append(p_cid[own[met]]), y.append(cid[mine[met]])
         x, y = np.concatenate(x), np.concatenate(y)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([row.tobytes() for row in x], pa.binary()), pa.array([row.tobytes() for row in y], pa.binary()),
-             pa.array(np.concatenate(firsts))], names=["x", "y", "first"])
+            [pa.array([row.tobytes() for row in ends], pa.binary()) for ends in (x, y)], names=["x", "y"])
 
-    return packets.select("size", "pivot", "members").mapInArrow(compare, "x binary, y binary, first boolean")
+    return packets.select("size", "pivot", "members").mapInArrow(compare, "x binary, y binary")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, text_col: str, id_col: str, size: int, percent: int) -> DataFrame:
@@ -278,16 +274,21 @@ def near_duplicates(
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionAll(more)
-    pairs = staged(pairs.groupBy("x", "y").agg(F.max("first").alias("first")), "pairs")
-    check = lambda some: confirmed(some.select("x", "y"), docs, classes, text_col, id_col, size, percent)
-    edges = staged(check(pairs.filter("first")), "confirmed")
-    labels = staged(components(edges), "labels")
-    rest = in_different(pairs.filter("NOT first"), labels)
+    pairs = staged(pairs.distinct(), "pairs")
+    check = lambda some: staged(confirmed(some, docs, classes, text_col, id_col, size, percent), "confirmed")
+    edges, labels = None, None
+    for _ in range(FORESTS):
+        # The least partner of each member first: where it is confirmed, most other pairs need not be looked at.
+        least = staged(pairs.groupBy("y").agg(F.min("x").alias("x")), "forest")
+        edges = check(least) if edges is None else edges.unionAll(check(least))
+        labels = staged(components(edges), "labels")
+        pairs = staged(in_different(pairs.join(least, ["x", "y"], "left_anti"), labels), "open")
+    rest = pairs
     if len(packed) == LEVELS:
         rest = rest.unionAll(left_pairs(packed[-1].filter(F.col("size") > LEAF), labels, percent)).distinct()
     rest = staged(rest, "rest")
     if not rest.isEmpty():
-        edges = edges.unionAll(staged(check(rest), "confirmed"))
+        edges = edges.unionAll(check(rest))
         labels = staged(components(edges), "labels")
 
     linked = classes.select("cid", "least").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
