@@ -4,9 +4,9 @@ Texts with equal sets form a class, and only classes are compared. In each of se
 start at the node of one of their minwise values; a node with more than ``LEAF`` members is branched by a further
 minwise value, chosen by the node itself, and so on. In a small node all members are compared by short sketches. In a
 large one, at each level, every member is compared with one pivot, so that a group of any size hangs together without
-all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest or two of them,
-then all that these leave in different components. Large nodes that are left at the last level compare the members
-that have not joined the pivot's component with all others, in packets.
+all of its pairs; so is it with the most similar of a few others. Pairs that the sketches find similar are confirmed on
+the full sets, first a forest or two of them, then all that these leave in different components. Large nodes that are
+left at the last level compare the members that have not joined the pivot's component with all others, in packets.
 
 A pair at the threshold stays together in one tree down to the second level with a probability of 0.64; sixteen trees
 miss it with one of less than one in a million, and at the fourth level with one of two in ten thousand.
@@ -42,7 +42,6 @@ _RANDOM = np.random.default_rng(20240611)
 _FLIP = _RANDOM.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)[:, None]
 _TURN = _RANDOM.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-MEMBER = "cid binary, n bigint, sketch binary"
 
 
 def shingles(text: str | None, size: int) -> set[bytes]:
@@ -99,13 +98,13 @@ def least_equal(percent: int) -> int:
     return int(COORDINATES * share - SPREAD * (COORDINATES * share * (1 - share)) ** 0.5)
 
 
-def similar(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, percent: int) -> np.ndarray:
-    """Which pairs may reach the threshold: by the sizes of their sets, then by their sketches."""
-    found = 100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right)
-    at = np.flatnonzero(found)
+def agreement(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, percent: int) -> np.ndarray:
+    """Sketch bytes in which pairs agree; 0 where sketches or sizes of the sets rule out the threshold."""
+    same = np.zeros(len(left), np.int64)
+    at = np.flatnonzero(100 * np.minimum(n_left, n_right) >= percent * np.maximum(n_left, n_right))
     for part in np.array_split(at, len(at) // 65536 + 1):
-        found[part] = (left[part] == right[part]).sum(axis=1) >= least_equal(percent)
-    return found
+        same[part] = (left[part] == right[part]).sum(axis=1)
+    return np.where(same >= least_equal(percent), same, 0)
 
 
 def packets_of(rows: DataFrame, label: str) -> DataFrame:
@@ -126,7 +125,11 @@ def packets_of(rows: DataFrame, label: str) -> DataFrame:
 
 
 def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
-    """(x, y): pairs found similar by sketch, y the greater."""
+    """(x, y, same): pairs found similar by sketch, y the greater, and in how many bytes they agree.
+
+    All pairs of a small node; in each list of a large node, the pivot with every member and every member with the
+    most similar one before it.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,45 +137,71 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
                 yield from pairs(batch.slice(at, 2000))
 
     def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lists = batch.column("members")
+        lists, pivot = batch.column("members"), batch.column("pivot")
         lengths = np.array([len(x) for x in lists], np.int64)
+        large = batch.column("size").to_numpy(zero_copy_only=False) > LEAF
         members = lists.flatten()
-        small = batch.column("size").to_numpy(zero_copy_only=False) <= LEAF
         cid, sketch = _fixed(members.field("cid"), 16), _fixed(members.field("sketch"), COORDINATES)
         n = members.field("n").to_numpy(zero_copy_only=False)
-        starts = np.cumsum(lengths) - lengths
+        starts, owner = np.cumsum(lengths) - lengths, np.repeat(np.arange(batch.num_rows), lengths)
         one, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for length in np.unique(lengths[small]):
+        for length in np.unique(lengths):
             i, j = np.triu_indices(length, 1)
-            own = starts[small & (lengths == length)][:, None]
+            own = starts[lengths == length][:, None]
             one.append((own + i).ravel()), other.append((own + j).ravel())
         one, other = np.concatenate(one), np.concatenate(other)
-        met = similar(sketch[one], sketch[other], n[one], n[other], percent) if len(one) else np.zeros(0, bool)
-        x, y = [cid[one[met]]], [cid[other[met]]]
-        if not small.all():
-            pivot = batch.column("pivot")
-            pivots = np.repeat(np.arange(batch.num_rows), lengths)
-            mine = np.flatnonzero(~small[pivots])
-            own = pivots[mine]
-            p_cid, p_sketch = _fixed(pivot.field("cid"), 16), _fixed(pivot.field("sketch"), COORDINATES)
-            p_n = pivot.field("n").to_numpy(zero_copy_only=False)
-            met = similar(sketch[mine], p_sketch[own], n[mine], p_n[own], percent)
-            met &= (cid[mine] != p_cid[own]).any(axis=1)
-            x.append(p_cid[own[met]]), y.append(cid[mine[met]])
-        x, y = np.concatenate(x), np.concatenate(y)
+        same = agreement(sketch[one], sketch[other], n[one], n[other], percent)
+        one, other, same = one[same > 0], other[same > 0], same[same > 0]
+        order = np.lexsort((one, -same, other))
+        one, other, same = one[order], other[order], same[order]
+        best = np.concatenate([[True], other[1:] != other[:-1]])[: len(other)]
+        kept = best | ~large[owner[other]]
+        x, y, agreed = [cid[one[kept]]], [cid[other[kept]]], [same[kept]]
+
+        mine = np.flatnonzero(large[owner])
+        own = owner[mine]
+        p_cid, p_sketch = _fixed(pivot.field("cid"), 16), _fixed(pivot.field("sketch"), COORDINATES)
+        p_n = pivot.field("n").to_numpy(zero_copy_only=False)
+        same = agreement(sketch[mine], p_sketch[own], n[mine], p_n[own], percent)
+        met = (same > 0) & (cid[mine] != p_cid[own]).any(axis=1)
+        x.append(p_cid[own[met]]), y.append(cid[mine[met]]), agreed.append(same[met])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([row.tobytes() for row in ends], pa.binary()) for ends in (x, y)], names=["x", "y"])
+            [*(pa.array([row.tobytes() for row in np.concatenate(ends)], pa.binary()) for ends in (x, y)), pa.array(np.concatenate(agreed))],
+            names=["x", "y", "same"])
+
+    return packets.select("size", "pivot", "members").mapInArrow(compare, "x binary, y binary, same bigint")
+
+
+def best_pairs(pairs: DataFrame) -> DataFrame:
+    """(x, y): each member with the partner it agrees with most."""
+    ends = pairs.select(F.explode(F.array(
+        F.struct(F.col("x").alias("me"), "same", F.col("y").alias("other")),
+        F.struct(F.col("y").alias("me"), "same", F.col("x").alias("other")))).alias("e"))
+    best = ends.groupBy("e.me").agg(F.max(F.struct("e.same", "e.other")).alias("best"))
+    return best.select(F.least("me", "best.other").alias("x"), F.greatest("me", "best.other").alias("y")).distinct()
+
 
-    return packets.select("size", "pivot", "members").mapInArrow(compare, "x binary, y binary")
+class Texts:
+    """The documents by class: each class is read through one of its texts."""
 
+    def __init__(self, docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> None:
+        self.classes = classes.select("cid", "key")
+        self.docs = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
 
-def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, text_col: str, id_col: str, size: int, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets reach the threshold. Each class is read through one of its texts."""
-    used = pairs.select(F.explode(F.array("x", "y")).alias("cid")).distinct()
-    wanted = staged(classes.select("cid", "key").join(used, "cid"), "wanted")
-    keyed = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    found = keyed.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "key")
-    texts = staged(found.groupBy("cid").agg(F.first("text").alias("text")), "texts")
+    def of(self, cids: DataFrame) -> DataFrame:
+        wanted = staged(self.classes.join(cids.select("cid").distinct(), "cid"), "wanted")
+        found = self.docs.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "key")
+        return staged(found.groupBy("cid").agg(F.first("text").alias("text")), "texts")
+
+
+def linked(one: set[bytes], other: set[bytes], percent: int) -> bool:
+    common = len(one & other)
+    return 100 * common >= percent * (len(one) + len(other) - common)
+
+
+def confirmed(pairs: DataFrame, texts: Texts, size: int, percent: int) -> DataFrame:
+    """The pairs (x, y) whose full sets reach the threshold."""
+    used = texts.of(pairs.select(F.explode(F.array("x", "y")).alias("cid")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, set[bytes]] = {}
@@ -185,62 +214,75 @@ def confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, text_col: s
             return known[text]
 
         for batch in batches:
-            kept = []
-            for a, b in zip(batch.column("text_x"), batch.column("text_y"), strict=True):
-                one, other = of(a.as_py()), of(b.as_py())
-                common = len(one & other)
-                kept.append(100 * common >= percent * (len(one) + len(other) - common))
+            both = zip(batch.column("text_x"), batch.column("text_y"), strict=True)
+            kept = [linked(of(a.as_py()), of(b.as_py()), percent) for a, b in both]
             yield batch.select(["x", "y"]).filter(pa.array(kept, pa.bool_()))
 
-    half = pairs.join(texts.withColumnsRenamed({"cid": "y", "text": "text_y"}), "y")
-    both = half.join(texts.withColumnsRenamed({"cid": "x", "text": "text_x"}), "x")
+    half = pairs.join(used.withColumnsRenamed({"cid": "y", "text": "text_y"}), "y")
+    both = half.join(used.withColumnsRenamed({"cid": "x", "text": "text_x"}), "x")
     return both.select("x", "y", "text_x", "text_y").mapInArrow(verify, "x binary, y binary")
 
 
 def in_different(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (x, y) whose ends have different labels; an end without a label is its own."""
+    """Pairs whose ends have different labels; an end without a label is its own."""
+    named = pairs
     for end in ("x", "y"):
-        named = labels.withColumnsRenamed({"node": end, "label": f"label_{end}"})
-        pairs = pairs.join(named, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    return pairs.filter("label_x <> label_y").select("x", "y")
+        own = labels.withColumnsRenamed({"node": end, "label": f"label_{end}"})
+        named = named.join(own, end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    return named.filter("label_x <> label_y").select(*pairs.columns)
 
 
-def left_pairs(packets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs found similar in the large nodes of the last level, of members outside the pivot's component and others.
+def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, percent: int) -> DataFrame:
+    """Links (x, y) in the large nodes of the last level, of members outside the pivot's component and any others.
 
-    Lists of such members meet the lists of all members of their node; each meeting compares at most a packet of the
-    ones with a packet of the others.
+    Lists of such members meet the lists of all members of their node. A meeting compares at most a packet of the ones
+    with a packet of the others, by sketch and then on the full sets, and gives one link per member and component.
     """
     members = packets.select("node", F.col("pivot.cid").alias("pivot"), F.inline("members"))
     for end, name in (("cid", "own"), ("pivot", "main")):
         found = labels.withColumnsRenamed({"node": end, "label": name})
         members = members.join(found, end, "left").withColumn(name, F.coalesce(name, end))
     members = staged(members, "members")
+    some = members.filter("own <> main")
+    if some.isEmpty():
+        return some.select(F.col("cid").alias("x"), F.col("own").alias("y"))
+    every = members.join(some.select("node").distinct(), "node", "left_semi")
+    used = texts.of(every)
 
     def lists(rows: DataFrame, name: str) -> DataFrame:
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
         slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / (PACKET // 2)))
-        cut = rows.join(sizes, "node").withColumn("slot", slot)
-        return cut.groupBy("node", "slot").agg(F.collect_list(F.struct("cid", "own", "n", "sketch")).alias(name)).drop("slot")
+        cut = rows.join(used, "cid").join(sizes, "node").withColumn("slot", slot)
+        return cut.groupBy("node", "slot").agg(F.collect_list(F.struct("cid", "own", "n", "sketch", "text")).alias(name)).drop("slot")
 
-    met = lists(members.filter("own <> main"), "some").join(lists(members, "all"), "node").select("some", "all")
+    met = lists(some, "some").join(lists(every, "all"), "node").select("some", "all")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                some, every = batch.column("some")[row].values, batch.column("all")[row].values
-                i, j = (part.ravel() for part in np.indices((len(some), len(every))))
-                cids = [_fixed(part.field("cid"), 16) for part in (some, every)]
-                own = [_fixed(part.field("own"), 16) for part in (some, every)]
-                sketches = [_fixed(part.field("sketch"), COORDINATES) for part in (some, every)]
-                n = [part.field("n").to_numpy(zero_copy_only=False) for part in (some, every)]
-                ok = similar(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent)
-                ok &= (own[0][i] != own[1][j]).any(axis=1)
-                ends = [[x.tobytes() for x in cids[0][i[ok]]], [x.tobytes() for x in cids[1][j[ok]]]]
-                yield pa.RecordBatch.from_arrays([pa.array(e, pa.binary()) for e in ends], names=["a", "b"])
-
-    found = met.mapInArrow(compare, "a binary, b binary")
-    return found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+                left, right = batch.column("some")[row].as_py(), batch.column("all")[row].as_py()
+                yield meet(left, right)
+
+    def meet(left: list[dict], right: list[dict]) -> pa.RecordBatch:
+        i, j = (part.ravel() for part in np.indices((len(left), len(right))))
+        sketches = [np.frombuffer(b"".join(m["sketch"] for m in part), np.uint8).reshape(-1, COORDINATES) for part in (left, right)]
+        n = [np.array([m["n"] for m in part]) for part in (left, right)]
+        same = agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent)
+        sets = [[None] * len(left), [None] * len(right)]
+        x, y, done = [], [], set()
+        for at in np.argsort(-same, kind="stable")[: np.count_nonzero(same)]:
+            ends = left[i[at]], right[j[at]]
+            if ends[0]["own"] == ends[1]["own"] or (i[at], ends[1]["own"]) in done:
+                continue
+            for side, place in ((0, i[at]), (1, j[at])):
+                if sets[side][place] is None:
+                    sets[side][place] = shingles(ends[side]["text"], size)
+            if linked(sets[0][i[at]], sets[1][j[at]], percent):
+                done.add((i[at], ends[1]["own"]))
+                x.append(ends[0]["cid"]), y.append(ends[1]["cid"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["x", "y"])
+
+    return met.mapInArrow(compare, "x binary, y binary")
 
 
 def near_duplicates(
@@ -274,27 +316,26 @@ def near_duplicates(
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionAll(more)
-    pairs = staged(pairs.distinct(), "pairs")
-    check = lambda some: staged(confirmed(some, docs, classes, text_col, id_col, size, percent), "confirmed")
-    edges, labels = None, None
+    pairs = staged(pairs.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
+    texts, edges, labels = Texts(docs, classes, id_col, text_col), None, None
     for _ in range(FORESTS):
-        # The least partner of each member first: where it is confirmed, most other pairs need not be looked at.
-        least = staged(pairs.groupBy("y").agg(F.min("x").alias("x")), "forest")
-        edges = check(least) if edges is None else edges.unionAll(check(least))
+        best = staged(best_pairs(pairs), "forest")
+        found = staged(confirmed(best, texts, size, percent), "confirmed")
+        edges = found if edges is None else edges.unionAll(found)
         labels = staged(components(edges), "labels")
-        pairs = staged(in_different(pairs.join(least, ["x", "y"], "left_anti"), labels), "open")
-    rest = pairs
+        pairs = staged(in_different(pairs.join(best, ["x", "y"], "left_anti"), labels), "open")
+    more = [confirmed(pairs.select("x", "y"), texts, size, percent)] if not pairs.isEmpty() else []
     if len(packed) == LEVELS:
-        rest = rest.unionAll(left_pairs(packed[-1].filter(F.col("size") > LEAF), labels, percent)).distinct()
-    rest = staged(rest, "rest")
-    if not rest.isEmpty():
-        edges = edges.unionAll(check(rest))
+        more.append(left_edges(packed[-1].filter(F.col("size") > LEAF), labels, texts, size, percent))
+    if more:
+        for found in more:
+            edges = edges.unionAll(staged(found, "confirmed"))
         labels = staged(components(edges), "labels")
 
-    linked = classes.select("cid", "least").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    linked = linked.withColumn("label", F.coalesce("label", "cid"))
-    heads = linked.groupBy("label").agg(F.min("least").alias("component"))
-    of_class = staged(linked.join(heads, "label").select("cid", "component"), "components")
+    named_classes = classes.select("cid", "least").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    named_classes = staged(named_classes.withColumn("label", F.coalesce("label", "cid")), "named")
+    heads = named_classes.groupBy("label").agg(F.min("least").alias("component"))
+    of_class = staged(named_classes.join(heads, "label").select("cid", "component"), "components")
     joined = rows.select("id", "key", "n", "cid").join(of_class, "cid", "left")
     return joined.select(
         F.col("id").alias(id_col), "key", F.col("n").alias("n_shingles"),
