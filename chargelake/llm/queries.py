@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, near_dup, packing, secrets, sharding, warc
+from chargelake.llm import decontaminate, language, near_dup, neighbours, packing, secrets, sharding, warc
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = sharding.shard(table(spark, sf_dir, "documents"), 24)
     return rows.select(
@@ -71,6 +75,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_cross_polytope": op3_cross_polytope,
     "op4_virtual_slots": op4_virtual_slots,
     "op5_language_id": op5_language_id,
     "op6_near_duplicates": op6_near_duplicates,
