@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import decontaminate, language, near_dup, neighbours, packing, secrets, sharding, warc
+from chargelake.llm import ctw, decontaminate, language, near_dup, neighbours, packing, secrets, sharding, warc
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language.fold("doc_id", 5) == 1
+    found = ctw.score(docs, docs.filter(~held_out))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        (-F.col("score") * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
+
+
 def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
@@ -75,6 +86,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_context_tree": op2_context_tree,
     "op3_cross_polytope": op3_cross_polytope,
     "op4_virtual_slots": op4_virtual_slots,
     "op5_language_id": op5_language_id,
