@@ -6,11 +6,16 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import ctw, decontaminate, language, near_dup, neighbours, packing, secrets, sharding, warc
+from chargelake.llm import ctw, decontaminate, language, near_dup, neighbours, packing, secrets, sharding, surrogates, warc
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get("chargelake.surrogate.key", "0f6b1d1e5c7a4e0e")  # a deployment sets its own secret
+    return surrogates.with_surrogates(table(spark, sf_dir, "documents"), key)
+
+
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = language.fold("doc_id", 5) == 1
@@ -86,6 +91,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_surrogates": op1_surrogates,
     "op2_context_tree": op2_context_tree,
     "op3_cross_polytope": op3_cross_polytope,
     "op4_virtual_slots": op4_virtual_slots,
