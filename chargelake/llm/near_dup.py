@@ -2,11 +2,12 @@
 
 Texts with equal sets form a class, and only classes are compared. In each of several independent trees, the classes
 start at the node of one of their minwise values; a node with more than ``LEAF`` members is branched by a further
-minwise value, chosen by the node itself, and so on. In a small node all members are compared by short sketches. In a
-large one, at each level, every member is compared with one pivot, so that a group of any size hangs together without
-all of its pairs; so is it with the most similar of a few others. Pairs that the sketches find similar are confirmed on
-the full sets, first a forest or two of them, then all that these leave in different components. Large nodes that are
-left at the last level compare the members that have not joined the pivot's component with all others, in packets.
+minwise value, chosen by the node itself, and so on, until a node is small or branching has left it more than half of
+its parent's members, as with a group of near copies. In a small node all members are compared by short sketches. In a
+dense one every member is compared with a few others, so that over the trees a group of any size hangs together without
+all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest of them, then all
+that it leaves in different components. Dense nodes at last compare the members outside their most frequent component
+with all others, in packets.
 
 A pair at the threshold stays together in one tree down to the second level with a probability of 0.64; sixteen trees
 miss it with one of less than one in a million, and at the fourth level with one of two in ten thousand.
@@ -35,7 +36,6 @@ LEVELS = 12
 LEAF = 40
 COORDINATES = 64
 PACKET = 64
-FORESTS = 2
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
 _RANDOM = np.random.default_rng(20240611)
@@ -108,27 +108,28 @@ def agreement(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
 
 
 def packets_of(rows: DataFrame, label: str) -> DataFrame:
-    """Members of each node that has two or more, in lists of bounded length, with the node's size and pivot.
+    """Members of each node that has two or more, in lists of bounded length, with the node's size.
 
-    Sizes and pivots are combined before the shuffle and meet the rows again in a join, which can be split where a
+    ``dense`` nodes are large and hold more than half of ``parent``, the members of the node they were branched from.
+    Sizes are combined before the shuffle and meet the rows again in a join, which can be split where a
     node is hot. Lists of large nodes are cut by the members' ids.
     """
-    sized = rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct("cid", "n", "sketch")).alias("pivot")).filter("size > 1")
+    sized = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.first("parent").alias("parent"))
+    dense = (F.col("size") > LEAF) & (F.col("size") * 2 > F.col("parent"))
+    sized = sized.filter("size > 1").select("node", "size", F.coalesce(dense, F.lit(False)).alias("dense"))
     joined = rows.join(sized, "node")
     slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") * 2 / LEAF))
     joined = joined.withColumn("slot", F.when(F.col("size") <= LEAF, F.lit(0).cast("bigint")).otherwise(slot))
     packed = joined.groupBy("node", "slot").agg(
-        F.first("size").alias("size"), F.first("pivot").alias("pivot"),
+        F.first("size").alias("size"), F.first("dense").alias("dense"),
         F.array_sort(F.collect_list(F.struct("cid", "n", "sketch"))).alias("members"))
-    return staged(packed.select("node", "size", "pivot", "members"), label)
+    return staged(packed.select("node", "size", "dense", "members"), label)
 
 
 def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
     """(x, y, same): pairs found similar by sketch, y the greater, and in how many bytes they agree.
 
-    All pairs of a small node; in each list of a large node, the pivot with every member and every member with the
-    most similar one before it.
+    All pairs of a small node; in each list of a dense node, every member with the most similar one before it.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +138,7 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
                 yield from pairs(batch.slice(at, 2000))
 
     def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lists, pivot = batch.column("members"), batch.column("pivot")
+        lists = batch.column("members")
         lengths = np.array([len(x) for x in lists], np.int64)
         large = batch.column("size").to_numpy(zero_copy_only=False) > LEAF
         members = lists.flatten()
@@ -147,8 +148,8 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
         one, other = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for length in np.unique(lengths):
             i, j = np.triu_indices(length, 1)
-            own = starts[lengths == length][:, None]
-            one.append((own + i).ravel()), other.append((own + j).ravel())
+            first = starts[lengths == length][:, None]
+            one.append((first + i).ravel()), other.append((first + j).ravel())
         one, other = np.concatenate(one), np.concatenate(other)
         same = agreement(sketch[one], sketch[other], n[one], n[other], percent)
         one, other, same = one[same > 0], other[same > 0], same[same > 0]
@@ -156,28 +157,18 @@ def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
         one, other, same = one[order], other[order], same[order]
         best = np.concatenate([[True], other[1:] != other[:-1]])[: len(other)]
         kept = best | ~large[owner[other]]
-        x, y, agreed = [cid[one[kept]]], [cid[other[kept]]], [same[kept]]
-
-        mine = np.flatnonzero(large[owner])
-        own = owner[mine]
-        p_cid, p_sketch = _fixed(pivot.field("cid"), 16), _fixed(pivot.field("sketch"), COORDINATES)
-        p_n = pivot.field("n").to_numpy(zero_copy_only=False)
-        same = agreement(sketch[mine], p_sketch[own], n[mine], p_n[own], percent)
-        met = (same > 0) & (cid[mine] != p_cid[own]).any(axis=1)
-        x.append(p_cid[own[met]]), y.append(cid[mine[met]]), agreed.append(same[met])
         yield pa.RecordBatch.from_arrays(
-            [*(pa.array([row.tobytes() for row in np.concatenate(ends)], pa.binary()) for ends in (x, y)), pa.array(np.concatenate(agreed))],
+            [*(pa.array([row.tobytes() for row in cid[ends[kept]]], pa.binary()) for ends in (one, other)), pa.array(same[kept])],
             names=["x", "y", "same"])
 
-    return packets.select("size", "pivot", "members").mapInArrow(compare, "x binary, y binary, same bigint")
+    return packets.select("size", "members").mapInArrow(compare, "x binary, y binary, same bigint")
 
 
 def best_pairs(pairs: DataFrame) -> DataFrame:
     """(x, y): each member with the partner it agrees with most."""
-    ends = pairs.select(F.explode(F.array(
-        F.struct(F.col("x").alias("me"), "same", F.col("y").alias("other")),
-        F.struct(F.col("y").alias("me"), "same", F.col("x").alias("other")))).alias("e"))
-    best = ends.groupBy("e.me").agg(F.max(F.struct("e.same", "e.other")).alias("best"))
+    ends = pairs.select(F.col("x").alias("me"), "same", F.col("y").alias("other")).unionAll(
+        pairs.select(F.col("y").alias("me"), "same", F.col("x").alias("other")))
+    best = ends.groupBy("me").agg(F.max(F.struct("same", "other")).alias("best"))
     return best.select(F.least("me", "best.other").alias("x"), F.greatest("me", "best.other").alias("y")).distinct()
 
 
@@ -233,16 +224,15 @@ def in_different(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, percent: int) -> DataFrame:
-    """Links (x, y) in the large nodes of the last level, of members outside the pivot's component and any others.
+    """Links (x, y) in dense nodes, of members outside the most frequent component and any others.
 
     Lists of such members meet the lists of all members of their node. A meeting compares at most a packet of the ones
-    with a packet of the others, by sketch and then on the full sets, and gives one link per member and component.
+    with a packet of the others, by sketch and then on the full sets, and gives no more links than connect components.
     """
-    members = packets.select("node", F.col("pivot.cid").alias("pivot"), F.inline("members"))
-    for end, name in (("cid", "own"), ("pivot", "main")):
-        found = labels.withColumnsRenamed({"node": end, "label": name})
-        members = members.join(found, end, "left").withColumn(name, F.coalesce(name, end))
-    members = staged(members, "members")
+    members = packets.select("node", F.inline("members")).join(labels.withColumnRenamed("node", "cid"), "cid", "left")
+    members = staged(members.select("node", "cid", "n", "sketch", F.coalesce("label", "cid").alias("own")), "members")
+    main = members.groupBy("node", "own").agg(F.count(F.lit(1)).alias("rows")).groupBy("node").agg(F.max(F.struct("rows", "own")).alias("main"))
+    members = members.join(main.select("node", F.col("main.own").alias("main")), "node")
     some = members.filter("own <> main")
     if some.isEmpty():
         return some.select(F.col("cid").alias("x"), F.col("own").alias("y"))
@@ -269,16 +259,23 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
         n = [np.array([m["n"] for m in part]) for part in (left, right)]
         same = agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent)
         sets = [[None] * len(left), [None] * len(right)]
-        x, y, done = [], [], set()
+        x, y, joined = [], [], {}
+
+        def label(own: bytes) -> bytes:
+            while own in joined:
+                own = joined[own]
+            return own
+
         for at in np.argsort(-same, kind="stable")[: np.count_nonzero(same)]:
             ends = left[i[at]], right[j[at]]
-            if ends[0]["own"] == ends[1]["own"] or (i[at], ends[1]["own"]) in done:
+            names = label(ends[0]["own"]), label(ends[1]["own"])
+            if names[0] == names[1]:
                 continue
             for side, place in ((0, i[at]), (1, j[at])):
                 if sets[side][place] is None:
                     sets[side][place] = shingles(ends[side]["text"], size)
             if linked(sets[0][i[at]], sets[1][j[at]], percent):
-                done.add((i[at], ends[1]["own"]))
+                joined[names[0]] = names[1]
                 x.append(ends[0]["cid"]), y.append(ends[1]["cid"])
         return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["x", "y"])
 
@@ -300,36 +297,31 @@ def near_duplicates(
             F.min(named).alias("least"), F.min("key").alias("key"), F.first("n").alias("n"),
             F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch")), "classes")
 
-    level = classes.select("cid", "n", "sketch", F.explode("nodes").alias("node"))
-    packed = []
+    level = classes.select("cid", "n", "sketch", F.explode("nodes").alias("node")).withColumn("parent", F.lit(None).cast("bigint"))
+    found, dense = None, None
     for depth in range(LEVELS):
         packets = packets_of(level, f"level{depth}")
-        packed.append(packets)
-        large = packets.filter(F.col("size") > LEAF)
-        if large.isEmpty():
+        ends = (F.col("size") <= LEAF) | F.col("dense") | F.lit(depth == LEVELS - 1)
+        last, open_nodes = packets.filter(ends), packets.filter(~ends)
+        more, crowded = pairs_of(last, percent), last.filter(F.col("size") > LEAF)
+        found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
+        if open_nodes.isEmpty():
             break
         place = F.pmod(F.xxhash64("node"), F.lit(COORDINATES)).cast("int") + 1
         child = F.xxhash64("node", F.substring(F.col("sketch"), place, F.lit(1)))
-        level = large.select("node", F.inline("members")).select("cid", "n", "sketch", child.alias("node"))
-
-    found = [pairs_of(packets, percent) for packets in packed]
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionAll(more)
-    pairs = staged(pairs.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
-    texts, edges, labels = Texts(docs, classes, id_col, text_col), None, None
-    for _ in range(FORESTS):
-        best = staged(best_pairs(pairs), "forest")
-        found = staged(confirmed(best, texts, size, percent), "confirmed")
-        edges = found if edges is None else edges.unionAll(found)
+        level = open_nodes.select("node", "size", F.inline("members")).select("cid", "n", "sketch", child.alias("node"), F.col("size").alias("parent"))
+
+    pairs = staged(found.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
+    texts = Texts(docs, classes, id_col, text_col)
+    best = staged(best_pairs(pairs), "forest")
+    edges = staged(confirmed(best, texts, size, percent), "confirmed")
+    labels = staged(components(edges), "labels")
+    rest = staged(in_different(pairs.join(best, ["x", "y"], "left_anti"), labels).select("x", "y"), "open")
+    if not rest.isEmpty():
+        edges = edges.unionAll(staged(confirmed(rest, texts, size, percent), "confirmed"))
         labels = staged(components(edges), "labels")
-        pairs = staged(in_different(pairs.join(best, ["x", "y"], "left_anti"), labels), "open")
-    more = [confirmed(pairs.select("x", "y"), texts, size, percent)] if not pairs.isEmpty() else []
-    if len(packed) == LEVELS:
-        more.append(left_edges(packed[-1].filter(F.col("size") > LEAF), labels, texts, size, percent))
-    if more:
-        for found in more:
-            edges = edges.unionAll(staged(found, "confirmed"))
+    if not dense.isEmpty():
+        edges = edges.unionAll(staged(left_edges(dense, labels, texts, size, percent), "confirmed"))
         labels = staged(components(edges), "labels")
 
     named_classes = classes.select("cid", "least").join(labels.withColumnRenamed("node", "cid"), "cid", "left")
