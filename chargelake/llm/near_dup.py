@@ -7,7 +7,8 @@ its parent's members, as with a group of near copies. In a small node all member
 dense one every member is compared with a few others, so that over the trees a group of any size hangs together without
 all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest of them, then all
 that it leaves in different components. Dense nodes at last compare the members outside their most frequent component
-with all others, in packets.
+with all others, in packets. A pair at the threshold meets in a dense node of the second level with a probability of
+0.64 per tree, so eight trees miss it there in three of ten thousand cases.
 
 A pair at the threshold stays together in one tree down to the second level with a probability of 0.64; sixteen trees
 miss it with one of less than one in a million, and at the fourth level with one of two in ten thousand.
@@ -35,7 +36,8 @@ TREES = 16
 LEVELS = 12
 LEAF = 40
 COORDINATES = 64
-PACKET = 64
+PACKET = 100
+CLOSING_TREES = 8
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
 _RANDOM = np.random.default_rng(20240611)
@@ -121,9 +123,9 @@ def packets_of(rows: DataFrame, label: str) -> DataFrame:
     slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") * 2 / LEAF))
     joined = joined.withColumn("slot", F.when(F.col("size") <= LEAF, F.lit(0).cast("bigint")).otherwise(slot))
     packed = joined.groupBy("node", "slot").agg(
-        F.first("size").alias("size"), F.first("dense").alias("dense"),
+        F.first("size").alias("size"), F.first("dense").alias("dense"), F.first("tree").alias("tree"),
         F.array_sort(F.collect_list(F.struct("cid", "n", "sketch"))).alias("members"))
-    return staged(packed.select("node", "size", "dense", "members"), label)
+    return staged(packed.select("node", "tree", "size", "dense", "members"), label)
 
 
 def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
@@ -185,6 +187,22 @@ class Texts:
         return staged(found.groupBy("cid").agg(F.first("text").alias("text")), "texts")
 
 
+def intersections(left: list[set[bytes]], right: list[set[bytes]], columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of each set with each, by products of 0/1 matrices over runs of shingles."""
+    shared = list(set().union(*left) & set().union(*right))
+    sizes = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(shared), columns):
+        place = {shingle: i for i, shingle in enumerate(shared[at : at + columns])}
+        held = []
+        for sets in (left, right):
+            matrix = np.zeros((len(sets), len(place)), np.float32)
+            for row, own in enumerate(sets):
+                matrix[row, [place[shingle] for shingle in own if shingle in place]] = 1
+            held.append(matrix)
+        sizes += held[0] @ held[1].T
+    return sizes.astype(np.int64)
+
+
 def linked(one: set[bytes], other: set[bytes], percent: int) -> bool:
     common = len(one & other)
     return 100 * common >= percent * (len(one) + len(other) - common)
@@ -241,7 +259,7 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
 
     def lists(rows: DataFrame, name: str) -> DataFrame:
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
-        slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / (PACKET // 2)))
+        slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / PACKET))
         cut = rows.join(used, "cid").join(sizes, "node").withColumn("slot", slot)
         return cut.groupBy("node", "slot").agg(F.collect_list(F.struct("cid", "own", "n", "sketch", "text")).alias(name)).drop("slot")
 
@@ -257,8 +275,10 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
         i, j = (part.ravel() for part in np.indices((len(left), len(right))))
         sketches = [np.frombuffer(b"".join(m["sketch"] for m in part), np.uint8).reshape(-1, COORDINATES) for part in (left, right)]
         n = [np.array([m["n"] for m in part]) for part in (left, right)]
-        same = agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent)
-        sets = [[None] * len(left), [None] * len(right)]
+        may = agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent) > 0
+        common = intersections([shingles(m["text"], size) for m in left], [shingles(m["text"], size) for m in right])
+        common = common[i, j]
+        links = np.flatnonzero(may & (100 * common >= percent * (n[0][i] + n[1][j] - common)))
         x, y, joined = [], [], {}
 
         def label(own: bytes) -> bytes:
@@ -266,15 +286,10 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
                 own = joined[own]
             return own
 
-        for at in np.argsort(-same, kind="stable")[: np.count_nonzero(same)]:
+        for at in links.tolist():
             ends = left[i[at]], right[j[at]]
             names = label(ends[0]["own"]), label(ends[1]["own"])
-            if names[0] == names[1]:
-                continue
-            for side, place in ((0, i[at]), (1, j[at])):
-                if sets[side][place] is None:
-                    sets[side][place] = shingles(ends[side]["text"], size)
-            if linked(sets[0][i[at]], sets[1][j[at]], percent):
+            if names[0] != names[1]:
                 joined[names[0]] = names[1]
                 x.append(ends[0]["cid"]), y.append(ends[1]["cid"])
         return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["x", "y"])
@@ -297,19 +312,20 @@ def near_duplicates(
             F.min(named).alias("least"), F.min("key").alias("key"), F.first("n").alias("n"),
             F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch")), "classes")
 
-    level = classes.select("cid", "n", "sketch", F.explode("nodes").alias("node")).withColumn("parent", F.lit(None).cast("bigint"))
+    level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).withColumn("parent", F.lit(None).cast("bigint"))
     found, dense = None, None
     for depth in range(LEVELS):
         packets = packets_of(level, f"level{depth}")
         ends = (F.col("size") <= LEAF) | F.col("dense") | F.lit(depth == LEVELS - 1)
         last, open_nodes = packets.filter(ends), packets.filter(~ends)
-        more, crowded = pairs_of(last, percent), last.filter(F.col("size") > LEAF)
+        more, crowded = pairs_of(last, percent), last.filter((F.col("size") > LEAF) & (F.col("tree") < CLOSING_TREES))
         found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
         if open_nodes.isEmpty():
             break
         place = F.pmod(F.xxhash64("node"), F.lit(COORDINATES)).cast("int") + 1
         child = F.xxhash64("node", F.substring(F.col("sketch"), place, F.lit(1)))
-        level = open_nodes.select("node", "size", F.inline("members")).select("cid", "n", "sketch", child.alias("node"), F.col("size").alias("parent"))
+        level = open_nodes.select("node", "tree", "size", F.inline("members")).select(
+            "cid", "n", "sketch", "tree", child.alias("node"), F.col("size").alias("parent"))
 
     pairs = staged(found.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
     texts = Texts(docs, classes, id_col, text_col)
