@@ -236,6 +236,18 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def frequent(words: DataFrame) -> DataFrame:
+    """The most frequent words of bounded length: at most ``HOT_TOKENS``, by a least count read off a histogram."""
+    short = words.filter(F.octet_length("token") <= HOT_BYTES).withColumn("size", F.floor(F.log2("n") * 8))
+    held, least = 0, None
+    for row in sorted(short.groupBy("size").count().collect(), reverse=True):  # at most 8 * 63 rows
+        held += row["count"]
+        if held > HOT_TOKENS:
+            break
+        least = row["size"]
+    return short.filter(F.col("size") >= F.lit(least))
+
+
 def score(
     docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_text_col: str = "text",
 ) -> DataFrame:
@@ -253,9 +265,8 @@ def score(
     total, kinds = seen["n"] + ends, seen["kinds"] + (ends > 0)
     below = log10(total + 0.5 * (kinds + 1))
     of_end = log10(ends + 0.5) - below
-    short = words.filter(F.octet_length("token") <= HOT_BYTES).orderBy(F.desc("n"), "token").limit(HOT_TOKENS)
     hot = docs.sparkSession.sparkContext.broadcast(
-        {row["token"].encode(): log10(row["n"] + 0.5) - below for row in short.toLocalIterator()})
+        {row["token"].encode(): log10(row["n"] + 0.5) - below for row in frequent(words).toLocalIterator()})
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, tree = hot.value, model.value

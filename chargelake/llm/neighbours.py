@@ -149,15 +149,16 @@ def best_candidates(entries: DataFrame, probes: DataFrame, keep: int) -> DataFra
         least = right.field("ids").flatten().to_numpy()[np.concatenate([[0], np.cumsum([len(x) for x in right.field("ids")])[:-1]])]
         n = min(keep, len(right))
         top = np.lexsort((np.broadcast_to(least, scores.shape), -scores), axis=1)[:, :n]
-        rows = np.repeat(np.arange(len(left)), n)
-        return left.field("key").take(pa.array(rows)), right.field("ids").take(pa.array(top.ravel())), scores[rows, top.ravel()], least[top.ravel()]
+        rows, top = np.repeat(np.arange(len(left)), n), top.ravel()
+        vector = np.array([hash(row.tobytes()) for row in b])[top]  # tells candidates of one batch apart
+        return left.field("key").take(pa.array(rows)), right.field("ids").take(pa.array(top)), scores[rows, top], least[top], vector
 
     def combined(parts: list[tuple]) -> pa.RecordBatch:
         keys, ids = pa.concat_arrays([p[0] for p in parts]), pa.concat_arrays([p[1] for p in parts])
-        scores, least = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+        scores, least, vector = (np.concatenate([p[i] for p in parts]) for i in (2, 3, 4))
         code = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        order = np.lexsort((-scores, least, code))
-        fresh = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (least[order][1:] != least[order][:-1])])[: len(order)]
+        order = np.lexsort((vector, code))
+        fresh = np.concatenate([[True], (code[order][1:] != code[order][:-1]) | (vector[order][1:] != vector[order][:-1])])[: len(order)]
         order = order[fresh]
         order = order[np.lexsort((least[order], -scores[order], code[order]))]
         first = np.flatnonzero(np.concatenate([[True], code[order][1:] != code[order][:-1]])[: len(order)])
