@@ -14,7 +14,7 @@ KNOWN_HOSPITAL_IDS = {
     "Kindred Hospital Ontario": "106361274",
     "RIVERSIDE COMMUNITY HOSPITAL": "050022",
 }
-MAX_LITERAL_IDS = 1000
+LITERAL_IDS = 1000
 
 HEADER = (
     "hospital_id", "hospital_name", "hospital_address", "hospital_location",
@@ -23,9 +23,17 @@ HEADER = (
 
 
 def document_variant() -> Column:
-    """1 or 2 by the license field that has a value, NULL for neither."""
+    """1 or 2, the rules by which a document is flattened; NULL for what is no hospital document.
+
+    The license field that has a value decides. A license under its third name goes with the first variant, as such
+    documents share its form. Without any, a document with items is of the second variant, which drops nothing.
+    """
     license_info = F.col("license_information")
-    return F.when(license_info["license"].isNotNull(), 1).when(license_info["license_number"].isNotNull(), 2)
+    return (
+        F.when(license_info["license"].isNotNull(), 1).when(license_info["license_number"].isNotNull(), 2)
+        .when(license_info["hospital_license_number"].isNotNull(), 1)
+        .when(F.col("standard_charge_information").isNotNull(), 2)
+    )
 
 
 def any_license() -> Column:
@@ -38,15 +46,15 @@ def any_license() -> Column:
 def with_hospital_ids(docs: DataFrame, known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS) -> DataFrame:
     """Fill ``pId`` from ``provider_id``, then from a name-to-id mapping.
 
-    A short mapping becomes a literal; a table (hospital_name, hospital_id) is joined.
+    A table (hospital_name, hospital_id), or a long mapping made into one, is joined; a short mapping is a literal.
     """
+    if not isinstance(known_ids, DataFrame) and len(known_ids) > LITERAL_IDS:
+        known_ids = docs.sparkSession.createDataFrame(list(known_ids.items()), "hospital_name string, hospital_id string")
     own_id = F.coalesce("pId", "provider_id")
     if isinstance(known_ids, DataFrame):
         named = known_ids.select("hospital_name", F.col("hospital_id").alias("_known_id"))
         found = lookup_join(docs, named, ["hospital_name"])
         return found.withColumn("pId", F.coalesce(own_id, "_known_id")).drop("_known_id")
-    if len(known_ids) > MAX_LITERAL_IDS:
-        raise ValueError(f"pass a mapping of more than {MAX_LITERAL_IDS} hospitals as a table")
     pairs = [F.lit(text) for pair in known_ids.items() for text in pair]
     by_name = F.element_at(F.create_map(*pairs), F.col("hospital_name")) if pairs else F.lit(None)
     return docs.withColumn("pId", F.coalesce(own_id, by_name))
@@ -152,25 +160,26 @@ def flatten_any_license(docs: DataFrame, known_ids: Mapping[str, str] | DataFram
 
 
 def flatten_documents(
-    docs: DataFrame, extra: Sequence[str] = (), rebalance: bool = False, keep_unknown: bool = False
+    docs: DataFrame, extra: Sequence[str] = (), rebalance: bool = False, keep_unknown: bool = False,
+    known_ids: Mapping[str, str] | DataFrame | None = None, estimates: bool = False,
 ) -> DataFrame:
     """Documents of both variants in one pass, as bronze rows.
 
-    ``extra`` names further document columns to carry along. Documents of neither variant give no rows, or
-    with ``keep_unknown`` one row each that has only header columns; ``document_variant`` tells them apart.
+    ``extra`` names further document columns to carry along. What is no hospital document gives no rows, or with
+    ``keep_unknown`` one row each that has only header columns; ``document_variant`` tells them apart. ``known_ids``
+    fills missing hospital ids by name, and ``estimates`` takes an estimated amount where no negotiated one is given.
     """
     variant = F.col("document_variant")
-    tagged = docs.withColumn("document_variant", document_variant())
+    tagged = docs if known_ids is None else with_hospital_ids(docs, known_ids)
+    tagged = tagged.withColumn("document_variant", document_variant())
     if keep_unknown:
-        known_items = F.when(variant.isNotNull(), F.col("standard_charge_information"))
-        tagged = tagged.withColumn("standard_charge_information", known_items)
         extra = [*extra, "document_variant"]
     else:
         tagged = tagged.filter(variant.isNotNull())
     first, second = variant.eqNullSafe(1), variant.eqNullSafe(2)
-    license_number = F.coalesce("license_information.license", "license_information.license_number")
-    headed = document_header(tagged, license_number, dict.fromkeys([*extra, "document_variant"]))
-    rows = payer_rows(code_charge_rows(headed, ~first, rebalance), ~first)
+    headed = document_header(tagged, any_license(), dict.fromkeys([*extra, "document_variant"]))
+    dollar = F.coalesce("payer.standard_charge_dollar", "payer.estimated_amount") if estimates else None
+    rows = payer_rows(code_charge_rows(headed, ~first, rebalance), ~first, dollar)
     owner = {name: second for name in schemas.VARIANT_2_ONLY} | {name: first for name in schemas.VARIANT_1_ONLY}
     return rows.select(
         *extra,

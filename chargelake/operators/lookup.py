@@ -31,20 +31,18 @@ def lookup_join(
     lookup: DataFrame,
     on: Sequence[str],
     null_safe: bool = False,
-    weight: str | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     heavy_keys: int = HEAVY_KEYS,
 ) -> DataFrame:
     """Left join ``detail`` to a lookup whose key is unique, keeping every detail row once.
 
     A lookup measured below ``broadcast_bytes`` is broadcast and the detail is not shuffled. Beyond it,
-    only the lookup rows of the ``heavy_keys`` most frequent keys are broadcast; any other key then holds
-    at most one part in ``heavy_keys`` of the detail and meets its partner in a shuffle. Rows that have
-    been served already, or can have no partner, are routed by their input partition, which spreads
-    even exact copies and is the same again when a lost task is repeated.
+    only the ``heavy_keys`` most frequent keys of the detail are broadcast, with their lookup row if there
+    is one; any other key then holds at most one part in ``heavy_keys`` of the detail and meets its partner
+    in a shuffle. Rows that have been served already, or can have no partner, are routed by their input
+    partition, which spreads even exact copies and is the same again when a lost task is repeated.
 
-    ``lookup`` should be cheap to read twice (a table, or staged). ``weight`` names a lookup column that
-    already counts the detail rows per key; otherwise they are counted here.
+    ``lookup`` should be cheap to read twice (a table, or staged).
     """
     keys = list(on)
     carried = [name for name in lookup.columns if name not in keys]
@@ -60,17 +58,17 @@ def lookup_join(
         joined = detail.join(F.broadcast(wide), matches, "left")
         return joined.select(*detail.columns, "_hit.*")
 
-    if weight:
-        heavy = wide.orderBy(F.desc(f"_hit.{weight}")).limit(heavy_keys)
-    else:
-        counted = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        frequent = counted.orderBy(F.desc("_rows")).limit(heavy_keys).drop("_rows")
-        heavy = wide.join(F.broadcast(frequent), matches, "left_semi")
+    counted = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    frequent = counted.orderBy(F.desc("_rows")).limit(heavy_keys).select(*keys)
+    # Whether or not the lookup knows it, a frequent key is settled here.
+    heavy = frequent.join(wide, matches, "left").select(
+        *[F.col(name).alias(f"_key_{name}") for name in keys], "_hit", F.lit(True).alias("_frequent")
+    )
 
     served = detail.join(F.broadcast(heavy), matches, "left").select(
-        *detail.columns, F.col("_hit").alias("_heavy_hit")
+        *detail.columns, F.col("_hit").alias("_heavy_hit"), "_frequent"
     )
-    done = F.isnotnull("_heavy_hit")
+    done = F.isnotnull("_frequent")
     if not null_safe:
         done = reduce(lambda a, b: a | b, (column.isNull() for column in own_keys), done)
     by_key = F.pmod(F.xxhash64(*own_keys), F.lit(_ROUTES))

@@ -43,7 +43,7 @@ def with_price_rank(charges: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK
     if sorts_in_one_task(charges, rows_in_one_task):
         return rank_by_window(charges)
     ranks = staged(price_ranks(charges), "ranks")
-    return lookup_join(charges, ranks, [SERVICE, PRICE], null_safe=True, weight="priced_rows").drop("priced_rows")
+    return lookup_join(charges, ranks, [SERVICE, PRICE], null_safe=True).drop("priced_rows")
 
 
 def payer_coverage(charges: DataFrame, rsd: float | None = None) -> DataFrame:
@@ -89,9 +89,9 @@ def describe_by_counts(charges: DataFrame) -> DataFrame:
     charges, so a service of any size is spread over many tasks."""
     ranks = staged(price_ranks(charges), "ranks")
     facts = staged(service_facts(charges, ranks), "services")
-    priced = lookup_join(ranks, facts, [SERVICE], null_safe=True, weight="service_prices").drop("service_prices")
+    priced = lookup_join(ranks, facts, [SERVICE], null_safe=True).drop("service_prices")
     priced = staged(priced, "prices")
-    joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True, weight="priced_rows")
+    joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True)
     return joined.drop("priced_rows")
 
 

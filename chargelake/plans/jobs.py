@@ -6,24 +6,29 @@ appends only what is missing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
+from itertools import islice
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from chargelake import schemas
 from chargelake.operators import dimensions, quality
 from chargelake.operators.clean import CLEANERS
 from chargelake.operators.enrich import enrich, stamp
-from chargelake.operators.flatten import HEADER, align_csv, flatten_documents
+from chargelake.operators.flatten import HEADER, KNOWN_HOSPITAL_IDS, align_csv, flatten_documents
+from chargelake.operators.score import score
 from chargelake.sinks.export import Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.sources.files import files_to_ingest, list_files, scan_csv, scan_documents, with_source
+from chargelake.sources.files import conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
+from chargelake.staging import staged
 
 REGISTRY = "ingest_registry"
 CSV_VARIANT = 3
-FILE_SCHEMA = "source_path string, source_name string, source_id string, length bigint"
-REGISTRY_SCHEMA = FILE_SCHEMA + ", run_ts timestamp"
+REJECTED_FILES = "rejected_files"
+FILE_COLUMNS = ("source_path", "source_name", "source_id", "length")
+FILES_PER_BATCH = 10_000
+REGISTRY_SCHEMA = "source_path string, source_name string, source_id string, length bigint, hospital_id string, run_ts timestamp"
 KEYED_DIMENSIONS = {
     "dim_payer": ("payer_id bigint, payer_name string", dimensions.payer_additions),
     "dim_plan": ("plan_id bigint, plan_name string", dimensions.plan_additions),
@@ -31,12 +36,16 @@ KEYED_DIMENSIONS = {
 ATTRIBUTE_DIMENSIONS = {"dim_hospital": schemas.DIM_HOSPITAL, "dim_procedure": schemas.DIM_PROCEDURE}
 
 
-def write_bronze(lake: Lakehouse, docs: DataFrame, spread: bool) -> None:
+def write_bronze(
+    lake: Lakehouse, docs: DataFrame, spread: bool, known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS
+) -> None:
     """Flatten documents that carry ``source_id`` into their bronze partitions, in one pass.
 
-    A document of no known variant leaves one row with its header, see ``rejected_documents``.
+    Hospitals without an id get the one that ``known_ids`` has for their name. What is no hospital document leaves
+    one row with its header, see ``rejected_documents``.
     """
-    _write_sources(lake, flatten_documents(docs, ["source_id"], rebalance=spread, keep_unknown=True), spread)
+    rows = flatten_documents(docs, ["source_id"], spread, keep_unknown=True, known_ids=known_ids, estimates=True)
+    _write_sources(lake, rows, spread)
 
 
 def write_bronze_csv(lake: Lakehouse, wide: DataFrame, spread: bool) -> None:
@@ -54,7 +63,7 @@ def bronze_charges(lake: Lakehouse) -> DataFrame:
 
 
 def rejected_documents(lake: Lakehouse) -> DataFrame:
-    """Headers of the documents that were of no known variant."""
+    """Headers of what was found in the files but is no hospital document."""
     return lake.read("bronze_charges").filter("document_variant IS NULL").select("source_id", *HEADER)
 
 
@@ -63,46 +72,94 @@ def ingest(
     paths: str | Sequence[str],
     run_ts: datetime | Column,
     on_known: str = "skip",
+    on_conflict: str = "error",
     on_unknown: str = "reject",
     multi_line: bool = True,
     file_format: str = "json",
+    known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
+    csv_options: Mapping[str, str] | None = None,
 ) -> int:
-    """Bring files whose name was not ingested before into bronze; returns their number.
-
-    The files hold hospital documents, or with ``file_format="csv"`` wide rows under one common header.
-    ``on_known="error"`` stops the run when one was; two new files of one name always do.
-    ``on_unknown="error"`` stops it for a document of no known variant. Jobs use only what a finished run
-    has recorded.
+    """Bring files that were not ingested before into bronze; returns how many were accepted.
+
+    The files hold hospital documents, or with ``file_format="csv"`` wide rows under one common header; files of
+    another format below the same paths are left to their own run. A file is known by its path and length.
+    ``on_known="error"`` stops the run when one is known. A new file that shares its name with a different file stops
+    the run, or with ``on_conflict="reject"`` is put into ``rejected_files``. A file without an accepted row is put there
+    too and is not recorded as ingested, so its repaired form is taken later. ``on_unknown="error"`` stops the run
+    for anything that is no hospital document. Jobs use only what a finished run has recorded.
     """
     spark = lake.spark
-    listing = list_files(spark, paths)
+    listing = list_files(spark, paths, file_format)
     registry = lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA)
-    # Paths and sizes of new files only: what Spark's own file listing holds on the driver as well.
-    new = files_to_ingest(listing, registry).select("source_path", "source_name", "source_id", "length").collect()
-    if on_known == "error" and len(new) < listing.count():
+    new = staged(files_to_ingest(listing, registry).select(*FILE_COLUMNS), "new_files")
+    if on_known == "error" and new.count() < listing.count():
         raise ValueError("some of the files were ingested before")
-    if not new:
-        return 0
-    if len({row.source_name for row in new}) < len(new):
-        raise ValueError("two of the new files have the same name")
+    conflicts = conflicting_files(new, registry)
+    some = conflicts.limit(5).collect()
+    if some and on_conflict == "error":
+        raise ValueError(f"files of the same name as others: {[row.source_path for row in some]}")
+    if some:
+        _reject(lake, conflicts.withColumn("reason", F.lit("another file has this name")), run_ts)
+        new = staged(new.join(conflicts.select("source_path"), "source_path", "left_anti").select(*FILE_COLUMNS), "new_files")
+
+    rows = new.toLocalIterator()
+    while batch := list(islice(rows, FILES_PER_BATCH)):
+        _take(lake, batch, multi_line, file_format, known_ids, csv_options or {})
+    if on_unknown == "error" and lake.exists("bronze_charges"):
+        unknown = rejected_documents(lake).join(new, "source_id", "left_semi").first()
+        if unknown is not None:
+            raise ValueError(f"{unknown.source_id} holds what is no hospital document of a known variant")
+    return record_files(lake, new, run_ts)
+
 
-    # Flattening needs no shuffle unless one file outweighs a task's fair share.
-    sizes = [row.length for row in new]
-    spread = max(sizes) * spark.sparkContext.defaultParallelism > sum(sizes)
-    new_paths = [row.source_path for row in new]
+def _take(
+    lake: Lakehouse, batch: Sequence[Row], multi_line: bool, file_format: str, known_ids: Mapping[str, str] | DataFrame,
+    csv_options: Mapping[str, str],
+) -> None:
+    """Write one batch of files to bronze."""
+    paths, sizes = [row.source_path for row in batch], [row.length for row in batch]
     if file_format == "csv":
-        wide = with_source(scan_csv(spark, new_paths)).withColumn("document_variant", F.lit(CSV_VARIANT))
+        wide = with_source(scan_csv(lake.spark, paths, **csv_options)).withColumn("document_variant", F.lit(CSV_VARIANT))
         # A CSV file can be split, so its rows lie in several tasks and are gathered by source to write them.
         write_bronze_csv(lake, wide, spread=True)
     else:
-        write_bronze(lake, with_source(scan_documents(spark, new_paths, multi_line)), spread)
-    taken = spark.createDataFrame(new, FILE_SCHEMA)
-    if on_unknown == "error":
-        unknown = rejected_documents(lake).join(taken, "source_id", "left_semi").first()
-        if unknown is not None:
-            raise ValueError(f"{unknown.source_id} holds a document of no known variant")
-    lake.append(REGISTRY, stamp(taken, "run_ts", run_ts))
-    return len(new)
+        # Flattening needs no shuffle unless one file outweighs a task's fair share.
+        spread = max(sizes) * lake.spark.sparkContext.defaultParallelism > sum(sizes)
+        write_bronze(lake, with_source(scan_documents(lake.spark, paths, multi_line)), spread, known_ids)
+
+
+def _reject(lake: Lakehouse, files: DataFrame, run_ts: datetime | Column) -> None:
+    lake.append(REJECTED_FILES, stamp(files.select(*FILE_COLUMNS, "reason"), "run_ts", run_ts))
+
+
+def record_files(lake: Lakehouse, files: DataFrame, run_ts: datetime | Column) -> int:
+    """Enter files with an accepted bronze row into the registry, with their first hospital id, others as rejected.
+
+    Files that the registry has already are not entered again. Returns the number of files entered.
+    """
+    if not lake.exists("bronze_charges"):
+        _reject(lake, files.withColumn("reason", F.lit("no charges")), run_ts)
+        return 0
+    rows = lake.read("bronze_charges").join(files.select("source_id"), "source_id", "left_semi")
+    found = rows.groupBy("source_id").agg(
+        F.max(F.col("document_variant").isNotNull()).alias("accepted"), F.min("hospital_id").alias("hospital_id"))
+    judged = staged(files.join(found, "source_id", "left"), "judged")
+    entered = judged.filter("accepted").join(lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA), "source_id", "left_anti")
+    entered = staged(entered.select(*FILE_COLUMNS, "hospital_id"), "entered")
+    rejected = judged.filter("accepted IS NULL OR NOT accepted")
+    reason = F.when(F.col("accepted").isNull(), "no charges").otherwise("no hospital document")
+    if not rejected.isEmpty():
+        _reject(lake, rejected.withColumn("reason", reason), run_ts)
+    count = entered.count()
+    if count:
+        lake.append(REGISTRY, stamp(entered, "run_ts", run_ts))
+    return count
+
+
+def hospital_ingested(lake: Lakehouse, hospital_id: str) -> bool:
+    """Whether a recorded file held this hospital first."""
+    registry = lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA)
+    return not registry.filter(F.col("hospital_id") == hospital_id).isEmpty()
 
 
 def rows_of_run(lake: Lakehouse, rows: DataFrame, run_ts: datetime | Column) -> DataFrame:
@@ -113,12 +170,30 @@ def rows_of_run(lake: Lakehouse, rows: DataFrame, run_ts: datetime | Column) ->
 
 
 def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") -> None:
-    """Clean and enrich a run's bronze rows into silver. Rows of different files are never duplicates."""
+    """Clean and enrich a run's bronze rows into silver. Rows of different files are never duplicates.
+
+    A repeated run also removes the rows of sources that now leave none.
+    """
     cleaned = CLEANERS[mode](rows_of_run(lake, bronze_charges(lake), run_ts))
     silver = enrich(cleaned, run_ts).hint("rebalance", "source_id")
+    if lake.exists("silver_charges"):
+        before = rows_of_run(lake, lake.read("silver_charges"), run_ts).select("source_id")
+        if not before.isEmpty():
+            silver = staged(silver, "silver")
+            gone = before.distinct().join(silver.select("source_id").distinct(), "source_id", "left_anti")
+            lake.drop_partitions("silver_charges", gone)
     lake.overwrite_partitions("silver_charges", silver, ["source_id"])
 
 
+def score_run(lake: Lakehouse, run_ts: datetime | Column) -> None:
+    """Rank and score a run's silver rows among themselves and store them under their published columns."""
+    silver = rows_of_run(lake, lake.read("silver_charges"), run_ts)
+    if silver.isEmpty():
+        return
+    scored = score(silver).select("source_id", *schemas.SCORED_SILVER)
+    lake.overwrite_partitions("scored_silver", scored.hint("rebalance", "source_id"), ["source_id"])
+
+
 def build_gold(lake: Lakehouse, silver: DataFrame, run_ts: datetime | Column) -> None:
     """Add new members to the dimensions, then the run's facts."""
     for table, (schema, additions) in KEYED_DIMENSIONS.items():
@@ -138,11 +213,13 @@ def run_all(
     run_ts: datetime | Column,
     target: Target | None = None,
     mode: str = "strict",
+    known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
 ) -> int:
-    """Ingest, refine, model and, with a target, export. Returns the number of files ingested."""
-    files = ingest(lake, paths, run_ts)
+    """Ingest, refine, score, model and, with a target, export. Returns the number of files ingested."""
+    files = ingest(lake, paths, run_ts, known_ids=known_ids)
     if files:
         refine(lake, run_ts, mode)
+        score_run(lake, run_ts)
         build_gold(lake, rows_of_run(lake, lake.read("silver_charges"), run_ts), run_ts)
     if target is not None:
         export_gold(lake, target)

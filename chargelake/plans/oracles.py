@@ -168,11 +168,12 @@ _LICENSE_1 = "CASE WHEN kind < 5 THEN license_number END AS license_number, lice
 _LICENSE_2 = "CASE WHEN kind >= 5 AND kind < 9 THEN license_number END AS license_number, license_state"
 
 
-def _flat_columns(variant: int, superset: bool) -> str:
+def _flat_columns(variant: int, superset: bool, ids: str = "own_id", dollar: str = _DOLLAR) -> str:
     no_drug = ["NULL AS drug_type", "NULL AS drug_unit"] if superset else []
-    columns = ["own_id AS hospital_id", _HEAD, _LICENSE_1 if variant == 1 else _LICENSE_2, _ITEM]
+    license_number = "license_number, license_state" if superset else _LICENSE_1 if variant == 1 else _LICENSE_2
+    columns = [f"{ids} AS hospital_id", _HEAD, license_number, _ITEM]
     columns += [_DRUG] if variant == 2 else no_drug
-    columns += [_CODE, _CHARGE, _PAYER_NAMES, _DOLLAR, _PERCENT, _NOTES]
+    columns += [_CODE, _CHARGE, _PAYER_NAMES, dollar, _PERCENT, _NOTES]
     if variant == 1:
         columns += [_ALGORITHM] + (["NULL AS payer_id"] if superset else [])
     else:
@@ -188,10 +189,15 @@ def nested(then: str) -> str:
     return _with(_NESTED | _opened(False) | _opened(True), then)
 
 
-def _bronze(where: str = "true") -> str:
+def _bronze(where: str = "true", ids: str = "own_id", dollar: str = _DOLLAR) -> str:
     """Both variants as bronze rows, of the documents that meet a condition."""
-    return f"""SELECT {_flat_columns(1, True)} FROM (SELECT * FROM paid1 WHERE kind < 5 AND {where})
-        UNION ALL SELECT {_flat_columns(2, True)} FROM (SELECT * FROM paid2 WHERE kind >= 5 AND kind < 9 AND {where})"""
+    return f"""SELECT {_flat_columns(1, True, ids, dollar)} FROM (SELECT * FROM paid1 WHERE (kind < 5 OR kind = 9) AND {where})
+        UNION ALL SELECT {_flat_columns(2, True, ids, dollar)} FROM (SELECT * FROM paid2 WHERE kind >= 5 AND kind < 9 AND {where})"""
+
+
+def _ingested(where: str = "true") -> str:
+    """The same as the jobs store it: with all hospital ids and estimated amounts."""
+    return _bronze(where, "CAST(hospital_id AS VARCHAR)", _ANY_DOLLAR)
 
 
 def refined_parts(prefix: str = "", source: str = "bronze") -> dict[str, str]:
@@ -236,12 +242,13 @@ def _scored(columns: str) -> str:
     return using("scored", then=f"SELECT {columns} FROM scored")
 
 
-def _refined(then: str) -> str:
+def _refined(then: str, *parts: str) -> str:
     """Two deliveries of documents, each refined by itself."""
     named = _NESTED | _opened(False) | _opened(True) | {
-        "bronze_in": _bronze(_BATCH_1), "bronze_out": _bronze(_BATCH_2),
+        "bronze_in": _ingested(_BATCH_1), "bronze_out": _ingested(_BATCH_2),
         **refined_parts("in_", "bronze_in"), **refined_parts("out_", "bronze_out"),
         "silver": "SELECT * FROM in_silver UNION ALL SELECT * FROM out_silver",
+        **{part: PARTS[part] for part in parts},
     }
     return _with(named, then)
 
@@ -265,6 +272,13 @@ _CSV_ROWS = _charges("""SELECT * REPLACE (CAST(hospital_id AS VARCHAR) AS hospit
     NULL AS drug_type, NULL AS drug_unit, NULL AS additional_payer_notes, NULL AS standard_charge_algorithm,
     NULL AS payer_id FROM charges""")
 
+_SCORED_COLUMNS = """hospital_id, hospital_name, city, state, last_updated_on, license_number,
+        license_state, code, modifiers, code_type, care_setting, gross_charge, discounted_cash, min_charge, max_charge,
+        payer_name, plan_name, billing_class, methodology, standard_charge_dollar, standard_charge_percentage,
+        silver_ingestion_ts, payer_category, pricing_model, plan_type, charge_bucket, payer_info_missing, treatment_type,
+        is_medication, drug_form, imaging_type, is_lab_test, has_brand_indicator, max_price_rank, max_coverage,
+        score_price, score_coverage, score_brand, final_score"""
+
 ORACLES: dict[str, str] = {
     # sources
     "scan_json_nested": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
@@ -280,7 +294,7 @@ ORACLES: dict[str, str] = {
         FROM charges WHERE code = '17' ORDER BY plan_name NULLS FIRST, code, gross_charge NULLS FIRST,
         discounted_cash NULLS FIRST, standard_charge_percentage NULLS FIRST LIMIT 10"""),
     "distinct_services": _charges("SELECT DISTINCT service_description FROM charges ORDER BY 1 LIMIT 100"),
-    "ingest_new_only": _with(_NESTED | _opened(False) | _opened(True), _bronze(_BATCH_2)),
+    "ingest_new_only": _with(_NESTED | _opened(False) | _opened(True), _ingested(_BATCH_2)),
     # sinks
     "sink_parquet_roundtrip": _charges("SELECT * FROM charges"),
     "sink_replace_table": _charges("SELECT * FROM charges WHERE care_setting = 'outpatient'"),
@@ -305,7 +319,7 @@ ORACLES: dict[str, str] = {
     "flatten_type1": nested(f"SELECT {_flat_columns(1, False)} FROM paid1"),
     "flatten_type2": nested(f"SELECT {_flat_columns(2, False)} FROM paid2"),
     "flatten_both": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
-    "detect_variant": nested("""SELECT hospital_name, CASE WHEN kind < 5 THEN 1 WHEN kind < 9 THEN 2 END AS variant,
+    "detect_variant": nested("""SELECT hospital_name, CASE WHEN kind < 5 THEN 1 WHEN kind < 9 THEN 2 ELSE 1 END AS variant,
         count(*) AS documents FROM nested GROUP BY ALL"""),
     "coalesce_fields": nested(f"""SELECT CAST(hospital_id AS VARCHAR) AS hospital_id, {_HEAD}, license_number, license_state,
         {_ITEM}, {_CODE}, {_CHARGE}, {_PAYER_NAMES}, {_ANY_DOLLAR}, {_PERCENT}, {_NOTES}, {_ALGORITHM} FROM paid1"""),
@@ -316,12 +330,7 @@ ORACLES: dict[str, str] = {
         NULL AS standard_charge_algorithm, NULL AS payer_id FROM charges"""),
     "normalize_name": """SELECT c_custkey, replace(replace(lower(concat(c_mktsegment, ' Clinic-', c_name, '_TX')), ' ', '_'), '-', '_')
         AS source_name FROM customer""",
-    "project_keep_list": using("scored", then="""SELECT hospital_id, hospital_name, city, state, last_updated_on, license_number,
-        license_state, code, modifiers, code_type, care_setting, gross_charge, discounted_cash, min_charge, max_charge,
-        payer_name, plan_name, billing_class, methodology, standard_charge_dollar, standard_charge_percentage,
-        silver_ingestion_ts, payer_category, pricing_model, plan_type, charge_bucket, payer_info_missing, treatment_type,
-        is_medication, drug_form, imaging_type, is_lab_test, has_brand_indicator, max_price_rank, max_coverage,
-        score_price, score_coverage, score_brand, final_score FROM scored"""),
+    "project_keep_list": using("scored", then=f"SELECT {_SCORED_COLUMNS} FROM scored"),
     # filters and cleaning
     "drop_critical_nulls": _charges("""SELECT * FROM charges WHERE hospital_id IS NOT NULL AND hospital_name IS NOT NULL
         AND service_description IS NOT NULL AND gross_charge IS NOT NULL AND standard_charge_dollar IS NOT NULL"""),
@@ -414,11 +423,17 @@ ORACLES: dict[str, str] = {
         {TS} AS gold_ingestion_ts FROM silver"""),
     "plan_metadata": _silver("SELECT DISTINCT payer_name, plan_name, payer_category, plan_type FROM silver"),
     # jobs
-    "ingest_bronze": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
+    "ingest_bronze": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
+    "ingest_mixed_folder": _with(
+        _NESTED | _opened(False) | _opened(True) | {"wide": _CSV_ROWS}, f"{_ingested(_BATCH_1)} UNION ALL BY NAME SELECT * FROM wide"),
+    "rejected_documents": _with(_NESTED, """SELECT own_id AS hospital_id, hospital_name, hospital_address, hospital_location,
+        last_updated_on FROM nested WHERE ends_with(hospital_name, '9')"""),
+    "scored_silver": _refined(f"SELECT {_SCORED_COLUMNS} FROM scored", "ranked", "coverage", "covered", "maxima", "parts", "scored"),
+    "stream_then_refine": _refined("SELECT * FROM silver"),
     "ingest_csv": _CSV_ROWS,
     "refine_silver": _refined("SELECT * FROM silver"),
     "build_gold": using("dim_payer", "dim_plan", then=_FACT_FROM_SILVER),
     "export_gold_twice": _refined("""SELECT hospital_id, payer_name, plan_name, code, gross_charge, standard_charge_dollar,
         charge_bucket FROM silver"""),
-    "stream_pickup": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
+    "stream_pickup": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
 }

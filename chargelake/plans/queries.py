@@ -168,8 +168,9 @@ def distinct_services(spark, sf_dir):
 def ingest_new_only(spark, sf_dir):
     first, second = _delivered(spark, sf_dir, "inpatient", "outpatient")
     lake = _lake(spark, "pickup")
-    jobs.ingest(lake, first, F.lit("2025-02-01").cast("timestamp"))
-    jobs.ingest(lake, [first, second], _run_ts(local=False))
+    known_ids = _suppliers_by_name(spark, sf_dir)
+    jobs.ingest(lake, first, F.lit("2025-02-01").cast("timestamp"), known_ids=known_ids)
+    jobs.ingest(lake, [first, second], _run_ts(local=False), known_ids=known_ids)
     return jobs.rows_of_run(lake, jobs.bronze_charges(lake), _run_ts(local=False)).drop("source_id")
 
 
@@ -661,10 +662,35 @@ def plan_metadata(spark, sf_dir):
 @query
 def ingest_bronze(spark, sf_dir):
     lake = _lake(spark, "bronze")
-    jobs.ingest(lake, _all_documents(spark, sf_dir), _run_ts(local=False))
+    jobs.ingest(lake, _all_documents(spark, sf_dir), _run_ts(local=False), known_ids=_suppliers_by_name(spark, sf_dir))
     return jobs.bronze_charges(lake).drop("source_id")
 
 
+@query
+def ingest_mixed_folder(spark, sf_dir):
+    """Documents and wide CSV in one folder, each taken by the run for its format."""
+    lake, folder = _lake(spark, "mixed"), scratch_path(spark, "mixed")
+    docs = fixtures.documents(spark, sf_dir).filter("setting = 'inpatient'")
+    fixtures.write_documents(docs, f"{folder}/documents")
+    fixtures.write_csv(_charges(spark, sf_dir), f"{folder}/wide")
+    for file_format in ("json", "csv"):
+        jobs.ingest(lake, folder, _run_ts(local=False), file_format=file_format, known_ids=_suppliers_by_name(spark, sf_dir))
+    return jobs.bronze_charges(lake).drop("source_id")
+
+
+@query
+def rejected_documents(spark, sf_dir):
+    """Documents that have lost their license and items are set aside with what is left of their header."""
+    lake, folder = _lake(spark, "rejects"), scratch_path(spark, "broken")
+    docs = fixtures.documents(spark, sf_dir)
+    broken = F.col("hospital_name").endswith("9")
+    emptied = docs.withColumns({
+        name: F.when(~broken, F.col(name)) for name in ("license_information", "standard_charge_information")})
+    fixtures.write_documents(emptied, folder)
+    jobs.ingest(lake, folder, _run_ts(local=False))
+    return jobs.rejected_documents(lake).drop("source_id", "license_number", "license_state")
+
+
 @query
 def ingest_csv(spark, sf_dir):
     lake, folder = _lake(spark, "csv"), scratch_path(spark, "csv-files")
@@ -676,11 +702,22 @@ def ingest_csv(spark, sf_dir):
 @query
 def refine_silver(spark, sf_dir):
     lake = _lake(spark, "refine")
-    jobs.ingest(lake, _delivered(spark, sf_dir, "inpatient", "outpatient"), _run_ts(local=False))
+    delivered = _delivered(spark, sf_dir, "inpatient", "outpatient")
+    jobs.ingest(lake, delivered, _run_ts(local=False), known_ids=_suppliers_by_name(spark, sf_dir))
     jobs.refine(lake, _run_ts(local=False))
     return _without_zone(lake.read("silver_charges").drop("source_id"))
 
 
+@query
+def scored_silver(spark, sf_dir):
+    lake = _lake(spark, "scored")
+    delivered = _delivered(spark, sf_dir, "inpatient", "outpatient")
+    jobs.ingest(lake, delivered, _run_ts(local=False), known_ids=_suppliers_by_name(spark, sf_dir))
+    jobs.refine(lake, _run_ts(local=False))
+    jobs.score_run(lake, _run_ts(local=False))
+    return _without_zone(lake.read("scored_silver").drop("source_id"))
+
+
 @query
 def build_gold(spark, sf_dir):
     """The second run must neither add members nor repeat facts."""
@@ -697,7 +734,7 @@ def export_gold_twice(spark, sf_dir):
     lake, target = _lake(spark, "lake"), _lake(spark, "target")
     runs = ("2025-03-01 12:00:00.5", "2025-03-01 12:00:00.75")
     for folder, run_ts in zip(_delivered(spark, sf_dir, "inpatient", "outpatient"), runs, strict=True):
-        jobs.run_all(lake, folder, F.lit(run_ts).cast("timestamp"), target)
+        jobs.run_all(lake, folder, F.lit(run_ts).cast("timestamp"), target, known_ids=_suppliers_by_name(spark, sf_dir))
     export_gold(lake, target)
     named = target.read("fact_charges").join(target.read("dim_payer"), "payer_id", "left")
     return named.join(target.read("dim_plan"), "plan_id", "left").select(
@@ -711,5 +748,15 @@ def stream_pickup(spark, sf_dir):
     lake, folder = _lake(spark, "stream"), _all_documents(spark, sf_dir)
     checkpoint = scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
-        start_pickup(lake, folder, checkpoint).awaitTermination()
+        start_pickup(lake, folder, checkpoint, known_ids=_suppliers_by_name(spark, sf_dir)).awaitTermination()
     return jobs.bronze_charges(lake).drop("source_id")
+
+
+@query
+def stream_then_refine(spark, sf_dir):
+    """Streamed files are recorded, so the next job finds them."""
+    lake, checkpoint = _lake(spark, "streamed"), scratch_path(spark, "stream-checkpoint")
+    for folder in _delivered(spark, sf_dir, "inpatient", "outpatient"):
+        start_pickup(lake, folder, f"{checkpoint}/{folder[-8:]}", _run_ts(local=False), known_ids=_suppliers_by_name(spark, sf_dir)).awaitTermination()
+    jobs.refine(lake, _run_ts(local=False))
+    return _without_zone(lake.read("silver_charges").drop("source_id"))

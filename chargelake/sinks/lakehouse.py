@@ -33,6 +33,9 @@ class Lakehouse:
         return self.spark.catalog.tableExists(self.full_name(table))
 
     def read(self, table: str) -> DataFrame:
+        """The table as it is now, also when a stream's own session has written it."""
+        if not self._v2:
+            self.spark.catalog.refreshTable(self.full_name(table))
         return self.spark.read.table(self.full_name(table))
 
     def read_or_empty(self, table: str, schema: str) -> DataFrame:
@@ -69,6 +72,16 @@ class Lakehouse:
         else:
             self._in_table_order(table, df).write.insertInto(self.full_name(table), overwrite=True)
 
+    def drop_partitions(self, table: str, values: DataFrame) -> None:
+        """Delete the rows of a table whose partition column, the one column of ``values``, has one of these."""
+        (name,) = values.columns
+        for row in values.toLocalIterator():
+            quoted = str(row[0]).replace("\\", "\\\\").replace("'", "\\'")
+            if self._v2:
+                self.spark.sql(f"DELETE FROM {self.full_name(table)} WHERE {name} = '{quoted}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS PARTITION ({name} = '{quoted}')")
+
     def drop(self, tables: Sequence[str]) -> None:
         for table in tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(table)}")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from chargelake import schemas
 from chargelake.functions.columns import file_stem
 
+ENDINGS = {"json": r"(?i)\.(json|jsonl|ndjson|txt)(\.(gz|bz2|zst))?$", "csv": r"(?i)\.csv(\.(gz|bz2|zst))?$"}
+
 
 def scan_documents(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """Hospital documents: per file one object, or an array of them, over several lines.
@@ -27,8 +29,8 @@ def _source_columns(path: Column) -> list[Column]:
 
 
 def with_source(df: DataFrame) -> DataFrame:
-    """Add the file each row was read from. Directly on a file scan only."""
-    return df.select("*", *_source_columns(F.url_decode("_metadata.file_path")))
+    """Add the file each row was read from, and its length. Directly on a file scan only."""
+    return df.select("*", *_source_columns(F.url_decode("_metadata.file_path")), F.col("_metadata.file_size").alias("length"))
 
 
 def scan_csv(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
@@ -42,12 +44,22 @@ def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Source columns and length of each file; contents are not read."""
+def list_files(spark: SparkSession, paths: str | Sequence[str], file_format: str | None = None) -> DataFrame:
+    """Source columns and length of each file, of one format or of all; contents are not read."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    if file_format is not None:
+        listed = listed.filter(F.col("path").rlike(ENDINGS[file_format]))
     return listed.select(*_source_columns(F.col("path")), "length")
 
 
 def files_to_ingest(listing: DataFrame, registry: DataFrame) -> DataFrame:
-    """Files of a name that was not ingested before."""
-    return listing.join(registry.select("source_name"), "source_name", "left_anti")
+    """Files that were not ingested before: no known file has their path and length."""
+    return listing.join(registry.select("source_path", "length"), ["source_path", "length"], "left_anti")
+
+
+def conflicting_files(new: DataFrame, registry: DataFrame) -> DataFrame:
+    """New files of a name that another file had, whatever its folder: ingested before, or new as well."""
+    known = registry.select("source_name").distinct().withColumn("taken", F.lit(True))
+    named = new.groupBy("source_name").agg(F.count(F.lit(1)).alias("files"))
+    marked = new.join(named, "source_name").join(known, "source_name", "left")
+    return marked.filter("taken OR files > 1").select(*new.columns)

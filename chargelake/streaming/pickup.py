@@ -2,33 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chargelake import schemas
-from chargelake.plans.jobs import write_bronze
+from chargelake.operators.flatten import KNOWN_HOSPITAL_IDS
+from chargelake.plans.jobs import FILE_COLUMNS, record_files, write_bronze
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources.files import with_source
 
 
 def start_pickup(
-    lake: Lakehouse, folder: str, checkpoint: str, files_per_batch: int = 1000, spread: bool = True
+    lake: Lakehouse,
+    folder: str,
+    checkpoint: str,
+    run_ts: datetime | Column | None = None,
+    files_per_batch: int = 1000,
+    spread: bool = True,
+    known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
 ) -> StreamingQuery:
-    """Ingest the files whose names are new in a folder into bronze, then stop.
+    """Ingest the new files of a folder, known by their whole path, into bronze and the registry, then stop.
 
     ``checkpoint`` must lie in shared storage. A batch repeated after a failure replaces the partitions
-    of its own files, so bronze holds each file once.
+    of its own files and enters none twice, so bronze and registry hold each file once. ``run_ts`` is the run that
+    the files belong to, the current time of each batch by default.
     """
     docs = (
         lake.spark.readStream.schema(schemas.DOCUMENT)
         .option("multiLine", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("fileNameOnly", True)
         .json(folder)
     )
 
     def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        write_bronze(lake, batch, spread)
+        write_bronze(lake, batch, spread, known_ids)
+        record_files(lake, batch.select(*FILE_COLUMNS).distinct(), F.current_timestamp() if run_ts is None else run_ts)
 
     writer = with_source(docs).writeStream.foreachBatch(write_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

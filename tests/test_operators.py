@@ -34,7 +34,7 @@ TYPE_2 = {
         "standard_charges": [{"setting": "inpatient", "gross_charge": 20, "minimum": 1, "maximum": 9}],
     }],
 }
-UNKNOWN = {"pId": "3", "hospital_name": "C", "license_information": {"hospital_license_number": "L3"}}
+UNKNOWN = {"pId": "3", "hospital_name": "C", "license_information": {"state": "TX"}}
 
 
 @pytest.fixture
@@ -71,6 +71,21 @@ def test_both_variants_and_an_unknown_one_in_one_scan(docs):
     assert [r.hospital_name for r in kept.filter("document_variant IS NULL").collect()] == ["C"]
 
 
+def test_other_licenses_drop_no_document(docs):
+    third = TYPE_1 | {"license_information": {"hospital_license_number": "L3"}}
+    none = TYPE_1 | {"hospital_name": "N", "license_information": {"license": None}}
+    rows = flatten.flatten_documents(docs([third, none])).collect()
+    assert sum(r.license_number == "L3" for r in rows) == 4
+    assert sum(r.hospital_name == "N" for r in rows) == 6  # levels that are empty stay
+
+
+def test_estimates_and_ids_by_name(docs, spark):
+    text = json.dumps(TYPE_1 | {"pId": None}).replace("standard_charge_dollar", "estimated_amount")
+    named = spark.createDataFrame([("A", "77")], "hospital_name string, hospital_id string")
+    rows = flatten.flatten_documents(docs(json.loads(text)), known_ids=named, estimates=True).collect()
+    assert {(r.hospital_id, r.standard_charge_dollar) for r in rows} == {("77", 5.0), ("77", 6.5)}
+
+
 def test_array_decides_and_not_its_elements(spark):
     df = spark.createDataFrame([(1, [None, "x"]), (2, []), (3, None)], "id int, list array<string>")
     inner, outer = flatten.open_array(df, "list", "e", False), flatten.open_array(df, "list", "e", True)
@@ -89,8 +104,8 @@ def test_ids_from_literal_mapping(spark):
         [("7", None, "A"), (None, "8", "A"), (None, None, "Kindred Hospital Ontario"), (None, None, "A")],
         "pId string, provider_id string, hospital_name string")
     assert [r.pId for r in flatten.with_hospital_ids(df).collect()] == ["7", "8", "106361274", None]
-    with pytest.raises(ValueError):
-        flatten.with_hospital_ids(df, {str(n): "x" for n in range(2000)})
+    many = {str(n): "x" for n in range(2000)} | {"A": "9"}
+    assert sorted(str(r.pId) for r in flatten.with_hospital_ids(df, many).collect()) == ["7", "8", "9", "None"]
 
 
 def test_csv_by_header_with_absent_columns_and_bad_numbers(spark, tmp_path):
