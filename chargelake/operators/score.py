@@ -4,46 +4,71 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from chargelake.operators.lookup import lookup_join
-from chargelake.operators.ordering import running_total
+from chargelake.operators.lookup import lookup_join, same_key
 from chargelake.staging import staged
 
 SERVICE = "service_description"
 PRICE = "standard_charge_dollar"
-ROWS_IN_ONE_TASK = 1_000_000
 
 # Weights of the score's parts.
 WEIGHTS = {"score_price": 0.5, "score_coverage": 0.3, "score_brand": 0.2}
 
 
-def price_ranks(charges: DataFrame) -> DataFrame:
-    """Rank of each price within its service, cheapest first, NULL before all; ties share a rank.
+def sliced_by_price(charges: DataFrame) -> DataFrame:
+    """Charges stored in slices of similar size, contiguous by service and price; add ``_slice``.
 
-    A rank is one more than the number of cheaper rows, so only counts per price are ordered, never the
-    charges themselves, and a service of any size is spread over many tasks.
+    The last key of the ranges is a row number, so neither a large service nor a common price nor copies of a row are
+    bound to one slice. The slice numbers are written down before they are used twice.
     """
-    counted = charges.groupBy(SERVICE, PRICE).agg(F.count(F.lit(1)).alias("priced_rows"))
-    summed = running_total(counted, by=[SERVICE], order=[PRICE], value="priced_rows", name="_through")
-    rank = F.col("_through") - F.col("priced_rows") + 1
-    return summed.select(SERVICE, PRICE, rank.alias("price_rank"), "priced_rows")
+    numbered = charges.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(SERVICE, PRICE, "_row")
+    return staged(numbered.drop("_row").withColumn("_slice", F.spark_partition_id()), "slices")
+
+
+def counted_by_price(sliced: DataFrame) -> DataFrame:
+    return sliced.groupBy("_slice", SERVICE, PRICE).agg(F.count(F.lit(1)).alias("n"))
 
 
-def sorts_in_one_task(charges: DataFrame, limit: int) -> bool:
-    """Whether the largest service has few enough charges to be sorted by a single task."""
-    largest = charges.groupBy(SERVICE).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return (largest or 0) <= limit
+def slice_edges(counted: DataFrame) -> DataFrame:
+    """Per slice and service: rows, its first and last price, and the rows at the last."""
+    priced = F.struct(F.col(PRICE).alias("price"), "n")
+    edges = counted.groupBy("_slice", SERVICE).agg(F.sum("n").alias("n"), F.min(priced).alias("first"), F.max(priced).alias("last"))
+    return edges.select("_slice", SERVICE, "n", F.col("first.price").alias("first"), F.col("last.price").alias("last"), F.col("last.n").alias("at_last"))
 
 
-def rank_by_window(charges: DataFrame) -> DataFrame:
-    cheapest_first = Window.partitionBy(SERVICE).orderBy(PRICE)
-    return charges.withColumn("price_rank", F.rank().over(cheapest_first).cast("bigint"))
+def carried(edges: DataFrame) -> DataFrame:
+    """What earlier slices hold of a service that spans several: all rows, and those at this slice's first price.
+
+    Only the first service of a slice can have earlier rows, so there are no more rows than slices.
+    """
+    earlier = Window.partitionBy(SERVICE).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    held = edges.withColumn("before", F.sum("n").over(earlier)).filter("before IS NOT NULL")
+    ends = edges.select(SERVICE, F.col("last").alias("price"), "_slice", F.col("at_last").alias("n"), F.lit(False).alias("asks"))
+    asked = held.select(SERVICE, F.col("first").alias("price"), "_slice", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("asks"))
+    same_price = Window.partitionBy(SERVICE, "price").orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    tied = ends.unionAll(asked).withColumn("tied", F.coalesce(F.sum("n").over(same_price), F.lit(0))).filter("asks")
+    matches = same_key([F.col("h._slice"), F.col(f"h.{SERVICE}")], [F.col("t._slice"), F.col(f"t.{SERVICE}")], True)
+    return held.alias("h").join(tied.alias("t"), matches).select(
+        "h._slice", f"h.{SERVICE}", "before", F.col("first").alias("first_price"), "tied")
+
+
+def rank_slices(sliced: DataFrame, carry: DataFrame) -> DataFrame:
+    """Rank of each price within its service, cheapest first, NULL before all; ties share a rank.
+
+    A rank in the slice, moved by what earlier slices hold of the service; rows at the slice's first price share
+    the rank of the same price there. No task ranks more than a slice.
+    """
+    inside = Window.partitionBy("_slice", SERVICE).orderBy(PRICE)
+    local = sliced.withColumn("_local", F.rank().over(inside).cast("bigint")).alias("s")
+    matches = same_key([F.col("s._slice"), F.col(f"s.{SERVICE}")], [F.col("c._slice"), F.col(f"c.{SERVICE}")], True)
+    tied = F.when(F.col(PRICE).eqNullSafe(F.col("c.first_price")), F.col("c.tied")).otherwise(0)
+    rank = F.col("_local") + F.coalesce("c.before", F.lit(0)) - F.coalesce(tied, F.lit(0))
+    joined = local.join(F.broadcast(carry.alias("c")), matches, "left")
+    return joined.select(*[F.col(f"s.`{name}`") for name in sliced.columns if name != "_slice"], rank.alias("price_rank"))
 
 
-def with_price_rank(charges: DataFrame, rows_in_one_task: int = ROWS_IN_ONE_TASK) -> DataFrame:
-    if sorts_in_one_task(charges, rows_in_one_task):
-        return rank_by_window(charges)
-    ranks = staged(price_ranks(charges), "ranks")
-    return lookup_join(charges, ranks, [SERVICE, PRICE], null_safe=True).drop("priced_rows")
+def with_price_rank(charges: DataFrame) -> DataFrame:
+    sliced = sliced_by_price(charges)
+    return rank_slices(sliced, carried(staged(slice_edges(counted_by_price(sliced)), "edges")))
 
 
 def payer_coverage(charges: DataFrame, rsd: float | None = None) -> DataFrame:
@@ -56,64 +81,38 @@ def with_coverage(charges: DataFrame) -> DataFrame:
     return lookup_join(charges, staged(payer_coverage(charges), "coverage"), [SERVICE])
 
 
-def service_facts(charges: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Per service: its greatest price rank, its coverage and its number of prices.
+def service_facts(charges: DataFrame, edges: DataFrame) -> DataFrame:
+    """Per service: its greatest price rank and its coverage.
 
-    Coverage is looked up by name, so charges without a service have none.
+    The greatest rank is one more than the number of rows below the greatest price. Coverage is looked up by name, so
+    charges without a service have none.
     """
-    greatest = ranks.groupBy(SERVICE).agg(
-        F.max("price_rank").alias("max_price_rank"), F.count(F.lit(1)).alias("service_prices")
-    )
+    top = edges.groupBy(SERVICE).agg(F.sum("n").alias("rows"), F.max(F.struct("last")).alias("top"))
+    matches = F.col(f"e.{SERVICE}").eqNullSafe(F.col(f"t.{SERVICE}")) & F.col("e.last").eqNullSafe(F.col("t.top.last"))
+    at_top = edges.alias("e").join(top.alias("t"), matches).groupBy(f"t.{SERVICE}", "t.rows").agg(F.sum("e.at_last").alias("at_top"))
+    greatest = at_top.select(SERVICE, (F.col("rows") - F.col("at_top") + 1).alias("max_price_rank"))
     return greatest.join(payer_coverage(charges), SERVICE, "left")
 
 
-def describe_by_windows(charges: DataFrame) -> DataFrame:
-    """Rank, greatest rank and coverage from one shuffle; each service is held by one task.
-
-    Payers are counted by their place in name order, which adds two numbers to a row and not a set of names.
-    """
-    service = Window.partitionBy(SERVICE)
-    placed = rank_by_window(charges).withColumn("_place", F.dense_rank().over(service.orderBy("payer_name")))
-    unnamed = F.max(F.isnull("payer_name").cast("int")).over(service)
-    payers = (F.max("_place").over(service) - unnamed).cast("bigint")
-    return placed.select(
-        *charges.columns,
-        "price_rank",
-        F.max("price_rank").over(service).alias("max_price_rank"),
-        F.when(F.col(SERVICE).isNotNull(), payers).alias("payer_coverage_count"),
-    )
-
-
-def describe_by_counts(charges: DataFrame) -> DataFrame:
-    """The same from counts per price. All facts about a price are gathered before the one join to the
-    charges, so a service of any size is spread over many tasks."""
-    ranks = staged(price_ranks(charges), "ranks")
-    facts = staged(service_facts(charges, ranks), "services")
-    priced = lookup_join(ranks, facts, [SERVICE], null_safe=True).drop("service_prices")
-    priced = staged(priced, "prices")
-    joined = lookup_join(charges, priced, [SERVICE, PRICE], null_safe=True)
-    return joined.drop("priced_rows")
-
-
 def score(
     charges: DataFrame,
     weights: dict[str, float] = WEIGHTS,
     coverage_scope: str = "service",
-    rows_in_one_task: int = ROWS_IN_ONE_TASK,
 ) -> DataFrame:
     """Add ranks, coverage, partial scores and ``final_score`` to each charge.
 
     Coverage is measured against the best of its own service, which makes that part 1 for every service
     with a payer; ``coverage_scope="global"`` measures it against the best of all services.
 
-    Windows do the work while no service has more than ``rows_in_one_task`` charges, counts per price
-    beyond. ``charges`` is read more than once, mostly for two columns, so it should be a table or staged.
+    The charges are stored once, in slices by service and price, and read for two small tables and the result.
     """
-    fits = sorts_in_one_task(charges, rows_in_one_task)
-    described = describe_by_windows(charges) if fits else describe_by_counts(charges)
+    sliced = sliced_by_price(charges)
+    edges = staged(slice_edges(counted_by_price(sliced)), "edges")
+    facts = staged(service_facts(sliced, edges), "services")
+    described = lookup_join(rank_slices(sliced, carried(edges)), facts, [SERVICE], null_safe=True)
     best = F.col("payer_coverage_count")
     if coverage_scope == "global":
-        best = F.lit(payer_coverage(charges).agg(F.max("payer_coverage_count")).first()[0]).cast("bigint")
+        best = F.lit(facts.agg(F.max("payer_coverage_count")).first()[0]).cast("bigint")
     parts = described.withColumn("max_coverage", best).withColumns({
         "score_price": F.try_divide(F.col("max_price_rank") - F.col("price_rank"), F.col("max_price_rank")),
         "score_coverage": F.try_divide(F.col("payer_coverage_count"), F.col("max_coverage")),

@@ -539,12 +539,12 @@ def price_rank(spark, sf_dir):
 @query
 def price_rank_with_nulls(spark, sf_dir):
     rows = _charges(spark, sf_dir).select(*SERVICE_KEY, "standard_charge_dollar")
-    return score.with_price_rank(staged(rows, "charges"), rows_in_one_task=0)
+    return score.with_price_rank(staged(rows, "charges"))
 
 
 @query
 def service_max(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
     return scored.select("service_description", "max_price_rank", "max_coverage").distinct()
 
 
@@ -561,7 +561,7 @@ def score_price(spark, sf_dir):
 
 @query
 def score_coverage(spark, sf_dir):
-    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
     return scored.select(*SERVICE_KEY, "payer_coverage_count", "max_coverage", "score_coverage")
 
 
@@ -578,8 +578,8 @@ def score_brand(spark, sf_dir):
 
 @query
 def final_score_by_counts(spark, sf_dir):
-    """As ``final_score``, the way it is done when a service is too large for one task."""
-    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT), rows_in_one_task=0)
+    """The counts that the final score rests on, next to it."""
+    scored = score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT))
     return scored.select(*SERVICE_KEY, "payer_name", "price_rank", "max_price_rank", "final_score")
 
 

@@ -95,12 +95,31 @@ def test_score_is_the_same_beyond_the_broadcast_limit(spark, monkeypatch):
         .select("id", "r", "m", "covered")
     )
     shown = ["id", "price_rank", "max_price_rank", "payer_coverage_count", "final_score"]
-    windowed = score.score(charges).select(*shown)
-    small = score.score(charges, rows_in_one_task=100).select(*shown)
+    small = score.score(charges).select(*shown)
     monkeypatch.setattr(score, "lookup_join", lambda *a, **k: lookup_join(*a, **k, broadcast_bytes=0, heavy_keys=5))
-    large = score.score(charges, rows_in_one_task=100).select(*shown)
-    assert rows(windowed) == rows(small) == rows(large)
+    large = score.score(charges).select(*shown)
+    assert rows(small) == rows(large)
     assert rows(small.drop("final_score")) == rows(want)
-    assert not score.sorts_in_one_task(charges, 3999) and score.sorts_in_one_task(charges, 4000)
-    ranked = [rows(score.with_price_rank(charges, limit).select("id", "price_rank")) for limit in (0, 10_000)]
-    assert ranked[0] == ranked[1]
+    assert rows(score.with_price_rank(charges).select("id", "price_rank")) == rows(want.select("id", "r"))
+
+
+def test_no_slice_holds_a_service_or_a_tie(spark):
+    """One service with 60 % of the rows and one of its prices with 30 % are spread like all others."""
+    n = F.col("id")
+    charges = spark.range(40_000).select(
+        n, F.when(n % 10 < 6, "COMMON").otherwise(F.concat(F.lit("S"), (n % 90).cast("string"))).alias("service_description"),
+        F.when(n % 10 < 3, 5.0).when(n % 13 == 0, float("nan")).when(n % 11 > 0, (n * 31 % 997) / 10).alias("standard_charge_dollar"),
+    )
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"  # so little data would else be one slice
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        sliced = score.sliced_by_price(charges)
+        sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+        ranked = rows(score.with_price_rank(charges).select("id", "price_rank"))
+    finally:
+        spark.conf.set(coalesce, before)
+    assert len(sizes) >= 6 and max(sizes) <= 1.6 * 40_000 / len(sizes)
+    by_service = Window.partitionBy("service_description").orderBy("standard_charge_dollar")
+    want = charges.withColumn("r", F.rank().over(by_service)).select("id", "r")
+    assert ranked == rows(want)
