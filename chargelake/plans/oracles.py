@@ -14,6 +14,7 @@ _ADDRESS = """trim(string_split(hospital_address, ',')[1]) AS street,
   regexp_extract(trim(string_split(hospital_address, ',')[3]), '([A-Z]{2})', 1) AS state,
   regexp_extract(trim(string_split(hospital_address, ',')[3]), '(\\d{5})', 1) AS zip_code"""
 
+# The patterns and labels that the rules must have, stated here once more and on their own.
 _PAYER_CATEGORY = """CASE
   WHEN regexp_matches(payer_name, '(?i)aetna|cigna|humana|anthem|imagine health|blue cross') THEN 'Commercial'
   WHEN regexp_matches(payer_name, '(?i)medicare|provider partners|devoted') THEN 'Medicare'

@@ -27,6 +27,8 @@ DOCUMENT = (
     f" license_information {LICENSE}, standard_charge_information array<{ITEM}>"
 )
 
+# Fixed values from here on: column names and headers of the published tables and files, in their published order.
+
 # Bronze: one row per item, code, charge and payer. Columns a source lacks stay NULL.
 BRONZE = {
     "hospital_id": "string",

@@ -14,7 +14,7 @@ from chargelake.operators.score import with_price_rank
 from chargelake.plans import jobs
 from chargelake.sinks.export import DIMENSIONS, JdbcTarget, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.sources.tables import high_mark
+from chargelake.sources.tables import describe_columns, high_mark
 from chargelake.streaming.pickup import start_pickup
 
 FIRST, SECOND = datetime(2025, 3, 1, 12, 0, 0, 500_000), datetime(2025, 3, 1, 12, 0, 0, 750_000)
@@ -150,6 +150,13 @@ def test_stream_takes_each_file_once(lake, deliver, tmp_path):
     assert pick_up() == 5
 
 
+def test_columns_are_described(spark, lake):
+    lake.replace("b", spark.sql("SELECT 1 AS x, current_timestamp() AS at"))
+    lake.replace("a", spark.sql("SELECT array('p') AS list"))
+    assert [tuple(r) for r in describe_columns(spark, lake.namespace).collect()] == [
+        ("a", 1, "list", "array<string>"), ("b", 1, "x", "int"), ("b", 2, "at", "timestamp")]
+
+
 def test_appends_match_by_name(spark, lake):
     lake.append("t", spark.sql("SELECT 1 AS a, 'x' AS b"))
     lake.append("t", spark.sql("SELECT 'y' AS b, 2 AS a"))
