@@ -23,6 +23,7 @@ from chargelake.llm.blocks import text_blocks
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 MODEL_BYTES = 128 << 20
+BLOCK_BYTES = 1 << 20  # a block's n-grams take about a hundred times as much while they are counted
 UNKNOWN = "und"
 
 
@@ -73,7 +74,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
         held: dict[str, np.ndarray] = {}
         for batch in batches:
             names = np.array(batch.column(1).to_pylist(), object)
-            for first, data, offsets in text_blocks(batch.column(0)):
+            for first, data, offsets in text_blocks(batch.column(0), BLOCK_BYTES):
                 row, bucket, n, lettered = ngram_counts(data, offsets, buckets)
                 own = names[first : first + len(lettered)]
                 for name in set(own):
@@ -106,7 +107,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", b
 def score_texts(texts: pa.Array, model: Model) -> tuple[list[str], np.ndarray]:
     """Language and its posterior probability for each text."""
     named, scores = [], []
-    for _, data, offsets in text_blocks(texts):
+    for _, data, offsets in text_blocks(texts, BLOCK_BYTES):
         row, bucket, n, lettered = ngram_counts(data, offsets, len(model.log_probability))
         if not model.languages:
             named += [UNKNOWN] * len(lettered)
