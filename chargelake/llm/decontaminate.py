@@ -24,11 +24,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATORS), "")
 
 
-def windows_of(words: Column, size: int) -> Column:
+def codes_of(words: Column) -> Column:
+    """Hash of each word; a window's hash is taken over these, so that no word is hashed once per window."""
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def windows_of(codes: Column, size: int) -> Column:
     """Hash of each run of ``size`` words, by its first word."""
-    starts = F.sequence(F.lit(1), F.size(words) - size + 1)
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, F.lit(size))))
-    return F.when(F.size(words) >= size, hashes)
+    starts = F.sequence(F.lit(1), F.size(codes) - size + 1)
+    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(codes, i, F.lit(size))))
+    return F.when(F.size(codes) >= size, hashes)
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW_WORDS) -> DataFrame:
@@ -36,7 +41,7 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     worded = items.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("all")).filter(F.size("all") > 0)
     length = F.least(F.size("all"), F.lit(size))
     runs = F.transform(F.sequence(F.lit(1), F.size("all") - length + 1), lambda i: F.slice(F.col("all"), i, length))
-    return worded.select("item", F.explode(runs).alias("words")).distinct().select("item", F.xxhash64("words").alias("hash"), "words")
+    return worded.select("item", F.explode(runs).alias("words")).distinct().select("item", F.xxhash64(codes_of(F.col("words"))).alias("hash"), "words")
 
 
 def find_hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
@@ -53,10 +58,11 @@ def find_hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
     slim = known.select("hash", F.col("words").alias("window"), "size")
     slim = F.broadcast(slim) if fits_broadcast(slim) else slim
     worded = keyed.select("key", words_of(F.col("text")).alias("words"))
+    worded = worded.select("key", "words", codes_of(F.col("words")).alias("codes"))
     hits = None
     for size in sizes:
         # The outer form keeps Spark from evaluating the windows once more in an inferred filter.
-        scanned = worded.select("key", "words", F.posexplode_outer(windows_of(F.col("words"), size)).alias("pos", "hash"))
+        scanned = worded.select("key", "words", F.posexplode_outer(windows_of(F.col("codes"), size)).alias("pos", "hash"))
         met = scanned.join(slim.filter(F.col("size") == size), "hash")
         met = met.filter(F.slice("words", F.col("pos") + 1, F.col("size")) == F.col("window"))
         part = met.select("key", "pos", "size", "hash", "window")
