@@ -195,7 +195,7 @@ def nearest(
     least = least.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     shapes = unique.groupBy("key").agg(F.first("vector").alias("vector"), F.max("asks").alias("asks"))
     classes = staged(shapes.join(least, "key"), "classes")
-    asked = staged(unique.filter("asks").select("id", "key"), "asked")
+    asked = unique.filter("asks").select("id", "key")
 
     def ranked(found: DataFrame) -> DataFrame:
         apart = found.select("key", F.explode("ids").alias("vec_id"), "score").groupBy("key", "vec_id").agg(F.max("score").alias("score"))
@@ -206,10 +206,10 @@ def nearest(
     entries = with_nodes(classes.select("ids", "vector"), hashing, probing=False)
     probes = with_nodes(classes.filter("asks").select("key", "vector"), hashing, probing=True)
     found = ranked(best_candidates(entries, probes, count + 1))
-    full = found.groupBy("query", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") == count)
-    whole = asked.withColumn("query", F.concat_ws("-", "key", "id"))
-    short = staged(whole.join(full.select("query"), "query", "left_anti"), "short")
+    full = found.filter(F.col("rank") == count).select("query")
+    short = asked.withColumn("query", F.concat_ws("-", "key", "id")).join(full, "query", "left_anti")
     if not short.isEmpty():
+        short = staged(short, "short")
         everything = classes.select("ids", "vector", F.size("vector").cast("bigint").alias("node"))
         again = classes.join(short.select("key").distinct(), "key", "left_semi").select("key", "vector", F.size("vector").cast("bigint").alias("node"))
         exact = ranked(best_candidates(everything, again, count + 1)).join(short.select("query"), "query", "left_semi")
