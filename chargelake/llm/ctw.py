@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from chargelake.llm.blocks import buffer_of, text_blocks
+from chargelake.llm.common import row_key
 from chargelake.staging import staged
 
 END = 0xFF
@@ -250,15 +251,19 @@ def frequent(words: DataFrame) -> DataFrame:
 
 def score(
     docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_text_col: str = "text",
+    depth: int | None = None,
 ) -> DataFrame:
     """(id, n_bytes, score, n_tokens, n_known, train_tokens, base_score) of every row of ``docs``.
 
     ``score`` is the context-tree model's log10 probability of the text with its end mark, ``base_score`` that of a
     smoothed unigram model of words. The most frequent words, a bounded table, are broadcast; the counts of all other
-    words are looked up in a join, once per text and word.
+    words are looked up in a join, once per text and word. With ``depth``, contexts are that many true bytes, kept in a
+    stored table (``deep_context``); without it the bounded model is broadcast.
     """
+    from chargelake.llm.deep_context import tree_scores
+
     texts = training.select(F.coalesce(F.col(train_text_col).cast("string"), F.lit("")).alias("text"))
-    model = docs.sparkSession.sparkContext.broadcast(learn(texts))
+    model = None if depth else docs.sparkSession.sparkContext.broadcast(learn(texts))
     words = staged(token_counts(texts), "words")
     ends = texts.count()
     seen = words.agg(F.count(F.lit(1)).alias("kinds"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
@@ -269,10 +274,10 @@ def score(
         {row["token"].encode(): log10(row["n"] + 0.5) - below for row in frequent(words).toLocalIterator()})
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, tree = hot.value, model.value
+        known, tree = hot.value, model and model.value
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            scores = [tree.score(*coded(data, offsets)) for _, data, offsets in text_blocks(batch.column(1))]
+            scores = [tree.score(*coded(data, offsets)) for _, data, offsets in text_blocks(batch.column(1))] if tree else [np.zeros(batch.num_rows)]
             sizes, tokens, found, base, rare, times = [], [], [], [], [], []
             for text in batch.column(1):
                 data = (text.as_py() or "").encode("utf-8", "replace")
@@ -287,16 +292,17 @@ def score(
                         part, count = part + n * value, count + n
                 found.append(count), base.append(part), rare.append(others), times.append(repeats)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + batch.num_rows)), batch.column(0), pa.array(sizes, pa.int64()),
+                [pa.array(np.arange(row, row + batch.num_rows)), batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()),
                  pa.array(np.concatenate(scores)), pa.array(tokens, pa.int64()), pa.array(found, pa.int64()),
                  pa.array(base, pa.float64()), pa.array(rare, pa.list_(pa.binary())).cast(pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))],
-                names=["row", "id", "n_bytes", "score", "n_tokens", "n_known", "base", "rare", "times"])
+                names=["row", "id", "a", "b", "n_bytes", "score", "n_tokens", "n_known", "base", "rare", "times"])
             row += batch.num_rows
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    key = row_key(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), key["a"].alias("a"), key["b"].alias("b"))
     kind = rows.schema["id"].dataType.simpleString()
     measured = staged(rows.mapInArrow(
-        measure, f"row bigint, id {kind}, n_bytes bigint, score double, n_tokens bigint, n_known bigint, base double, "
+        measure, f"row bigint, id {kind}, a bigint, b bigint, n_bytes bigint, score double, n_tokens bigint, n_known bigint, base double, "
         "rare array<string>, times array<bigint>"), "measured")
     pairs = measured.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("token"), F.col("w.times").alias("times"))
     counted = pairs.join(words, "token", "left")
@@ -304,6 +310,8 @@ def score(
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - below)).alias("rest"),
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("known"))
     joined = measured.drop("rare", "times").join(sums, "row", "left")
+    if depth:
+        joined = joined.drop("score").join(tree_scores(rows.drop("id"), texts, depth), ["a", "b"])
     return joined.select(
         F.col("id").alias(id_col), "n_bytes", "score", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"))

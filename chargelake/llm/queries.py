@@ -19,7 +19,7 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = language.fold("doc_id", 5) == 1
-    found = ctw.score(docs, docs.filter(~held_out))
+    found = ctw.score(docs, docs.filter(~held_out), depth=6)
     return found.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
         (-F.col("score") * F.lit(math.log2(10)) / (F.col("n_bytes") + 1)).alias("bits_per_byte"))
