@@ -7,11 +7,12 @@ its parent's members, as with a group of near copies. In a small node all member
 dense one every member is compared with a few others, so that over the trees a group of any size hangs together without
 all of its pairs. Pairs that the sketches find similar are confirmed on the full sets, first a forest of them, then all
 that it leaves in different components. Dense nodes at last compare the members outside their most frequent component
-with all others, in packets. A pair at the threshold meets in a dense node of the second level with a probability of
-0.64 per tree, so eight trees miss it there in three of ten thousand cases.
+with all others, in packets, in every tree.
 
-A pair at the threshold stays together in one tree down to the second level with a probability of 0.64; sixteen trees
-miss it with one of less than one in a million, and at the fourth level with one of two in ten thousand.
+A pair at the threshold of 0.8 stays together in one tree down to level L with a probability of 0.8^L. Sixteen trees keep
+the chance to miss it below three in ten thousand down to the fourth level. Texts that get deeper in some tree go through
+as many further trees as their deepest level needs for that (21 for the fifth, 45 for the eighth, 114 for the twelfth),
+again and again until no text gets deeper than its trees allow. Roots repeat their coordinate after 64 trees.
 
 Words are split at ASCII white space after A-Z are folded. A text of fewer words than a shingle has one shingle, its
 whole sequence; one without words (also NULL) has none and is linked with nothing. A NULL id counts only where a
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import count
+from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ LEVELS = 12
 LEAF = 40
 COORDINATES = 64
 PACKET = 100
-CLOSING_TREES = 8
+MISS = 3e-4
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
 _RANDOM = np.random.default_rng(20240611)
@@ -90,6 +93,12 @@ def sketch_rows(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataF
     return rows.mapInArrow(sketch, f"id {kind}, key struct<a:bigint,b:bigint>, n bigint, cid binary, nodes array<bigint>, sketch binary")
 
 
+def trees_for(level: int, percent: int) -> int:
+    """Trees in which a pair at the threshold is parted above ``level`` in all of them with a chance of at most ``MISS``."""
+    together = (percent / 100) ** level
+    return TREES if together >= 1 else max(TREES, ceil(log(MISS) / log(1 - together)))
+
+
 def _fixed(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, width)
 
@@ -312,20 +321,35 @@ def near_duplicates(
             F.min(named).alias("least"), F.min("key").alias("key"), F.first("n").alias("n"),
             F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch")), "classes")
 
-    level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).withColumn("parent", F.lit(None).cast("bigint"))
-    found, dense = None, None
-    for depth in range(LEVELS):
-        packets = packets_of(level, f"level{depth}")
-        ends = (F.col("size") <= LEAF) | F.col("dense") | F.lit(depth == LEVELS - 1)
-        last, open_nodes = packets.filter(ends), packets.filter(~ends)
-        more, crowded = pairs_of(last, percent), last.filter((F.col("size") > LEAF) & (F.col("tree") < CLOSING_TREES))
-        found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
-        if open_nodes.isEmpty():
+    none = F.lit(None).cast("bigint")
+    level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).withColumn("parent", none)
+    found, dense, reached = None, None, None
+    for wave in count(1):
+        for depth in range(LEVELS):
+            if trees_for(depth + 1, percent) > TREES:
+                here = level.select("cid", F.lit(trees_for(depth + 1, percent)).alias("trees"))
+                reached = here if reached is None else reached.unionAll(here)
+            packets = packets_of(level, f"level{depth}")
+            ends = (F.col("size") <= LEAF) | F.col("dense") | F.lit(depth == LEVELS - 1)
+            last, open_nodes = packets.filter(ends), packets.filter(~ends)
+            more, crowded = pairs_of(last, percent), last.filter(F.col("size") > LEAF)
+            found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
+            if open_nodes.isEmpty():
+                break
+            place = F.pmod(F.xxhash64("node"), F.lit(COORDINATES)).cast("int") + 1
+            child = F.xxhash64("node", F.substring(F.col("sketch"), place, F.lit(1)))
+            level = open_nodes.select("node", "tree", "size", F.inline("members")).select(
+                "cid", "n", "sketch", "tree", child.alias("node"), F.col("size").alias("parent"))
+        if reached is None:
+            break
+        reached = staged(reached.groupBy("cid").agg(F.max("trees").alias("trees")), "reached")
+        deeper = reached.filter(F.col("trees") > wave * TREES)
+        if deeper.isEmpty():
             break
-        place = F.pmod(F.xxhash64("node"), F.lit(COORDINATES)).cast("int") + 1
-        child = F.xxhash64("node", F.substring(F.col("sketch"), place, F.lit(1)))
-        level = open_nodes.select("node", "tree", "size", F.inline("members")).select(
-            "cid", "n", "sketch", "tree", child.alias("node"), F.col("size").alias("parent"))
+        tree = F.explode(F.sequence(F.lit(wave * TREES), F.least(F.col("trees"), F.lit((wave + 1) * TREES)) - 1))
+        root = F.xxhash64("tree", F.substring(F.col("sketch"), F.pmod("tree", F.lit(COORDINATES)) + 1, F.lit(1)))
+        level = classes.join(deeper, "cid").select("cid", "n", "sketch", tree.alias("tree")).select(
+            "cid", "n", "sketch", "tree", root.alias("node"), none.alias("parent"))
 
     pairs = staged(found.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
     texts = Texts(docs, classes, id_col, text_col)

@@ -79,3 +79,27 @@ def test_components(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(chain, "x bigint, y bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 104)}}
     assert components(spark.createDataFrame([], "x bigint, y bigint")).count() == 0
+
+
+def test_trees_grow_with_the_deepest_level(documents, monkeypatch):
+    """A boilerplate group that is branched four times and more: no pair is lost however few trees a round has."""
+    assert all((1 - 0.8**level) ** near_dup.trees_for(level, 80) <= near_dup.MISS for level in range(1, near_dup.LEVELS + 1))
+    monkeypatch.setattr(near_dup, "TREES", 4)
+    monkeypatch.setattr(near_dup, "LEAF", 6)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(75)]
+    rows = []
+    for i in range(0, 500, 2):
+        words = common + [f"w{rng.randrange(10**6)}" for _ in range(45)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(words[:107] + [f"x{rng.randrange(10**6)}" for _ in range(13)]))]
+    assert result(near_dup.near_duplicates(documents(rows))) == brute_force(rows, 2, 80)
+
+
+def test_dense_nodes_are_closed_in_every_tree(documents, monkeypatch):
+    seen = []
+    monkeypatch.setattr(near_dup, "left_edges", lambda packets, *_: seen.extend(
+        r.tree for r in packets.select("tree").distinct().collect()) or packets.selectExpr("node AS x", "node AS y").limit(0).selectExpr("CAST(NULL AS binary) AS x", "CAST(NULL AS binary) AS y"))
+    words = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*words, f"end{i}"])) for i in range(100)]
+    near_dup.near_duplicates(documents(rows)).count()
+    assert max(seen) >= 8
