@@ -52,6 +52,14 @@ MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + MORE_RULES
+# What is replaced of a private key: from its first line to its last one, or, without that, over header and base64 lines.
+# Line ends may be written as \n, as in JSON. Scans list the first line alone, as their SQL does.
+_BREAK = r"(?:\\[rn]|\s){1,8}"
+KEY_BLOCK = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----)){0,400}+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_BREAK}[A-Za-z-]+: [^\r\n\\]*){{0,9}}(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}){{1,400}}(?:{_BREAK}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?![^\s\\\"']))?)?"
+)
+REDACTED_RULES = tuple(Rule(rule.kind, KEY_BLOCK) if rule.kind == "private_key" else rule for rule in RULES)
 
 
 def trigrams(word: str) -> frozenset[str]:
@@ -193,7 +201,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return with_spans(with_candidates(keyed, rules), rules).select(F.col("id").alias(id_col), "spans")
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", rules: Sequence[Rule] = RULES) -> DataFrame:
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", rules: Sequence[Rule] = REDACTED_RULES) -> DataFrame:
     """All rows and columns, with every secret in the text column replaced by ``mark``. A NULL text stays NULL."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.struct("*").alias("row"), text.alias("text"), row_key(F.col(id_col), text).alias("key"))
