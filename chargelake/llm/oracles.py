@@ -73,9 +73,58 @@ t AS (SELECT *, payload_bytes >= 1000 AND page_id IS DISTINCT FROM head AS again
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN again THEN head END AS refers_to FROM t"""
 
+_RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, t FROM (SELECT doc_id, {_WORDS} AS t FROM documents) WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM d),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM p, total GROUP BY term),
+m AS (SELECT r, doc_id, 25 + (75 * CAST(len(t) AS BIGINT) * docs) // terms AS m FROM d, total),
+q AS (SELECT n, item_id, term, count(*) AS times FROM (
+    SELECT n, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS n, item_id, {_WORDS} AS t FROM benchmark)) GROUP BY ALL),
+s AS (SELECT n, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, doc_id NULLS LAST) AS place FROM s WHERE score > 0) WHERE place <= 10"""
+
+# CRC-32 of each distinct feature from the same linear rule: what a byte adds by its distance from the end, and a constant
+# of the length. 3988292384 is the reversed polynomial.
+_RESAMPLED = f"""
+WITH RECURSIVE d AS (SELECT 0 AS side, row_number() OVER () AS n, doc_id, {_WORDS} AS t FROM documents),
+b AS (SELECT 1 AS side, row_number() OVER () AS n, {_WORDS} AS t FROM benchmark),
+f AS (SELECT side, n, array_to_string(t[i:i + k - 1], ' ') AS f FROM (
+    SELECT side, n, t, k, unnest(range(1, CAST(len(t) - k + 2 AS BIGINT))) AS i FROM (
+        SELECT side, n, t, unnest([1, 2, 3]) AS k FROM (SELECT side, n, t FROM d UNION ALL SELECT side, n, t FROM b)) WHERE len(t) >= k)),
+u AS (SELECT f, hex(encode(f)) AS h, strlen(f) AS size FROM (SELECT DISTINCT f FROM f)),
+bits(b, i, c) AS (SELECT x, 0, x FROM range(256) r(x) UNION ALL
+    SELECT b, i + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE i < 8),
+one AS (SELECT b, c FROM bits WHERE i = 8),
+place(away, b, c) AS (SELECT CAST(0 AS BIGINT), b, c FROM one UNION ALL
+    SELECT away + 1, place.b, xor(place.c >> 8, one.c) FROM place JOIN one ON one.b = place.c & 255 WHERE away + 1 < (SELECT max(size) FROM u)),
+zeros(size, r) AS (SELECT CAST(0 AS BIGINT), CAST(4294967295 AS BIGINT) UNION ALL
+    SELECT size + 1, xor(r >> 8, one.c) FROM zeros JOIN one ON one.b = r & 255 WHERE size < (SELECT max(size) FROM u)),
+bytes AS (SELECT f, size, size - i AS away, 16 * (instr('0123456789ABCDEF', h[2 * i - 1]) - 1) + instr('0123456789ABCDEF', h[2 * i]) - 1 AS b
+    FROM (SELECT f, size, h, unnest(range(1, CAST(size + 1 AS BIGINT))) AS i FROM u)),
+lin AS (SELECT f, any_value(size) AS size, bit_xor(c) AS c FROM bytes JOIN place USING (away, b) GROUP BY f),
+hashed AS (SELECT f, xor(xor(c, r), 4294967295) % 10000 AS bucket FROM lin JOIN zeros USING (size)),
+many AS (SELECT side, n, bucket FROM f JOIN hashed USING (f)),
+counts AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM many GROUP BY bucket),
+total AS (SELECT CAST(sum(s) AS BIGINT) AS ss, CAST(sum(t) AS BIGINT) AS tt FROM counts),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (ss + 10000) AS DOUBLE) / CAST((s + 1) * (tt + 10000) AS DOUBLE))) AS BIGINT) AS g FROM counts, total),
+w AS (SELECT n, count(*) AS n_features, CAST(sum(g) AS BIGINT) AS weight FROM many JOIN gain USING (bucket) WHERE side = 0 GROUP BY n),
+h AS (SELECT n, doc_id, len(t) AS words, upper(substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8)) AS x FROM d),
+drawn AS (SELECT n, doc_id, words, list_sum([(instr('0123456789ABCDEF', x[i]) - 1) * CAST(pow(16, 8 - i) AS BIGINT) FOR i IN range(1, 9)]) AS v FROM h),
+scored AS (SELECT n, doc_id, words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((v + 0.5) / 4294967296))) AS BIGINT) AS score FROM drawn LEFT JOIN w USING (n)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY words >= 20) AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND place <= 5 * fit // 100 THEN place END AS rank FROM ranked"""
+
 ORACLES = {
     "op8_warc_bundles": _WARC,
     "op6_near_duplicates": _NEAR_DUPLICATES,
     "op7_secret_scan": _SECRETS,
     "op9_decontamination": _DECONTAMINATION,
+    "op11_impact_search": _RANKED,
+    "op12_importance_resampling": _RESAMPLED,
 }

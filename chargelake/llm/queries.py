@@ -6,7 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chargelake.llm import ctw, decontaminate, language, near_dup, neighbours, packing, secrets, sharding, surrogates, warc
+from chargelake.llm import (
+    bpe, ctw, decontaminate, language, lexical, near_dup, neighbours, packing, resampling, secrets, sharding, surrogates, warc,
+)
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
 
@@ -90,6 +92,32 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def vocabulary_path(spark: SparkSession) -> str:
+    """The tokenizer file that ``chargelake.bpe.vocabulary`` names; unless set, that of the public tokenizers package."""
+    named = spark.conf.get("chargelake.bpe.vocabulary", "")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary_path(spark)
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_surrogates": op1_surrogates,
     "op2_context_tree": op2_context_tree,
@@ -101,4 +129,7 @@ QUERIES = {
     "op8_warc_bundles": op8_warc_bundles,
     "op9_decontamination": op9_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_impact_search": op11_impact_search,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_byte_pairs": op13_byte_pairs,
 }
