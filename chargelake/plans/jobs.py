@@ -18,7 +18,8 @@ from chargelake.operators.clean import CLEANERS
 from chargelake.operators.enrich import enrich, stamp
 from chargelake.operators.flatten import HEADER, KNOWN_HOSPITAL_IDS, align_csv, flatten_documents
 from chargelake.operators.score import score
-from chargelake.sinks.export import Target, export_gold
+from chargelake.sinks.changes import commit_partition
+from chargelake.sinks.export import FACT_PARTITION, FACTS, Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources.files import conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
 from chargelake.staging import staged
@@ -204,7 +205,8 @@ def build_gold(lake: Lakehouse, silver: DataFrame, run_ts: datetime | Column) ->
         lake.append(table, dimensions.attribute_additions(silver, existing, columns))
     stamped = stamp(silver, "gold_ingestion_ts", run_ts)
     facts = dimensions.fact_charges(stamped, lake.read("dim_payer"), lake.read("dim_plan"))
-    lake.overwrite_partitions("fact_charges", facts, ["gold_ingestion_ts"])
+    mark = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    commit_partition(lake, FACTS, facts, FACT_PARTITION, mark)
 
 
 def run_all(

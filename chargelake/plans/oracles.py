@@ -6,6 +6,7 @@ from chargelake.fixtures import CHARGES_SQL, TABLES
 
 RUN_TS = "2025-03-01 12:00:00.123456"
 TS = f"TIMESTAMP '{RUN_TS}'"
+EARLIER_TS = "2025-02-01 06:30:00"
 
 _CHARGES = CHARGES_SQL.format(**{name: name for name in TABLES})
 
@@ -269,6 +270,7 @@ def _two_step_keys(name: str, key: str, first: str, keep_null: bool) -> str:
             FROM (SELECT DISTINCT {name} FROM silver WHERE {first} AND {known})"""})
 
 
+_EXPORTED = "hospital_id, payer_name, code, gross_charge, standard_charge_dollar"
 _CSV_ROWS = _charges("""SELECT * REPLACE (CAST(hospital_id AS VARCHAR) AS hospital_id), NULL AS hospital_location,
     NULL AS drug_type, NULL AS drug_unit, NULL AS additional_payer_notes, NULL AS standard_charge_algorithm,
     NULL AS payer_id FROM charges""")
@@ -436,5 +438,9 @@ ORACLES: dict[str, str] = {
     "build_gold": using("dim_payer", "dim_plan", then=_FACT_FROM_SILVER),
     "export_gold_twice": _refined("""SELECT hospital_id, payer_name, plan_name, code, gross_charge, standard_charge_dollar,
         charge_bucket FROM silver"""),
+    "export_late_run": _silver(f"""SELECT {_EXPORTED}, CASE WHEN care_setting = 'inpatient' THEN {TS}
+        ELSE TIMESTAMP '{EARLIER_TS}' END AS gold_ingestion_ts FROM silver WHERE care_setting <> 'inpatient' OR code_type = 'CPT'"""),
+    "export_after_failure": _silver(f"""SELECT {_EXPORTED}, CASE WHEN care_setting = 'inpatient' THEN TIMESTAMP '{EARLIER_TS}'
+        ELSE {TS} END AS gold_ingestion_ts FROM silver"""),
     "stream_pickup": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
 }

@@ -12,8 +12,8 @@ from chargelake.functions import columns
 from chargelake.operators import clean, dimensions, enrich, flatten, quality, score
 from chargelake.operators.lookup import new_members
 from chargelake.plans import jobs
-from chargelake.plans.oracles import RUN_TS
-from chargelake.sinks.export import export_gold
+from chargelake.plans.oracles import EARLIER_TS, RUN_TS
+from chargelake.sinks.export import FACTS, LEDGER, export_gold, exported
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources import files, tables
 from chargelake.staging import scratch_path, staged
@@ -742,6 +742,58 @@ def export_gold_twice(spark, sf_dir):
     )
 
 
+def _stamped_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(enrich.enrich(clean.clean_strict(_charges(spark, sf_dir)), _run_ts(local=False)), "silver")
+
+
+def _exported_with_names(target: Lakehouse) -> DataFrame:
+    named = exported(target, target.spark).join(target.read("dim_payer"), "payer_id", "left")
+    return _without_zone(named.select("hospital_id", "payer_name", "code", "gross_charge", "standard_charge_dollar", "gold_ingestion_ts"))
+
+
+@query
+def export_late_run(spark, sf_dir):
+    """A run of an earlier date comes after a later one was exported, and the later one is built again with fewer rows."""
+    lake, target, silver = _lake(spark, "lake"), _lake(spark, "target"), _stamped_silver(spark, sf_dir)
+    early, late = F.lit(EARLIER_TS).cast("timestamp"), _run_ts(local=False)
+    inpatient = F.col("care_setting") == "inpatient"
+    for rows, run_ts in ((inpatient, late), (~inpatient, early), (inpatient & (F.col("code_type") == "CPT"), late)):
+        jobs.build_gold(lake, silver.filter(rows), run_ts)
+        export_gold(lake, target)
+    return _exported_with_names(target)
+
+
+class _Interrupted(Lakehouse):
+    """A target whose next export ends early: before the mark, or within the facts."""
+
+    fails_at: str | None = None
+
+    def append(self, table, df, partition_by=()):
+        if table == self.fails_at:
+            if table == FACTS:
+                super().append(table, df.filter(F.col("code").endswith("1")), partition_by)
+            raise InterruptedError(table)
+        super().append(table, df, partition_by)
+
+
+@query
+def export_after_failure(spark, sf_dir):
+    """One export fails between facts and mark, one within the facts; what the next ones leave has every fact once."""
+    lake, silver = _lake(spark, "lake"), _stamped_silver(spark, sf_dir)
+    target = _Interrupted(spark, f"target_{uuid4().hex[:12]}", scratch_path(spark, "target"))
+    inpatient = F.col("care_setting") == "inpatient"
+    runs = ((inpatient, F.lit(EARLIER_TS).cast("timestamp"), LEDGER), (~inpatient, _run_ts(local=False), FACTS))
+    for rows, run_ts, fails_at in runs:
+        jobs.build_gold(lake, silver.filter(rows), run_ts)
+        target.fails_at = fails_at
+        try:
+            export_gold(lake, target)
+        except InterruptedError:
+            target.fails_at = None
+    export_gold(lake, target)
+    return _exported_with_names(target)
+
+
 @query
 def stream_pickup(spark, sf_dir):
     """The second start finds nothing new."""

@@ -3,12 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chargelake.sources.tables import high_mark, rows_after
 
 WATERMARKS = "etl_watermark"
+DROPPED_TOGETHER = 200
+
+
+def _literal(value: object) -> str:
+    """A partition value in a statement. Times are written with all their microseconds."""
+    quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"TIMESTAMP '{quoted}'" if isinstance(value, datetime) else f"'{quoted}'"
 
 
 class Lakehouse:
@@ -51,10 +60,10 @@ class Lakehouse:
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.full_name(table))
 
-    def append(self, table: str, df: DataFrame) -> None:
+    def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Append by column name, creating the table when it is missing."""
         if not self.exists(table):
-            self.replace(table, df)
+            self.replace(table, df, partition_by)
         elif self._v2:
             df.writeTo(self.full_name(table)).append()
         else:
@@ -73,14 +82,18 @@ class Lakehouse:
             self._in_table_order(table, df).write.insertInto(self.full_name(table), overwrite=True)
 
     def drop_partitions(self, table: str, values: DataFrame) -> None:
-        """Delete the rows of a table whose partition column, the one column of ``values``, has one of these."""
+        """Delete the rows of a table whose partition column, the one column of ``values``, has one of these.
+
+        One statement drops up to ``DROPPED_TOGETHER`` partitions.
+        """
         (name,) = values.columns
-        for row in values.toLocalIterator():
-            quoted = str(row[0]).replace("\\", "\\\\").replace("'", "\\'")
+        rows = values.toLocalIterator()
+        while batch := [_literal(row[0]) for row in islice(rows, DROPPED_TOGETHER)]:
             if self._v2:
-                self.spark.sql(f"DELETE FROM {self.full_name(table)} WHERE {name} = '{quoted}'")
+                self.spark.sql(f"DELETE FROM {self.full_name(table)} WHERE {name} IN ({', '.join(batch)})")
             else:
-                self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS PARTITION ({name} = '{quoted}')")
+                listed = ", ".join(f"PARTITION ({name} = {value})" for value in batch)
+                self.spark.sql(f"ALTER TABLE {self.full_name(table)} DROP IF EXISTS {listed}")
 
     def drop(self, tables: Sequence[str]) -> None:
         for table in tables:
