@@ -22,6 +22,7 @@ from chargelake.sinks.changes import commit_partition
 from chargelake.sinks.export import FACT_PARTITION, FACTS, Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources.files import conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
+from chargelake.sources.split_json import scan_split_documents
 from chargelake.staging import staged
 
 REGISTRY = "ingest_registry"
@@ -29,6 +30,8 @@ CSV_VARIANT = 3
 REJECTED_FILES = "rejected_files"
 FILE_COLUMNS = ("source_path", "source_name", "source_id", "length")
 FILES_PER_BATCH = 10_000
+SPLIT_BYTES = 256 << 20
+CORRUPT, REASON = REJECTED = ("corrupt_record", "reason")
 REGISTRY_SCHEMA = "source_path string, source_name string, source_id string, length bigint, hospital_id string, run_ts timestamp"
 KEYED_DIMENSIONS = {
     "dim_payer": ("payer_id bigint, payer_name string", dimensions.payer_additions),
@@ -43,16 +46,31 @@ def write_bronze(
     """Flatten documents that carry ``source_id`` into their bronze partitions, in one pass.
 
     Hospitals without an id get the one that ``known_ids`` has for their name. What is no hospital document leaves
-    one row with its header, see ``rejected_documents``.
+    one row with its header, see ``rejected_documents``; what did not parse leaves its text, see ``rejected_records``.
     """
-    rows = flatten_documents(docs, ["source_id"], spread, keep_unknown=True, known_ids=known_ids, estimates=True)
+    marks = {name: F.lit(None).cast("string") for name in REJECTED if name not in docs.columns}
+    docs = docs.withColumns(marks)
+    broken = F.coalesce(*REJECTED[::-1]).isNotNull()
+    unread = F.when(F.col(CORRUPT).isNotNull(), F.lit("document does not parse"))
+    docs = docs.withColumn(REASON, F.coalesce(REASON, unread)).withColumns({
+        name: F.when(~broken, F.col(name)) for name in ("license_information", "standard_charge_information")})
+    rows = flatten_documents(docs, ["source_id", *REJECTED], spread, keep_unknown=True, known_ids=known_ids, estimates=True)
     _write_sources(lake, rows, spread)
 
 
 def write_bronze_csv(lake: Lakehouse, wide: DataFrame, spread: bool) -> None:
-    """Align wide CSV rows that carry ``source_id`` into their bronze partitions."""
-    rows = align_csv(wide, extra=["source_id", "document_variant"])
-    _write_sources(lake, rows, spread)
+    """Align wide CSV rows that carry ``source_id`` into their bronze partitions.
+
+    Lines that do not fit the header are no charges; they are kept as they stand.
+    """
+    if CORRUPT not in wide.columns:
+        wide = wide.withColumn(CORRUPT, F.lit(None).cast("string"))
+    fits = F.col(CORRUPT).isNull()
+    wide = wide.withColumns({
+        REASON: F.when(~fits, F.lit("line does not fit the header")), "document_variant": F.when(fits, F.lit(CSV_VARIANT))})
+    rows = align_csv(wide, extra=["source_id", *REJECTED, "document_variant"])
+    emptied = [F.when(F.col(REASON).isNull(), F.col(name)).alias(name) for name in schemas.BRONZE]
+    _write_sources(lake, rows.select("source_id", *REJECTED, "document_variant", *emptied), spread)
 
 
 def _write_sources(lake: Lakehouse, rows: DataFrame, spread: bool) -> None:
@@ -60,12 +78,18 @@ def _write_sources(lake: Lakehouse, rows: DataFrame, spread: bool) -> None:
 
 
 def bronze_charges(lake: Lakehouse) -> DataFrame:
-    return lake.read("bronze_charges").filter("document_variant IS NOT NULL").drop("document_variant")
+    return lake.read("bronze_charges").filter("document_variant IS NOT NULL").drop("document_variant", *REJECTED)
 
 
 def rejected_documents(lake: Lakehouse) -> DataFrame:
     """Headers of what was found in the files but is no hospital document."""
-    return lake.read("bronze_charges").filter("document_variant IS NULL").select("source_id", *HEADER)
+    return lake.read("bronze_charges").filter(f"document_variant IS NULL AND {REASON} IS NULL").select("source_id", *HEADER)
+
+
+def rejected_records(lake: Lakehouse) -> DataFrame:
+    """What could not be read: the file, the reason, and the text as far as it is known."""
+    rows = lake.read("bronze_charges").filter(F.col(REASON).isNotNull())
+    return rows.select("source_id", REASON, CORRUPT)
 
 
 def ingest(
@@ -79,6 +103,7 @@ def ingest(
     file_format: str = "json",
     known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
     csv_options: Mapping[str, str] | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> int:
     """Bring files that were not ingested before into bronze; returns how many were accepted.
 
@@ -87,10 +112,20 @@ def ingest(
     ``on_known="error"`` stops the run when one is known. A new file that shares its name with a different file stops
     the run, or with ``on_conflict="reject"`` is put into ``rejected_files``. A file without an accepted row is put there
     too and is not recorded as ingested, so its repaired form is taken later. ``on_unknown="error"`` stops the run
-    for anything that is no hospital document. Jobs use only what a finished run has recorded.
+    for anything that is no hospital document. Documents over several lines in files of more than ``split_bytes`` are
+    read by many tasks. Jobs use only what a finished run has recorded.
     """
-    spark = lake.spark
-    listing = list_files(spark, paths, file_format)
+    listing = list_files(lake.spark, paths, file_format)
+    return take_files(lake, listing, run_ts, on_known, on_conflict, on_unknown, multi_line, file_format, known_ids, csv_options, split_bytes)
+
+
+def take_files(
+    lake: Lakehouse, listing: DataFrame, run_ts: datetime | Column, on_known: str = "skip", on_conflict: str = "error",
+    on_unknown: str = "reject", multi_line: bool = True, file_format: str = "json",
+    known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS, csv_options: Mapping[str, str] | None = None,
+    split_bytes: int = SPLIT_BYTES,
+) -> int:
+    """``ingest`` of the files of a listing."""
     registry = lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA)
     new = staged(files_to_ingest(listing, registry).select(*FILE_COLUMNS), "new_files")
     if on_known == "error" and new.count() < listing.count():
@@ -105,9 +140,9 @@ def ingest(
 
     rows = new.toLocalIterator()
     while batch := list(islice(rows, FILES_PER_BATCH)):
-        _take(lake, batch, multi_line, file_format, known_ids, csv_options or {})
+        _take(lake, batch, multi_line, file_format, known_ids, csv_options or {}, split_bytes)
     if on_unknown == "error" and lake.exists("bronze_charges"):
-        unknown = rejected_documents(lake).join(new, "source_id", "left_semi").first()
+        unknown = lake.read("bronze_charges").filter("document_variant IS NULL").join(new, "source_id", "left_semi").first()
         if unknown is not None:
             raise ValueError(f"{unknown.source_id} holds what is no hospital document of a known variant")
     return record_files(lake, new, run_ts)
@@ -115,22 +150,38 @@ def ingest(
 
 def _take(
     lake: Lakehouse, batch: Sequence[Row], multi_line: bool, file_format: str, known_ids: Mapping[str, str] | DataFrame,
-    csv_options: Mapping[str, str],
+    csv_options: Mapping[str, str], split_bytes: int,
 ) -> None:
     """Write one batch of files to bronze."""
-    paths, sizes = [row.source_path for row in batch], [row.length for row in batch]
     if file_format == "csv":
-        wide = with_source(scan_csv(lake.spark, paths, **csv_options)).withColumn("document_variant", F.lit(CSV_VARIANT))
+        wide = with_source(scan_csv(lake.spark, [row.source_path for row in batch], corrupt=CORRUPT, **csv_options))
         # A CSV file can be split, so its rows lie in several tasks and are gathered by source to write them.
         write_bronze_csv(lake, wide, spread=True)
-    else:
+        return
+    large = [row.source_path for row in batch if multi_line and row.length > split_bytes]
+    others = [row for row in batch if not multi_line or row.length <= split_bytes]
+    if large:
+        write_bronze(lake, scan_split_documents(lake.spark, large), True, known_ids)
+    if others:
+        paths, sizes = [row.source_path for row in others], [row.length for row in others]
         # Flattening needs no shuffle unless one file outweighs a task's fair share.
         spread = max(sizes) * lake.spark.sparkContext.defaultParallelism > sum(sizes)
-        write_bronze(lake, with_source(scan_documents(lake.spark, paths, multi_line)), spread, known_ids)
+        write_bronze(lake, with_source(scan_documents(lake.spark, paths, multi_line, CORRUPT)), spread, known_ids)
 
 
 def _reject(lake: Lakehouse, files: DataFrame, run_ts: datetime | Column) -> None:
-    lake.append(REJECTED_FILES, stamp(files.select(*FILE_COLUMNS, "reason"), "run_ts", run_ts))
+    """Enter files with the reason, each form of a file once."""
+    known = lake.read_or_empty(REJECTED_FILES, f"{REGISTRY_SCHEMA}, reason string").select("source_path", "length")
+    fresh = files.join(known, ["source_path", "length"], "left_anti").select(*FILE_COLUMNS, "reason")
+    lake.append(REJECTED_FILES, staged(stamp(fresh, "run_ts", run_ts), "rejected"))
+
+
+def repaired_files(lake: Lakehouse, listing: DataFrame) -> DataFrame:
+    """Files of a listing that were rejected in another form, by their length, and not taken since."""
+    rejected = lake.read_or_empty(REJECTED_FILES, f"{REGISTRY_SCHEMA}, reason string")
+    changed = listing.join(rejected.select("source_path").distinct(), "source_path", "left_semi")
+    changed = changed.join(rejected.select("source_path", "length"), ["source_path", "length"], "left_anti")
+    return files_to_ingest(changed, lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA))
 
 
 def record_files(lake: Lakehouse, files: DataFrame, run_ts: datetime | Column) -> int:
@@ -143,12 +194,13 @@ def record_files(lake: Lakehouse, files: DataFrame, run_ts: datetime | Column) -
         return 0
     rows = lake.read("bronze_charges").join(files.select("source_id"), "source_id", "left_semi")
     found = rows.groupBy("source_id").agg(
-        F.max(F.col("document_variant").isNotNull()).alias("accepted"), F.min("hospital_id").alias("hospital_id"))
+        F.max(F.col("document_variant").isNotNull()).alias("accepted"), F.min("hospital_id").alias("hospital_id"),
+        F.min(REASON).alias("unread"))
     judged = staged(files.join(found, "source_id", "left"), "judged")
     entered = judged.filter("accepted").join(lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA), "source_id", "left_anti")
     entered = staged(entered.select(*FILE_COLUMNS, "hospital_id"), "entered")
     rejected = judged.filter("accepted IS NULL OR NOT accepted")
-    reason = F.when(F.col("accepted").isNull(), "no charges").otherwise("no hospital document")
+    reason = F.when(F.col("accepted").isNull(), "no charges").otherwise(F.coalesce("unread", F.lit("no hospital document")))
     if not rejected.isEmpty():
         _reject(lake, rejected.withColumn("reason", reason), run_ts)
     count = entered.count()

@@ -285,6 +285,7 @@ _SCORED_COLUMNS = """hospital_id, hospital_name, city, state, last_updated_on, l
 ORACLES: dict[str, str] = {
     # sources
     "scan_json_nested": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
+    "scan_json_split": _with(_NESTED | _opened(False) | _opened(True), _bronze()),
     "scan_csv": _CSV_ROWS,
     "scan_parquet": _charges("SELECT * FROM charges"),
     "scan_table": _charges("SELECT * FROM charges"),

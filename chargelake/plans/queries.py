@@ -15,7 +15,7 @@ from chargelake.plans import jobs
 from chargelake.plans.oracles import EARLIER_TS, RUN_TS
 from chargelake.sinks.export import FACTS, LEDGER, export_gold, exported
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.sources import files, tables
+from chargelake.sources import files, split_json, tables
 from chargelake.staging import scratch_path, staged
 from chargelake.streaming.pickup import start_pickup
 
@@ -85,6 +85,14 @@ def scan_json_nested(spark, sf_dir):
     return flatten.flatten_documents(files.scan_documents(spark, _all_documents(spark, sf_dir)))
 
 
+@query
+def scan_json_split(spark, sf_dir):
+    """All documents in one file, read by many tasks."""
+    folder = scratch_path(spark, "one-file")
+    fixtures.write_documents(fixtures.documents(spark, sf_dir).coalesce(1), folder)
+    return flatten.flatten_documents(split_json.scan_split_documents(spark, folder))
+
+
 @query
 def scan_csv(spark, sf_dir):
     folder = scratch_path(spark, "csv")

@@ -12,16 +12,20 @@ from chargelake.functions.columns import file_stem
 ENDINGS = {"json": r"(?i)\.(json|jsonl|ndjson|txt)(\.(gz|bz2|zst))?$", "csv": r"(?i)\.csv(\.(gz|bz2|zst))?$"}
 
 
-def scan_documents(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+def scan_documents(
+    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True, corrupt: str | None = None
+) -> DataFrame:
     """Hospital documents: per file one object, or an array of them, over several lines.
 
-    Such a file is read by one task. Files that hold one document per line can be split; read those with
-    ``multi_line=False``.
+    Such a file is read by one task; ``split_json`` reads large ones in many. Files that hold one document per line can
+    be split; read those with ``multi_line=False``. ``corrupt`` names a column for the text of what does not parse.
     """
-    return spark.read.schema(schemas.DOCUMENT).option("multiLine", multi_line).json(paths)
+    schema = schemas.DOCUMENT + (f", {corrupt} string" if corrupt else "")
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    return (reader.option("columnNameOfCorruptRecord", corrupt) if corrupt else reader).json(paths)
 
 
-def _source_columns(path: Column) -> list[Column]:
+def source_columns(path: Column) -> list[Column]:
     """Path, table-style name and an id of a file; the id differs for files of the same name."""
     name = file_stem(path)
     source_id = F.concat_ws("-", name, F.lower(F.hex(F.xxhash64(path))))
@@ -30,26 +34,33 @@ def _source_columns(path: Column) -> list[Column]:
 
 def with_source(df: DataFrame) -> DataFrame:
     """Add the file each row was read from, and its length. Directly on a file scan only."""
-    return df.select("*", *_source_columns(F.url_decode("_metadata.file_path")), F.col("_metadata.file_size").alias("length"))
+    return df.select("*", *source_columns(F.url_decode("_metadata.file_path")), F.col("_metadata.file_size").alias("length"))
 
 
-def scan_csv(spark: SparkSession, paths: str | Sequence[str], **options: str) -> DataFrame:
+def scan_csv(spark: SparkSession, paths: str | Sequence[str], corrupt: str | None = None, **options: str) -> DataFrame:
     """Wide CSV by header name, all columns as text. Files of one call must share their header;
-    one that differs is an error, not a silent shift of columns."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    return reader.options(**options).csv(paths)
+    one that differs is an error, not a silent shift of columns. ``corrupt`` names a column for the text of lines
+    that do not fit the header; their other columns hold what could be read."""
+    reader = spark.read.option("header", True).option("enforceSchema", False).options(**options)
+    if corrupt is None:
+        return reader.csv(paths)
+    names = reader.csv(paths).schema
+    return reader.schema(names.add(corrupt, "string")).option("columnNameOfCorruptRecord", corrupt).csv(paths)
 
 
 def scan_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def list_files(spark: SparkSession, paths: str | Sequence[str], file_format: str | None = None) -> DataFrame:
-    """Source columns and length of each file, of one format or of all; contents are not read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+def listed_columns(files: DataFrame, file_format: str | None = None) -> DataFrame:
+    """Source columns and length of files read as binary, of one format or of all; contents are not read."""
     if file_format is not None:
-        listed = listed.filter(F.col("path").rlike(ENDINGS[file_format]))
-    return listed.select(*_source_columns(F.col("path")), "length")
+        files = files.filter(F.col("path").rlike(ENDINGS[file_format]))
+    return files.select(*source_columns(F.col("path")), "length")
+
+
+def list_files(spark: SparkSession, paths: str | Sequence[str], file_format: str | None = None) -> DataFrame:
+    return listed_columns(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths), file_format)
 
 
 def files_to_ingest(listing: DataFrame, registry: DataFrame) -> DataFrame:

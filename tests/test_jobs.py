@@ -215,3 +215,63 @@ def test_ranking_reads_only_its_columns(spark, tmp_path):
     ranked = with_price_rank(spark.read.parquet(str(tmp_path / "wide"))).select("price_rank")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "other" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_broken_records_keep_their_text_and_reason(lake, deliver, tmp_path):
+    folder = tmp_path / "in"
+    deliver("a.json", TYPE_1)
+    (folder / "b.json").write_text(json.dumps(TYPE_2)[:60])
+    (folder / "c.csv").write_text("description,provider_id,standard_charge | gross\nKnee,9,12.5\nHip, with comma,9,3\nshort\n")
+    jobs.ingest(lake, str(folder), FIRST)
+    jobs.ingest(lake, str(folder), FIRST, file_format="csv")
+    found = {(r.source_id.split("-")[0], r.reason, r.corrupt_record) for r in jobs.rejected_records(lake).collect()}
+    assert found == {
+        ("b", "document does not parse", json.dumps(TYPE_2)[:60]),
+        ("c", "line does not fit the header", "Hip, with comma,9,3"), ("c", "line does not fit the header", "short")}
+    assert jobs.bronze_charges(lake).count() == 5 and jobs.rejected_documents(lake).isEmpty()
+    assert [(r.source_name, r.reason) for r in lake.read(jobs.REJECTED_FILES).collect()] == [("b", "document does not parse")]
+
+
+def test_rejected_files_are_entered_once_per_form(lake, deliver, tmp_path):
+    bad = tmp_path / "in" / "b.json"
+    deliver("a.json", [])
+    bad.write_text("{")
+    for run_ts in (FIRST, SECOND):
+        assert jobs.ingest(lake, str(tmp_path / "in"), run_ts) == 0
+    assert sorted(r.source_name for r in lake.read(jobs.REJECTED_FILES).collect()) == ["a", "b"]
+    bad.write_text("{ ")
+    jobs.ingest(lake, str(tmp_path / "in"), SECOND)
+    assert sorted(r.source_name for r in lake.read(jobs.REJECTED_FILES).collect()) == ["a", "b", "b"]
+
+
+def test_stream_accounts_for_every_file(lake, deliver, tmp_path):
+    def pick_up():
+        start_pickup(lake, str(tmp_path / "in"), str(tmp_path / "checkpoint")).awaitTermination()
+        rejected = lake.read_or_empty(jobs.REJECTED_FILES, "source_name string, reason string")
+        return {r.source_name for r in lake.read(jobs.REGISTRY).collect()}, sorted((r.source_name, r.reason) for r in rejected.collect())
+
+    deliver("a.json", TYPE_1)
+    deliver("empty.json", [])
+    broken = tmp_path / "in" / "b.json"
+    broken.write_text(json.dumps(TYPE_2)[:50])
+    first = [("b", "document does not parse"), ("empty", "no charges")]
+    assert pick_up() == ({"a"}, first)
+    deliver("other/A.json", TYPE_1)
+    assert pick_up() == ({"a"}, [("a", "another file has this name"), *first])
+    broken.write_text(json.dumps(TYPE_2))
+    taken, rejected = pick_up()
+    assert taken == {"a", "b"} and len(rejected) == 3
+    assert jobs.bronze_charges(lake).count() == 5
+    assert pick_up() == (taken, rejected)
+
+
+def test_large_files_go_through_splits(lake, deliver):
+    paths = [deliver("a.json", [TYPE_1, UNKNOWN]), deliver("b.json", TYPE_2)]
+    broken = deliver("c.json", TYPE_1)
+    with open(broken, "w") as file:
+        file.write(json.dumps(TYPE_1)[:-1])
+    assert jobs.ingest(lake, [*paths, broken], FIRST, split_bytes=10) == 2
+    assert jobs.bronze_charges(lake).count() == 5
+    assert [r.hospital_id for r in jobs.rejected_documents(lake).collect()] == ["3"]
+    assert [(r.reason, r.corrupt_record) for r in jobs.rejected_records(lake).collect()] == [("file ends within a document", None)]
+    assert [r.source_name for r in lake.read(jobs.REJECTED_FILES).collect()] == ["c"]
