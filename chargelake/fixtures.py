@@ -166,6 +166,22 @@ def write_documents(docs: DataFrame, path: str) -> None:
     lines.mapInArrow(as_arrays, "value string").write.text(path)
 
 
+def write_lines(lines: DataFrame, path: str, head: str | None = None) -> None:
+    """Write the one column of ``lines`` as text files, or with a ``head`` as CSV files that each begin with it."""
+
+    def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if head is not None:
+            yield pa.RecordBatch.from_pydict({"value": [head]})
+        yield from batches
+
+    writer = lines.mapInArrow(headed, "value string").write
+    if head is None:
+        writer.text(path)
+    else:
+        # Lines that are CSV already: no separator or quote in them means anything here.
+        writer.options(sep="\x01", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def write_csv(rows: DataFrame, path: str) -> None:
     """Write charges as wide CSV under the published header names."""
     headers = {name: header for name, header in schemas.CSV_HEADERS.items() if name in rows.columns}

@@ -187,7 +187,66 @@ def flatten_documents(
     )
 
 
-def align_csv(wide: DataFrame, truncate_cents: bool = False, extra: Sequence[str] = ()) -> DataFrame:
+def _groups(names: Iterable[str]) -> tuple[dict[str, dict[str, str]], dict[tuple[str, str], dict[str, str]]]:
+    """The numbered codes and the payers' own columns of a wide header: per group, each part and its header name.
+
+    Headers are compared without regard to case and to space around the bars.
+    """
+    codes: dict[str, dict[str, str]] = {}
+    payers: dict[tuple[str, str], dict[str, str]] = {}
+    for name in names:
+        parts = [part.strip() for part in name.split("|")]
+        kinds = [part.lower() for part in parts]
+        if kinds[0] == "code" and len(parts) in (2, 3) and parts[1].isdigit() and kinds[2:] in ([], ["type"]):
+            codes.setdefault(parts[1], {})["code_type" if kinds[2:] else "code"] = name
+        elif kinds[0] == "standard_charge" and len(parts) == 4 and kinds[3] in schemas.CSV_PAYER_PARTS:
+            payers.setdefault((parts[1], parts[2]), {})[schemas.CSV_PAYER_PARTS[kinds[3]]] = name
+        elif kinds[0] in schemas.CSV_PAYER_PARTS and len(parts) == 3:
+            payers.setdefault((parts[1], parts[2]), {})[schemas.CSV_PAYER_PARTS[kinds[0]]] = name
+    return codes, payers
+
+
+def align_csv_groups(wide: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Bronze columns from a wide CSV whose header repeats groups: a row per code and payer that a line has values for.
+
+    Codes stand under ``code | n`` and ``code | n | type``; a payer's columns carry its name and plan in their header.
+    A line without a code or without a value for any payer keeps one row with NULL there; one of whose payer columns
+    are of the long form, ``payer_name`` and so on, keeps that payer beside the others.
+    """
+    codes, payers = _groups(wide.columns)
+    base = align_csv(wide, extra=[*extra, *[F.col(f"`{name}`") for group in (*codes.values(), *payers.values()) for name in group.values() if name not in extra]])
+    own = [name for name in schemas.BRONZE]
+    coded = F.array(*[
+        F.struct(*[(F.col(f"`{group[part]}`") if part in group else F.lit(None)).cast("string").alias(part) for part in ("code", "code_type")])
+        for _, group in sorted(codes.items(), key=lambda pair: int(pair[0]))
+    ]) if codes else None
+    paid = F.array(*[
+        F.struct(F.lit(payer).alias("payer_name"), F.lit(plan).alias("plan_name"), *[
+            (F.col(f"`{group[part]}`").try_cast(schemas.BRONZE.get(part, "double")) if part in group else F.lit(None).cast(schemas.BRONZE.get(part, "double"))).alias(part)
+            for part in schemas.CSV_PAYER_PARTS.values()])
+        for (payer, plan), group in payers.items()
+    ]) if payers else None
+
+    rows, replaced = base, {}
+    if coded is not None:
+        given = F.filter(coded, lambda one: one["code"].isNotNull())
+        rows = rows.withColumn("_code", F.explode_outer(given))
+        replaced |= {part: F.col(f"_code.{part}") for part in ("code", "code_type")}
+    if paid is not None:
+        given = F.filter(paid, lambda one: F.coalesce(*[one[part].cast("string") for part in schemas.CSV_PAYER_PARTS.values()]).isNotNull())
+        parts = ("payer_name", "plan_name", *[part for part in schemas.CSV_PAYER_PARTS.values() if part in schemas.BRONZE])
+        long_form = F.array(F.struct("payer_name", "plan_name", *[
+            F.col(part) if part in schemas.BRONZE else F.lit(None).cast("double").alias(part) for part in schemas.CSV_PAYER_PARTS.values()]))
+        kind = f"array<{rows.select(given.alias('given')).schema['given'].dataType.elementType.simpleString()}>"
+        given = F.concat(F.when(F.col("payer_name").isNotNull(), long_form.cast(kind)).otherwise(F.array().cast(kind)), given)
+        rows = rows.withColumn("_payer", F.explode_outer(given))
+        stated = F.col("_payer").isNotNull()
+        replaced |= {part: F.when(stated, F.col(f"_payer.{part}")).otherwise(F.col(part)) for part in parts}
+        replaced["standard_charge_dollar"] = F.coalesce(replaced["standard_charge_dollar"], F.col("_payer.estimated_amount"))
+    return rows.select(*extra, *[replaced[name].alias(name) if name in replaced else F.col(name) for name in own])
+
+
+def align_csv(wide: DataFrame, truncate_cents: bool = False, extra: Sequence[str | Column] = ()) -> DataFrame:
     """Bronze columns from a wide CSV read as text. Numbers that do not parse give NULL.
 
     ``truncate_cents`` cuts negotiated, least and greatest amounts to whole dollars.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chargelake.operators.lookup import lookup_join, same_key
 from chargelake.staging import staged
@@ -123,3 +123,55 @@ def score(
         weighted = F.col(part) * F.lit(share)
         total = weighted if total is None else total + weighted
     return parts.withColumn("final_score", total)
+
+
+def best_plans(scored: DataFrame, k: int = 3, slices: int = 64) -> DataFrame:
+    """The ``k`` best plans of each service: by score, then the lower price, then the names, NULL first.
+
+    A plan stands for its best charge. Charges are combined per plan before they are sent, then the plans of a service
+    per slice of their hash to its ``k`` best, then the slices; so a service of any share of the charges, or with any
+    number of plans, is never in one task.
+    """
+    rank = F.struct((-F.col("final_score")).alias("order"), PRICE, "hospital_id")
+    charges = scored.filter(F.col("final_score").isNotNull())
+    plans = charges.groupBy(SERVICE, "payer_name", "plan_name").agg(F.min(rank).alias("best"))
+    entry = F.struct("best.order", f"best.{PRICE}", "payer_name", "plan_name", "best.hospital_id")
+
+    def first_of(entries: Column) -> Column:
+        return F.slice(F.array_sort(entries, _null_first), 1, k).alias("entries")
+
+    part = F.pmod(F.xxhash64("payer_name", "plan_name"), F.lit(slices)).alias("part")
+    sliced = plans.groupBy(SERVICE, part).agg(first_of(F.collect_list(entry)))
+    merged = sliced.groupBy(SERVICE).agg(first_of(F.flatten(F.collect_list("entries"))))
+    placed = merged.select(SERVICE, F.posexplode("entries").alias("at", "plan"))
+    return placed.select(
+        SERVICE, (F.col("at") + 1).alias("place"), "plan.payer_name", "plan.plan_name", "plan.hospital_id",
+        f"plan.{PRICE}", (-F.col("plan.order")).alias("final_score"))
+
+
+def _null_first(left: Column, right: Column) -> Column:
+    """Order of two entries by their fields, NULL before any value."""
+    order = F.lit(0)
+    for name in ("hospital_id", "plan_name", "payer_name", PRICE, "order"):
+        a, b = left[name], right[name]
+        order = (
+            F.when(a.isNull() & b.isNotNull(), -1).when(a.isNotNull() & b.isNull(), 1)
+            .when(a < b, -1).when(a > b, 1).otherwise(order))
+    return order
+
+
+def coverage_bitmaps(charges: DataFrame, payer_key: str = "payer_id", payer: str = "payer_name") -> DataFrame:
+    """Which payers cover each service, as bitmaps over their keys: a row per service and range of keys.
+
+    Bitmaps of deliveries are exact and can be merged, so a new delivery needs no look at the charges of earlier ones.
+    Charges without a payer cover nothing; a service that has only such charges keeps an empty bitmap.
+    """
+    key = F.when(F.col(payer).isNotNull(), F.col(payer_key))
+    position = F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("payers")
+    return charges.groupBy(SERVICE, F.bitmap_bucket_number(key).alias("bucket")).agg(position)
+
+
+def merged_coverage(bitmaps: DataFrame) -> DataFrame:
+    """Number of payers of each service, from the bitmaps of any number of deliveries."""
+    merged = bitmaps.groupBy(SERVICE, "bucket").agg(F.bitmap_or_agg("payers").alias("payers"))
+    return merged.groupBy(SERVICE).agg(F.sum(F.bitmap_count("payers")).alias("payer_coverage_count"))

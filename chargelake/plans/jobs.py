@@ -13,21 +13,25 @@ from itertools import islice
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from chargelake import schemas
-from chargelake.operators import dimensions, quality
+from chargelake.operators import dimensions, history, quality
 from chargelake.operators.clean import CLEANERS
 from chargelake.operators.enrich import enrich, stamp
-from chargelake.operators.flatten import HEADER, KNOWN_HOSPITAL_IDS, align_csv, flatten_documents
+from chargelake.operators.flatten import HEADER, KNOWN_HOSPITAL_IDS, align_csv_groups, flatten_documents
 from chargelake.operators.score import score
+from chargelake.plans.layout import bronze_rows, compact_bronze
 from chargelake.sinks.changes import commit_partition
 from chargelake.sinks.export import FACT_PARTITION, FACTS, Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.sources.files import conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
+from chargelake.sources import drift
+from chargelake.sources.files import ENDINGS, conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
 from chargelake.sources.split_json import scan_split_documents
 from chargelake.staging import staged
 
 REGISTRY = "ingest_registry"
 CSV_VARIANT = 3
 REJECTED_FILES = "rejected_files"
+UNKNOWN_VALUES = "unknown_values"
+HOSPITAL_STATES = "hospital_states"
 FILE_COLUMNS = ("source_path", "source_name", "source_id", "length")
 FILES_PER_BATCH = 10_000
 SPLIT_BYTES = 256 << 20
@@ -68,7 +72,7 @@ def write_bronze_csv(lake: Lakehouse, wide: DataFrame, spread: bool) -> None:
     fits = F.col(CORRUPT).isNull()
     wide = wide.withColumns({
         REASON: F.when(~fits, F.lit("line does not fit the header")), "document_variant": F.when(fits, F.lit(CSV_VARIANT))})
-    rows = align_csv(wide, extra=["source_id", *REJECTED, "document_variant"])
+    rows = align_csv_groups(wide, extra=["source_id", *REJECTED, "document_variant"])
     emptied = [F.when(F.col(REASON).isNull(), F.col(name)).alias(name) for name in schemas.BRONZE]
     _write_sources(lake, rows.select("source_id", *REJECTED, "document_variant", *emptied), spread)
 
@@ -78,17 +82,21 @@ def _write_sources(lake: Lakehouse, rows: DataFrame, spread: bool) -> None:
 
 
 def bronze_charges(lake: Lakehouse) -> DataFrame:
-    return lake.read("bronze_charges").filter("document_variant IS NOT NULL").drop("document_variant", *REJECTED)
+    return _charges_among(bronze_rows(lake))
+
+
+def _charges_among(rows: DataFrame) -> DataFrame:
+    return rows.filter("document_variant IS NOT NULL").drop("document_variant", *REJECTED)
 
 
 def rejected_documents(lake: Lakehouse) -> DataFrame:
     """Headers of what was found in the files but is no hospital document."""
-    return lake.read("bronze_charges").filter(f"document_variant IS NULL AND {REASON} IS NULL").select("source_id", *HEADER)
+    return bronze_rows(lake).filter(f"document_variant IS NULL AND {REASON} IS NULL").select("source_id", *HEADER)
 
 
 def rejected_records(lake: Lakehouse) -> DataFrame:
     """What could not be read: the file, the reason, and the text as far as it is known."""
-    rows = lake.read("bronze_charges").filter(F.col(REASON).isNotNull())
+    rows = bronze_rows(lake).filter(F.col(REASON).isNotNull())
     return rows.select("source_id", REASON, CORRUPT)
 
 
@@ -215,11 +223,43 @@ def hospital_ingested(lake: Lakehouse, hospital_id: str) -> bool:
     return not registry.filter(F.col("hospital_id") == hospital_id).isEmpty()
 
 
+def _sources_of_run(lake: Lakehouse, run_ts: datetime | Column) -> DataFrame:
+    mark = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    return lake.read(REGISTRY).filter(F.col("run_ts") == mark).select("source_id").distinct()
+
+
 def rows_of_run(lake: Lakehouse, rows: DataFrame, run_ts: datetime | Column) -> DataFrame:
     """Rows from the sources that a run ingested; partitions of others are pruned."""
+    return rows.join(_sources_of_run(lake, run_ts), "source_id", "left_semi")
+
+
+def bronze_of_run(lake: Lakehouse, run_ts: datetime | Column) -> DataFrame:
+    """A run's charges, wherever they lie."""
+    return _charges_among(bronze_rows(lake, _sources_of_run(lake, run_ts)))
+
+
+def compact(lake: Lakehouse) -> int:
+    """Move recorded files from their own partitions into those of hospitals and months; returns how many."""
+    return compact_bronze(lake, lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA))
+
+
+def keep_unknown_fields(lake: Lakehouse, run_ts: datetime | Column) -> None:
+    """Store the undeclared fields of a run's JSON files with their values, as JSON text, in place of what was stored.
+
+    The files are read once more, in splits. ``unknown_fields`` reports them.
+    """
     mark = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
-    sources = lake.read(REGISTRY).filter(F.col("run_ts") == mark).select("source_id").distinct()
-    return rows.join(sources, "source_id", "left_semi")
+    files = lake.read(REGISTRY).filter((F.col("run_ts") == mark) & F.col("source_path").rlike(ENDINGS["json"]))
+    rows = files.select("source_path").distinct().toLocalIterator()
+    while batch := [row.source_path for row in islice(rows, FILES_PER_BATCH)]:
+        values = drift.unknown_values(lake.spark, batch)
+        lake.overwrite_partitions(UNKNOWN_VALUES, values.select("source_id", "field", F.to_json("value").alias("value")), ["source_id"])
+
+
+def unknown_fields(lake: Lakehouse) -> DataFrame:
+    """Undeclared fields of the stored files: source, field, occurrences, type."""
+    stored = lake.read_or_empty(UNKNOWN_VALUES, "source_id string, field string, value string")
+    return drift.unknown_fields(stored.withColumn("value", F.parse_json("value")), "source_id")
 
 
 def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") -> None:
@@ -227,7 +267,7 @@ def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") ->
 
     A repeated run also removes the rows of sources that now leave none.
     """
-    cleaned = CLEANERS[mode](rows_of_run(lake, bronze_charges(lake), run_ts))
+    cleaned = CLEANERS[mode](bronze_of_run(lake, run_ts))
     silver = enrich(cleaned, run_ts).hint("rebalance", "source_id")
     if lake.exists("silver_charges"):
         before = rows_of_run(lake, lake.read("silver_charges"), run_ts).select("source_id")
@@ -258,9 +298,18 @@ def build_gold(lake: Lakehouse, silver: DataFrame, run_ts: datetime | Column) ->
     stamped = stamp(silver, "gold_ingestion_ts", run_ts)
     facts = dimensions.fact_charges(stamped, lake.read("dim_payer"), lake.read("dim_plan"))
     mark = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    stated = history.states(silver, "hospital_id", "last_updated_on", schemas.DIM_HOSPITAL[1:]).withColumn("run_ts", mark)
+    lake.overwrite_partitions(HOSPITAL_STATES, stated, ["run_ts"])
     commit_partition(lake, FACTS, facts, FACT_PARTITION, mark)
 
 
+def hospital_history(lake: Lakehouse) -> DataFrame:
+    """Versions of each hospital's attributes with the dates between which they hold, from all runs."""
+    stated = lake.read(HOSPITAL_STATES).select("hospital_id", "last_updated_on", "state.*")
+    return history.validity_intervals(
+        history.states(stated, "hospital_id", "last_updated_on", schemas.DIM_HOSPITAL[1:]), "hospital_id", "last_updated_on")
+
+
 def run_all(
     lake: Lakehouse,
     paths: str | Sequence[str],

@@ -74,6 +74,8 @@ PARTS = {
     "charges": f"SELECT * EXCLUDE (l_orderkey, l_linenumber) FROM ({_CHARGES})",
     "strict": f"{_STANDARD} (SELECT DISTINCT * FROM charges WHERE {_STRICT_FILTER})",
     "silver": f"SELECT {_silver_columns()} FROM strict",
+    "moving": f"""SELECT * REPLACE (CASE WHEN CAST(hospital_id AS INT) % 3 = 0 AND year(last_updated_on) % 2 = 1 THEN 'Dallas' ELSE city END AS city)
+        FROM (SELECT *, {_ADDRESS} FROM ({_STANDARD} charges))""",
     "ranked": """SELECT *, CAST(rank() OVER (PARTITION BY service_description
         ORDER BY standard_charge_dollar NULLS FIRST) AS BIGINT) AS price_rank FROM silver""",
     "coverage": """SELECT service_description, count(DISTINCT payer_name) AS payer_coverage_count
@@ -92,7 +94,7 @@ PARTS = {
         FROM (SELECT DISTINCT plan_name FROM silver WHERE plan_name IS NOT NULL)""",
 }
 _NEEDS = {
-    "strict": ["charges"], "silver": ["strict"], "ranked": ["silver"], "coverage": ["silver"],
+    "strict": ["charges"], "moving": ["charges"], "silver": ["strict"], "ranked": ["silver"], "coverage": ["silver"],
     "covered": ["ranked", "coverage"], "maxima": ["covered"], "parts": ["maxima"], "scored": ["parts"],
     "dim_payer": ["silver"], "dim_plan": ["silver"],
 }
@@ -332,6 +334,18 @@ ORACLES: dict[str, str] = {
         trunc(standard_charge_dollar) AS standard_charge_dollar, trunc(standard_charge_percentage) AS standard_charge_percentage),
         NULL AS hospital_location, NULL AS drug_type, NULL AS drug_unit, NULL AS additional_payer_notes,
         NULL AS standard_charge_algorithm, NULL AS payer_id FROM charges"""),
+    "align_csv_groups": _charges("""SELECT CAST(hospital_id AS VARCHAR) AS hospital_id, service_description, care_setting,
+        CASE n WHEN 1 THEN code WHEN 2 THEN 'N' || code END AS code, CASE n WHEN 1 THEN code_type WHEN 2 THEN 'NDC' END AS code_type,
+        gross_charge, CASE p WHEN 1 THEN 'Acme Health' WHEN 2 THEN 'Beta' END AS payer_name,
+        CASE p WHEN 1 THEN 'Gold PPO' WHEN 2 THEN 'HMO' END AS plan_name, CASE p WHEN 1 THEN methodology END AS methodology,
+        CASE p WHEN 1 THEN standard_charge_dollar END AS standard_charge_dollar,
+        CASE p WHEN 2 THEN standard_charge_percentage END AS standard_charge_percentage,
+        CASE WHEN p = 2 AND CAST(code_as_read AS INT) % 5 = 0 THEN 'see contract' END AS additional_payer_notes
+        FROM (SELECT *, code AS code_as_read,
+          unnest(CASE WHEN x % 7 = 0 AND x % 3 <> 0 THEN [NULL] WHEN x % 7 = 0 THEN [2] WHEN x % 3 = 0 THEN [1, 2] ELSE [1] END) AS n,
+          CASE WHEN a AND b THEN [1, 2] WHEN a THEN [1] WHEN b THEN [2] ELSE [NULL] END AS ps
+          FROM (SELECT *, CAST(code AS INT) AS x, standard_charge_dollar IS NOT NULL OR methodology IS NOT NULL AS a,
+            standard_charge_percentage IS NOT NULL OR CAST(code AS INT) % 5 = 0 AS b FROM charges)), unnest(ps) AS u(p)"""),
     "normalize_name": """SELECT c_custkey, replace(replace(lower(concat(c_mktsegment, ' Clinic-', c_name, '_TX')), ' ', '_'), '-', '_')
         AS source_name FROM customer""",
     "project_keep_list": using("scored", then=f"SELECT {_SCORED_COLUMNS} FROM scored"),
@@ -413,9 +427,24 @@ ORACLES: dict[str, str] = {
     "final_score_by_counts": _scored(f"{_SERVICE_KEY}, payer_name, price_rank, max_price_rank, final_score"),
     "final_score": _scored("""hospital_id, code, service_description, payer_name, plan_name, standard_charge_dollar,
         price_rank, payer_coverage_count, score_price, score_coverage, score_brand, final_score"""),
+    "best_plan_per_service": using("scored", then="""SELECT service_description, CAST(place AS INTEGER) AS place, payer_name, plan_name, hospital_id,
+        standard_charge_dollar, final_score FROM (SELECT *, row_number() OVER (PARTITION BY service_description
+            ORDER BY final_score DESC, standard_charge_dollar, payer_name NULLS FIRST, plan_name NULLS FIRST, hospital_id) AS place
+        FROM (SELECT *, row_number() OVER (PARTITION BY service_description, payer_name, plan_name
+            ORDER BY final_score DESC, standard_charge_dollar, hospital_id) AS own FROM scored WHERE final_score IS NOT NULL) WHERE own = 1)
+        WHERE place <= 3"""),
+    "coverage_merged": using("coverage", then="SELECT * FROM coverage"),
     # star schema
     "union_dims": _two_step_keys("payer_name", "payer_id", "payer_category = 'Commercial'", True),
     "dim_hospital": _silver(f"SELECT DISTINCT {_HOSPITAL} FROM silver"),
+    "dim_hospital_history": using("moving", then="""SELECT hospital_id, hospital_name, city, last_updated_on AS valid_from,
+        lead(last_updated_on) OVER (PARTITION BY hospital_id ORDER BY last_updated_on) AS valid_to FROM (
+            SELECT *, lag(city) OVER w AS before, row_number() OVER w AS nth FROM (
+                SELECT DISTINCT hospital_id, hospital_name, city, last_updated_on FROM moving WHERE last_updated_on IS NOT NULL)
+            WINDOW w AS (PARTITION BY hospital_id ORDER BY last_updated_on))
+        WHERE nth = 1 OR city IS DISTINCT FROM before"""),
+    "fact_hospital_version": using("moving", then="""SELECT hospital_id, code, last_updated_on, gross_charge,
+        CASE WHEN last_updated_on IS NOT NULL THEN city END AS city FROM moving"""),
     "dim_payer": _two_step_keys("payer_name", "payer_id", "payer_category = 'Medicare'", True),
     "dim_plan": _two_step_keys("plan_name", "plan_id", "plan_type = 'HMO'", False),
     "dim_procedure": _silver(f"SELECT DISTINCT {_PROCEDURE} FROM silver"),
@@ -429,12 +458,22 @@ ORACLES: dict[str, str] = {
     # jobs
     "ingest_bronze": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
     "ingest_mixed_folder": _with(
-        _NESTED | _opened(False) | _opened(True) | {"wide": _CSV_ROWS}, f"{_ingested(_BATCH_1)} UNION ALL BY NAME SELECT * FROM wide"),
+        _NESTED | _opened(False) | _opened(True) | {"wide": _CSV_ROWS}, f"{_ingested()} UNION ALL BY NAME SELECT * FROM wide"),
     "rejected_documents": _with(_NESTED, """SELECT own_id AS hospital_id, hospital_name, hospital_address, hospital_location,
         last_updated_on FROM nested WHERE ends_with(hospital_name, '9')"""),
     "scored_silver": _refined(f"SELECT {_SCORED_COLUMNS} FROM scored", "ranked", "coverage", "covered", "maxima", "parts", "scored"),
     "stream_then_refine": _refined("SELECT * FROM silver"),
     "ingest_csv": _CSV_ROWS,
+    "compacted_bronze": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
+    "unknown_fields": nested("""SELECT 'license_information.issued' AS field, 'STRING' AS type, count(*) AS occurrences FROM nested
+        UNION ALL SELECT 'policy', 'OBJECT<kind: STRING, pages: ARRAY<BIGINT>>', count(*) FROM nested WHERE ends_with(hospital_name, '3')
+        UNION ALL SELECT 'standard_charge_information[].review', 'STRING', count(*) FROM nested
+            WHERE len(items) > 0 AND len(codes) > 0 AND ends_with(code, '7')
+        UNION ALL SELECT 'standard_charge_information[].standard_charges[].payers_information[].in_network', 'BOOLEAN',
+            CAST(sum(len(amounts) * len(payers)) AS BIGINT) FROM nested WHERE len(items) > 0"""),
+    "rejected_records": _with(_NESTED, """SELECT 'document does not parse' AS reason, '{"hospital_name": "' || hospital_name AS corrupt_record
+        FROM nested WHERE ends_with(hospital_name, '9')
+        UNION ALL SELECT 'line does not fit the header', code || ',' || care_setting || ',cut' FROM nested WHERE ends_with(code, '7')"""),
     "refine_silver": _refined("SELECT * FROM silver"),
     "build_gold": using("dim_payer", "dim_plan", then=_FACT_FROM_SILVER),
     "export_gold_twice": _refined("""SELECT hospital_id, payer_name, plan_name, code, gross_charge, standard_charge_dollar,

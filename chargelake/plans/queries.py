@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from chargelake import fixtures, schemas
 from chargelake.functions import columns
-from chargelake.operators import clean, dimensions, enrich, flatten, quality, score
+from chargelake.operators import clean, dimensions, enrich, flatten, history, quality, score
 from chargelake.operators.lookup import new_members
 from chargelake.plans import jobs
 from chargelake.plans.oracles import EARLIER_TS, RUN_TS
@@ -314,6 +314,26 @@ def align_csv(spark, sf_dir):
     return flatten.align_csv(wide, truncate_cents=True)
 
 
+@query
+def align_csv_groups(spark, sf_dir):
+    """Two numbered codes and two payers in the header; some lines lack one or the other."""
+    rows, one = _charges(spark, sf_dir), F.lit(None).cast("string")
+    code = F.col("code").cast("int")
+    wide = rows.select(
+        F.col("hospital_id").alias("provider_id"), F.col("service_description").alias("description"), F.col("care_setting").alias("setting"),
+        F.when(code % 7 != 0, F.col("code")).alias("code | 1"), F.col("code_type").alias("code | 1 | type"),
+        F.when(code % 3 == 0, F.concat(F.lit("N"), "code")).alias("code | 2"), F.lit("NDC").alias("code | 2 | type"), one.alias("code | 3"),
+        F.col("gross_charge").cast("string").alias("standard_charge | gross"),
+        F.col("standard_charge_dollar").cast("string").alias("standard_charge | Acme Health | Gold PPO | negotiated_dollar"),
+        F.col("methodology").alias("standard_charge | Acme Health | Gold PPO | methodology"),
+        F.col("standard_charge_percentage").cast("string").alias("standard_charge | Beta | HMO | negotiated_percentage"),
+        F.when(code % 5 == 0, F.lit("see contract")).alias("additional_payer_notes | Beta | HMO"),
+    )
+    return flatten.align_csv_groups(wide).select(
+        "hospital_id", "service_description", "care_setting", "code", "code_type", "gross_charge", "payer_name", "plan_name",
+        "methodology", "standard_charge_dollar", "standard_charge_percentage", "additional_payer_notes")
+
+
 @query
 def normalize_name(spark, sf_dir):
     customers = fixtures.table(spark, sf_dir, "customer")
@@ -599,6 +619,23 @@ def final_score(spark, sf_dir):
     )
 
 
+@query
+def best_plan_per_service(spark, sf_dir):
+    return score.best_plans(score.score(_stored_silver(spark, sf_dir, *SCORE_INPUT)), k=3)
+
+
+@query
+def coverage_merged(spark, sf_dir):
+    """Each delivery is read for its own bitmaps only; the count comes from the stored bitmaps of both."""
+    lake, silver = _lake(spark, "coverage"), _stored_silver(spark, sf_dir, *SERVICE_KEY, "payer_name", "care_setting")
+    for setting in ("inpatient", "outpatient"):
+        delivery = silver.filter(F.col("care_setting") == setting)
+        lake.append("dim_payer", dimensions.payer_additions(delivery, lake.read_or_empty("dim_payer", "payer_id bigint, payer_name string")))
+        keyed = dimensions.with_payer_key(delivery, lake.read("dim_payer"))
+        lake.append("coverage", score.coverage_bitmaps(keyed).withColumn("delivery", F.lit(setting)), ["delivery"])
+    return score.merged_coverage(lake.read("coverage"))
+
+
 # Star schema
 
 
@@ -637,6 +674,29 @@ def dim_hospital(spark, sf_dir):
     return _grown_attributes(spark, sf_dir, schemas.DIM_HOSPITAL)
 
 
+def _moving_hospitals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charges whose hospital has moved to another city in every other year."""
+    dated = enrich.split_address(clean.standardize(_charges(spark, sf_dir)))
+    away = (F.col("hospital_id").cast("int") % 3 == 0) & (F.year("last_updated_on") % 2 == 1)
+    return dated.withColumn("city", F.when(away, "Dallas").otherwise(F.col("city")))
+
+
+@query
+def dim_hospital_history(spark, sf_dir):
+    stated = history.states(_moving_hospitals(spark, sf_dir), "hospital_id", "last_updated_on", ["hospital_name", "city"])
+    return history.validity_intervals(staged(stated, "states"), "hospital_id", "last_updated_on")
+
+
+@query
+def fact_hospital_version(spark, sf_dir):
+    """Each charge finds the city its hospital had at the charge's date."""
+    charges = _moving_hospitals(spark, sf_dir)
+    stated = staged(history.states(charges, "hospital_id", "last_updated_on", ["hospital_name", "city"]), "states")
+    versions = history.validity_intervals(stated, "hospital_id", "last_updated_on")
+    facts = charges.select("hospital_id", "code", "last_updated_on", "gross_charge")
+    return history.as_of(facts, versions, "hospital_id", "last_updated_on").drop("hospital_name")
+
+
 @query
 def dim_procedure(spark, sf_dir):
     return _grown_attributes(spark, sf_dir, schemas.DIM_PROCEDURE)
@@ -678,8 +738,7 @@ def ingest_bronze(spark, sf_dir):
 def ingest_mixed_folder(spark, sf_dir):
     """Documents and wide CSV in one folder, each taken by the run for its format."""
     lake, folder = _lake(spark, "mixed"), scratch_path(spark, "mixed")
-    docs = fixtures.documents(spark, sf_dir).filter("setting = 'inpatient'")
-    fixtures.write_documents(docs, f"{folder}/documents")
+    fixtures.write_documents(fixtures.documents(spark, sf_dir), f"{folder}/documents")
     fixtures.write_csv(_charges(spark, sf_dir), f"{folder}/wide")
     for file_format in ("json", "csv"):
         jobs.ingest(lake, folder, _run_ts(local=False), file_format=file_format, known_ids=_suppliers_by_name(spark, sf_dir))
@@ -699,6 +758,48 @@ def rejected_documents(spark, sf_dir):
     return jobs.rejected_documents(lake).drop("source_id", "license_number", "license_state")
 
 
+@query
+def unknown_fields(spark, sf_dir):
+    """Documents with fields that the schema does not know, at four levels of nesting."""
+    lake, folder = _lake(spark, "drift"), scratch_path(spark, "drift")
+    docs = fixtures.documents(spark, sf_dir)
+    note = F.struct(F.lit("n").alias("kind"), F.array(F.lit(1), F.lit(2)).alias("pages"))
+
+    def with_more(one: Column) -> Column:
+        charges = F.transform(one["standard_charges"], lambda charge: charge.withField(
+            "payers_information", F.transform(charge["payers_information"], lambda payer: payer.withField("in_network", F.lit(True)))))
+        marked = F.when(F.get(one["code_information"], F.lit(0))["code"].endswith("7"), F.lit("later"))
+        return one.withField("standard_charges", charges).withField("review", marked)
+
+    grown = docs.withColumns({
+        "license_information": F.col("license_information").withField("issued", F.lit("1999")),
+        "standard_charge_information": F.transform("standard_charge_information", with_more),
+        "policy": F.when(F.col("hospital_name").endswith("3"), note)})
+    fixtures.write_documents(grown, folder)
+    jobs.ingest(lake, folder, _run_ts(local=False))
+    jobs.keep_unknown_fields(lake, _run_ts(local=False))
+    per_file = jobs.unknown_fields(lake)
+    return per_file.groupBy("field", "type").agg(F.sum("occurrences").alias("occurrences"))
+
+
+@query
+def rejected_records(spark, sf_dir):
+    """Documents cut off after their name and CSV lines with too few values, next to sound ones."""
+    lake, folder, charges = _lake(spark, "records"), scratch_path(spark, "cut"), _charges(spark, sf_dir)
+    docs = fixtures.documents(spark, sf_dir)
+    cut = F.concat(F.lit('{"hospital_name": "'), "hospital_name")
+    text = F.when(F.col("hospital_name").endswith("9"), cut).otherwise(F.to_json(F.struct(*[c for c in docs.columns if c != "setting"])))
+    fixtures.write_lines(docs.select(text.alias("value")), f"{folder}/documents")
+    headers = {name: header for name, header in schemas.CSV_HEADERS.items() if name in charges.columns}
+    short = F.concat_ws(",", "code", "care_setting", F.lit("cut"))
+    whole = F.to_csv(F.struct(*[F.col(name).cast("string") for name in headers]))
+    lines = charges.select(F.when(F.col("code").endswith("7"), short).otherwise(whole).alias("value"))
+    fixtures.write_lines(lines, f"{folder}/wide", ",".join(headers.values()))
+    jobs.ingest(lake, f"{folder}/documents", _run_ts(local=False), multi_line=False)
+    jobs.ingest(lake, f"{folder}/wide", _run_ts(local=False), file_format="csv")
+    return jobs.rejected_records(lake).drop("source_id")
+
+
 @query
 def ingest_csv(spark, sf_dir):
     lake, folder = _lake(spark, "csv"), scratch_path(spark, "csv-files")
@@ -707,6 +808,16 @@ def ingest_csv(spark, sf_dir):
     return jobs.bronze_charges(lake).drop("source_id")
 
 
+@query
+def compacted_bronze(spark, sf_dir):
+    """Two deliveries, each compacted after it came, the second into partitions of the first."""
+    lake = _lake(spark, "compacted")
+    for folder, run_ts in zip(_delivered(spark, sf_dir, "inpatient", "outpatient"), (F.lit("2025-03-01 01:00:00").cast("timestamp"), _run_ts(local=False)), strict=True):
+        jobs.ingest(lake, folder, run_ts, known_ids=_suppliers_by_name(spark, sf_dir))
+        jobs.compact(lake)
+    return jobs.bronze_charges(lake).drop("source_id")
+
+
 @query
 def refine_silver(spark, sf_dir):
     lake = _lake(spark, "refine")

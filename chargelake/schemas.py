@@ -91,6 +91,16 @@ CSV_HEADERS = {
     "standard_charge_algorithm": "standard_charge | negotiated_algorithm",
 }
 
+# What a payer's own columns in a wide header hold, by the header's kind.
+CSV_PAYER_PARTS = {
+    "negotiated_dollar": "standard_charge_dollar",
+    "negotiated_percentage": "standard_charge_percentage",
+    "negotiated_algorithm": "standard_charge_algorithm",
+    "methodology": "methodology",
+    "estimated_amount": "estimated_amount",
+    "additional_payer_notes": "additional_payer_notes",
+}
+
 DIM_HOSPITAL = ("hospital_id", "hospital_name", "city", "state", "license_number", "license_state")
 DIM_PROCEDURE = (
     "code", "modifiers", "code_type", "care_setting", "treatment_type",
