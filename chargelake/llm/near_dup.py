@@ -28,7 +28,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from xxhash import xxh3_64_intdigest
 
 from chargelake.llm.common import row_key
@@ -40,6 +40,7 @@ LEVELS = 12
 LEAF = 40
 COORDINATES = 64
 PACKET = 100
+LISTS_TOGETHER = 8
 MISS = 3e-4
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
@@ -125,16 +126,27 @@ def packets_of(rows: DataFrame, label: str) -> DataFrame:
     Sizes are combined before the shuffle and meet the rows again in a join, which can be split where a
     node is hot. Lists of large nodes are cut by the members' ids.
     """
-    sized = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.first("parent").alias("parent"))
+    sized = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.first("parent").alias("parent"), F.first("used").alias("used"))
     dense = (F.col("size") > LEAF) & (F.col("size") * 2 > F.col("parent"))
-    sized = sized.filter("size > 1").select("node", "size", F.coalesce(dense, F.lit(False)).alias("dense"))
-    joined = rows.join(sized, "node")
+    sized = sized.filter("size > 1").select("node", "size", "used", F.coalesce(dense, F.lit(False)).alias("dense"))
+    joined = rows.drop("used").join(sized, "node")
     slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") * 2 / LEAF))
     joined = joined.withColumn("slot", F.when(F.col("size") <= LEAF, F.lit(0).cast("bigint")).otherwise(slot))
     packed = joined.groupBy("node", "slot").agg(
-        F.first("size").alias("size"), F.first("dense").alias("dense"), F.first("tree").alias("tree"),
+        F.first("size").alias("size"), F.first("dense").alias("dense"), F.first("tree").alias("tree"), F.first("used").alias("used"),
         F.array_sort(F.collect_list(F.struct("cid", "n", "sketch"))).alias("members"))
-    return staged(packed.select("node", "tree", "size", "dense", "members"), label)
+    return staged(packed.select("node", "tree", "size", "dense", "used", "members"), label)
+
+
+def coordinate(tree: Column) -> Column:
+    """The place, from 0, whose value is the root of a tree."""
+    return F.pmod(tree, F.lit(COORDINATES)).cast("int")
+
+
+def unused_coordinate(node: Column, used: Column) -> Column:
+    """A place that no branching above a node has used, chosen by the node. ``used`` has a bit for each place."""
+    free = F.filter(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda place: F.getbit(used, place) == 0)
+    return F.get(free, F.pmod(F.xxhash64(node), F.lit(COORDINATES) - F.bit_count(used)).cast("int"))
 
 
 def pairs_of(packets: DataFrame, percent: int) -> DataFrame:
@@ -250,29 +262,42 @@ def in_different(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return named.filter("label_x <> label_y").select(*pairs.columns)
 
 
+def small_side(lookup: DataFrame) -> DataFrame:
+    """A stored table with one row per dense node, broadcast while it is measured to be small."""
+    return F.broadcast(lookup) if fits_broadcast(lookup) else lookup
+
+
 def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, percent: int) -> DataFrame:
     """Links (x, y) in dense nodes, of members outside the most frequent component and any others.
 
-    Lists of such members meet the lists of all members of their node. A meeting compares at most a packet of the ones
+    Lists of such members meet the lists of all members of their node, dealt by node and share. A meeting compares at most a packet of the ones
     with a packet of the others, by sketch and then on the full sets, and gives no more links than connect components.
     """
     members = packets.select("node", F.inline("members")).join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     members = staged(members.select("node", "cid", "n", "sketch", F.coalesce("label", "cid").alias("own")), "members")
     main = members.groupBy("node", "own").agg(F.count(F.lit(1)).alias("rows")).groupBy("node").agg(F.max(F.struct("rows", "own")).alias("main"))
-    members = members.join(main.select("node", F.col("main.own").alias("main")), "node")
+    members = members.join(small_side(staged(main.select("node", F.col("main.own").alias("main")), "main")), "node")
     some = members.filter("own <> main")
     if some.isEmpty():
         return some.select(F.col("cid").alias("x"), F.col("own").alias("y"))
-    every = members.join(some.select("node").distinct(), "node", "left_semi")
+    every = members.join(small_side(staged(some.select("node").distinct(), "nodes")), "node", "left_semi")
     used = texts.of(every)
 
-    def lists(rows: DataFrame, name: str) -> DataFrame:
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
-        slot = F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / PACKET))
-        cut = rows.join(used, "cid").join(sizes, "node").withColumn("slot", slot)
-        return cut.groupBy("node", "slot").agg(F.collect_list(F.struct("cid", "own", "n", "sketch", "text")).alias(name)).drop("slot")
+    def sizes(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / PACKET).alias(name))
+
+    cuts = small_side(staged(sizes(some, "some_lists").join(sizes(every, "all_lists"), "node"), "sizes"))
+    # A node's lists are dealt over shares of a few lists; the lists of some members go to each share.
+    shares = F.ceil(F.col("all_lists") / LISTS_TOGETHER)
+
+    def lists(rows: DataFrame, count: str, name: str) -> DataFrame:
+        cut = rows.join(used, "cid").join(cuts, "node").withColumn("slot", F.pmod(F.xxhash64("cid"), F.col(count)))
+        listed = F.collect_list(F.struct("cid", "own", "n", "sketch", "text")).alias(name)
+        return cut.groupBy("node", "slot").agg(listed, F.first(shares).alias("shares"))
 
-    met = lists(some, "some").join(lists(every, "all"), "node").select("some", "all")
+    left = lists(some, "some_lists", "some").select("node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), "some")
+    right = lists(every, "all_lists", "all").select("node", F.pmod("slot", "shares").alias("share"), "all")
+    met = left.join(right, ["node", "share"]).select("some", "all")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -284,10 +309,13 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
         i, j = (part.ravel() for part in np.indices((len(left), len(right))))
         sketches = [np.frombuffer(b"".join(m["sketch"] for m in part), np.uint8).reshape(-1, COORDINATES) for part in (left, right)]
         n = [np.array([m["n"] for m in part]) for part in (left, right)]
-        may = agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent) > 0
-        common = intersections([shingles(m["text"], size) for m in left], [shingles(m["text"], size) for m in right])
-        common = common[i, j]
-        links = np.flatnonzero(may & (100 * common >= percent * (n[0][i] + n[1][j] - common)))
+        may = np.flatnonzero(agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent))
+        may = may[[left[i[at]]["own"] != right[j[at]]["own"] for at in may.tolist()]] if len(may) else may
+        i, j = i[may], j[may]
+        rows, columns = np.unique(i), np.unique(j)
+        common = intersections([shingles(left[row]["text"], size) for row in rows], [shingles(right[row]["text"], size) for row in columns])
+        common = common[np.searchsorted(rows, i), np.searchsorted(columns, j)] if len(may) else np.zeros(0, np.int64)
+        links = np.flatnonzero(100 * common >= percent * (n[0][i] + n[1][j] - common))
         x, y, joined = [], [], {}
 
         def label(own: bytes) -> bytes:
@@ -322,7 +350,8 @@ def near_duplicates(
             F.first("nodes").alias("nodes"), F.first("sketch").alias("sketch")), "classes")
 
     none = F.lit(None).cast("bigint")
-    level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).withColumn("parent", none)
+    own = F.call_function("shiftleft", F.lit(1).cast("bigint"), coordinate(F.col("tree"))).alias("used")
+    level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).select("*", none.alias("parent"), own)
     found, dense, reached = None, None, None
     for wave in count(1):
         for depth in range(LEVELS):
@@ -336,10 +365,11 @@ def near_duplicates(
             found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
             if open_nodes.isEmpty():
                 break
-            place = F.pmod(F.xxhash64("node"), F.lit(COORDINATES)).cast("int") + 1
-            child = F.xxhash64("node", F.substring(F.col("sketch"), place, F.lit(1)))
-            level = open_nodes.select("node", "tree", "size", F.inline("members")).select(
-                "cid", "n", "sketch", "tree", child.alias("node"), F.col("size").alias("parent"))
+            placed = open_nodes.withColumn("place", unused_coordinate(F.col("node"), F.col("used")))
+            child = F.xxhash64("node", F.substring(F.col("sketch"), F.col("place") + 1, F.lit(1)))
+            used = F.col("used").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("place")))
+            level = placed.select("node", "tree", "size", "place", used.alias("used"), F.inline("members")).select(
+                "cid", "n", "sketch", "tree", child.alias("node"), F.col("size").alias("parent"), "used")
         if reached is None:
             break
         reached = staged(reached.groupBy("cid").agg(F.max("trees").alias("trees")), "reached")
@@ -347,9 +377,9 @@ def near_duplicates(
         if deeper.isEmpty():
             break
         tree = F.explode(F.sequence(F.lit(wave * TREES), F.least(F.col("trees"), F.lit((wave + 1) * TREES)) - 1))
-        root = F.xxhash64("tree", F.substring(F.col("sketch"), F.pmod("tree", F.lit(COORDINATES)) + 1, F.lit(1)))
+        root = F.xxhash64("tree", F.substring(F.col("sketch"), coordinate(F.col("tree")) + 1, F.lit(1)))
         level = classes.join(deeper, "cid").select("cid", "n", "sketch", tree.alias("tree")).select(
-            "cid", "n", "sketch", "tree", root.alias("node"), none.alias("parent"))
+            "cid", "n", "sketch", "tree", root.alias("node"), none.alias("parent"), own)
 
     pairs = staged(found.groupBy("x", "y").agg(F.max("same").alias("same")), "pairs")
     texts = Texts(docs, classes, id_col, text_col)
