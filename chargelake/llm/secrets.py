@@ -53,11 +53,12 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 # What is replaced of a private key: from its first line to its last one, or, without that, over header and base64 lines.
-# Line ends may be written as \n, as in JSON. Scans list the first line alone, as their SQL does.
-_BREAK = r"(?:\\[rn]|\s){1,8}"
+# Line ends may be written as \n, as in JSON. No run is limited, and none is given back once it is read. Scans list the
+# first line alone, as their SQL does.
+_BREAK = r"(?:\\[rn]|\s)++"
 KEY_BLOCK = (
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----)){0,400}+-----END [A-Z ]*PRIVATE KEY-----"
-    rf"|(?:{_BREAK}[A-Za-z-]+: [^\r\n\\]*){{0,9}}(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}){{1,400}}(?:{_BREAK}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?![^\s\\\"']))?)?"
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_BREAK}[A-Za-z-]+: [^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+)++(?:{_BREAK}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?![^\s\\\"']))?)?"
 )
 REDACTED_RULES = tuple(Rule(rule.kind, KEY_BLOCK) if rule.kind == "private_key" else rule for rule in RULES)
 
