@@ -23,7 +23,9 @@ from chargelake.sinks.changes import commit_partition
 from chargelake.sinks.export import FACT_PARTITION, FACTS, Target, export_gold
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources import drift
-from chargelake.sources.files import ENDINGS, conflicting_files, files_to_ingest, list_files, scan_csv, scan_documents, with_source
+from chargelake.sources.files import (
+    ENDINGS, conflicting_files, content_marks, files_to_ingest, list_files, redelivered_files, scan_csv, scan_documents, with_source,
+)
 from chargelake.sources.split_json import scan_split_documents
 from chargelake.staging import staged
 
@@ -31,6 +33,7 @@ REGISTRY = "ingest_registry"
 CSV_VARIANT = 3
 REJECTED_FILES = "rejected_files"
 UNKNOWN_VALUES = "unknown_values"
+FILE_CONTENTS = "file_contents"
 HOSPITAL_STATES = "hospital_states"
 FILE_COLUMNS = ("source_path", "source_name", "source_id", "length")
 FILES_PER_BATCH = 10_000
@@ -112,6 +115,7 @@ def ingest(
     known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
     csv_options: Mapping[str, str] | None = None,
     split_bytes: int = SPLIT_BYTES,
+    on_duplicate: str = "take",
 ) -> int:
     """Bring files that were not ingested before into bronze; returns how many were accepted.
 
@@ -121,17 +125,19 @@ def ingest(
     the run, or with ``on_conflict="reject"`` is put into ``rejected_files``. A file without an accepted row is put there
     too and is not recorded as ingested, so its repaired form is taken later. ``on_unknown="error"`` stops the run
     for anything that is no hospital document. Documents over several lines in files of more than ``split_bytes`` are
-    read by many tasks. Jobs use only what a finished run has recorded.
+    read by many tasks. ``on_duplicate="reject"`` puts files aside whose content was accepted under another name; it reads
+    each new file once more. Jobs use only what a finished run has recorded.
     """
     listing = list_files(lake.spark, paths, file_format)
-    return take_files(lake, listing, run_ts, on_known, on_conflict, on_unknown, multi_line, file_format, known_ids, csv_options, split_bytes)
+    return take_files(
+        lake, listing, run_ts, on_known, on_conflict, on_unknown, multi_line, file_format, known_ids, csv_options, split_bytes, on_duplicate)
 
 
 def take_files(
     lake: Lakehouse, listing: DataFrame, run_ts: datetime | Column, on_known: str = "skip", on_conflict: str = "error",
     on_unknown: str = "reject", multi_line: bool = True, file_format: str = "json",
     known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS, csv_options: Mapping[str, str] | None = None,
-    split_bytes: int = SPLIT_BYTES,
+    split_bytes: int = SPLIT_BYTES, on_duplicate: str = "take",
 ) -> int:
     """``ingest`` of the files of a listing."""
     registry = lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA)
@@ -146,6 +152,9 @@ def take_files(
         _reject(lake, conflicts.withColumn("reason", F.lit("another file has this name")), run_ts)
         new = staged(new.join(conflicts.select("source_path"), "source_path", "left_anti").select(*FILE_COLUMNS), "new_files")
 
+    if on_duplicate == "reject" and not new.isEmpty():
+        new = _without_redelivered(lake, new, run_ts)
+
     rows = new.toLocalIterator()
     while batch := list(islice(rows, FILES_PER_BATCH)):
         _take(lake, batch, multi_line, file_format, known_ids, csv_options or {}, split_bytes)
@@ -156,6 +165,24 @@ def take_files(
     return record_files(lake, new, run_ts)
 
 
+def _without_redelivered(lake: Lakehouse, new: DataFrame, run_ts: datetime | Column) -> DataFrame:
+    """Put files aside whose content is known; the marks of the others are kept, and count once they are recorded."""
+    rows, marks = new.toLocalIterator(), None
+    while batch := [row.source_path for row in islice(rows, FILES_PER_BATCH)]:
+        more = staged(content_marks(lake.spark, batch), "contents")
+        marks = more if marks is None else marks.unionAll(more)
+    named = staged(new.join(marks, "source_path", "left"), "marked")
+    stored = lake.read_or_empty(FILE_CONTENTS, "source_id string, content string")
+    known = stored.join(lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA).select("source_id"), "source_id", "left_semi")
+    again = staged(redelivered_files(named.filter("content IS NOT NULL"), known), "again")
+    if not again.isEmpty():
+        _reject(lake, again.withColumn("reason", F.lit("same content as another file")), run_ts)
+    kept = staged(named.join(again.select("source_path"), "source_path", "left_anti"), "kept")
+    fresh = kept.filter("content IS NOT NULL").select("source_id", "content").join(stored, ["source_id", "content"], "left_anti")
+    lake.append(FILE_CONTENTS, staged(fresh, "fresh"))
+    return kept.select(*FILE_COLUMNS)
+
+
 def _take(
     lake: Lakehouse, batch: Sequence[Row], multi_line: bool, file_format: str, known_ids: Mapping[str, str] | DataFrame,
     csv_options: Mapping[str, str], split_bytes: int,

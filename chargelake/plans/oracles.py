@@ -299,6 +299,9 @@ ORACLES: dict[str, str] = {
     "adhoc_code_lookup": _charges("""SELECT plan_name, code, gross_charge, discounted_cash, standard_charge_percentage
         FROM charges WHERE code = '17' ORDER BY plan_name NULLS FIRST, code, gross_charge NULLS FIRST,
         discounted_cash NULLS FIRST, standard_charge_percentage NULLS FIRST LIMIT 10"""),
+    "code_lookup_skipping": _charges("""SELECT plan_name, code, gross_charge, discounted_cash, standard_charge_percentage
+        FROM charges WHERE code = '17' ORDER BY plan_name NULLS FIRST, code, gross_charge NULLS FIRST,
+        discounted_cash NULLS FIRST, standard_charge_percentage NULLS FIRST LIMIT 10"""),
     "distinct_services": _charges("SELECT DISTINCT service_description FROM charges ORDER BY 1 LIMIT 100"),
     "ingest_new_only": _with(_NESTED | _opened(False) | _opened(True), _ingested(_BATCH_2)),
     # sinks
@@ -482,5 +485,6 @@ ORACLES: dict[str, str] = {
         ELSE TIMESTAMP '{EARLIER_TS}' END AS gold_ingestion_ts FROM silver WHERE care_setting <> 'inpatient' OR code_type = 'CPT'"""),
     "export_after_failure": _silver(f"""SELECT {_EXPORTED}, CASE WHEN care_setting = 'inpatient' THEN TIMESTAMP '{EARLIER_TS}'
         ELSE {TS} END AS gold_ingestion_ts FROM silver"""),
+    "stream_redelivered": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
     "stream_pickup": _with(_NESTED | _opened(False) | _opened(True), _ingested()),
 }

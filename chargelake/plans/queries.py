@@ -167,6 +167,15 @@ def adhoc_code_lookup(spark, sf_dir):
     return tables.lookup_equal(_charges(spark, sf_dir), "code", "17", shown)
 
 
+@query
+def code_lookup_skipping(spark, sf_dir):
+    """The same lookup on a table sorted by code, with Bloom filters."""
+    lake = _lake(spark, "indexed")
+    lake.replace_indexed("charges", _charges(spark, sf_dir), "code", distinct=10_000)
+    shown = ["plan_name", "code", "gross_charge", "discounted_cash", "standard_charge_percentage"]
+    return tables.lookup_equal(lake.read("charges"), "code", "17", shown)
+
+
 @query
 def distinct_services(spark, sf_dir):
     return tables.distinct_values(_charges(spark, sf_dir), "service_description")
@@ -931,3 +940,16 @@ def stream_then_refine(spark, sf_dir):
         start_pickup(lake, folder, f"{checkpoint}/{folder[-8:]}", _run_ts(local=False), known_ids=_suppliers_by_name(spark, sf_dir)).awaitTermination()
     jobs.refine(lake, _run_ts(local=False))
     return _without_zone(lake.read("silver_charges").drop("source_id"))
+
+
+@query
+def stream_redelivered(spark, sf_dir):
+    """The second delivery holds the first one's files once more under other names; they are not taken again."""
+    lake, folder, checkpoint = _lake(spark, "again"), scratch_path(spark, "again"), scratch_path(spark, "stream-checkpoint")
+    docs = fixtures.documents(spark, sf_dir)
+    inpatient = F.col("setting") == "inpatient"
+    for delivery in ([("first", inpatient)], [("copies", inpatient), ("second", ~inpatient)]):
+        for name, rows in delivery:
+            fixtures.write_documents(docs.filter(rows), f"{folder}/{name}")
+        start_pickup(lake, folder, checkpoint, known_ids=_suppliers_by_name(spark, sf_dir), on_duplicate="reject").awaitTermination()
+    return jobs.bronze_charges(lake).drop("source_id")

@@ -12,6 +12,7 @@ from chargelake.sources.tables import high_mark, rows_after
 
 WATERMARKS = "etl_watermark"
 DROPPED_TOGETHER = 200
+GROUP_BYTES = 64 << 20
 
 
 def _literal(value: object) -> str:
@@ -60,6 +61,21 @@ class Lakehouse:
             writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
         writer.saveAsTable(self.full_name(table))
 
+    def replace_indexed(self, table: str, df: DataFrame, column: str, distinct: int, group_bytes: int = GROUP_BYTES) -> None:
+        """Replace a table by files in which a value of ``column`` is found without reading the rest.
+
+        Rows are sorted over all files, so that few row groups' ranges hold a value, and each row group has a Bloom filter
+        for values that lie within its range but not in it. ``distinct`` is about how many values a row group holds.
+        Rows of a frequent value go to as many files as they need.
+        """
+        place = "_row"
+        spread = df.withColumn(place, F.monotonically_increasing_id()).repartitionByRange(column, place)
+        writer = spread.sortWithinPartitions(column, place).drop(place).write.format(self.table_format).mode("overwrite")
+        writer.options(**{
+            f"parquet.bloom.filter.enabled#{column}": "true", f"parquet.bloom.filter.expected.ndv#{column}": str(distinct),
+            "parquet.block.size": str(group_bytes),
+        }).saveAsTable(self.full_name(table))
+
     def append(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Append by column name, creating the table when it is missing."""
         if not self.exists(table):

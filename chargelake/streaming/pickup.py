@@ -27,6 +27,7 @@ def start_pickup(
     known_ids: Mapping[str, str] | DataFrame = KNOWN_HOSPITAL_IDS,
     file_format: str = "json",
     on_conflict: str = "reject",
+    on_duplicate: str = "take",
 ) -> StreamingQuery:
     """Ingest the new files of a folder, known by their whole path, into bronze and the registry, then stop.
 
@@ -39,7 +40,7 @@ def start_pickup(
 
     def take(listing: DataFrame) -> None:
         stamp = F.current_timestamp() if run_ts is None else run_ts
-        take_files(lake, listing, stamp, on_conflict=on_conflict, known_ids=known_ids, file_format=file_format)
+        take_files(lake, listing, stamp, on_conflict=on_conflict, known_ids=known_ids, file_format=file_format, on_duplicate=on_duplicate)
 
     repaired = staged(repaired_files(lake, list_files(lake.spark, folder, file_format)), "repaired")
     if not repaired.isEmpty():

@@ -275,3 +275,20 @@ def test_large_files_go_through_splits(lake, deliver):
     assert [r.hospital_id for r in jobs.rejected_documents(lake).collect()] == ["3"]
     assert [(r.reason, r.corrupt_record) for r in jobs.rejected_records(lake).collect()] == [("file ends within a document", None)]
     assert [r.source_name for r in lake.read(jobs.REJECTED_FILES).collect()] == ["c"]
+
+
+def test_redelivered_content_is_put_aside(lake, deliver, tmp_path):
+    first = deliver("a.json", TYPE_1)
+    assert jobs.ingest(lake, first, FIRST, on_duplicate="reject") == 1
+    again = [deliver("b.json", TYPE_1), deliver("c.json", TYPE_2), deliver("d.json", TYPE_2), deliver("e.json", [])]
+    assert jobs.ingest(lake, [first, *again], SECOND, on_duplicate="reject") == 1
+    rejected = {(r.source_name, r.reason) for r in lake.read(jobs.REJECTED_FILES).collect()}
+    assert rejected == {("b", "same content as another file"), ("d", "same content as another file"), ("e", "no charges")}
+    assert jobs.bronze_charges(lake).count() == 5
+    # What was marked but never accepted does not keep its repaired namesake out.
+    broken = tmp_path / "in" / "f.json"
+    broken.write_text("{")
+    for name in ("f.json", "g.json"):
+        (tmp_path / "in" / name).write_text("{")
+        assert jobs.ingest(lake, str(tmp_path / "in" / name), SECOND, on_duplicate="reject") == 0
+    assert {r.reason for r in lake.read(jobs.REJECTED_FILES).filter("source_name IN ('f', 'g')").collect()} == {"document does not parse"}

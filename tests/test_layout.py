@@ -108,3 +108,32 @@ def test_unrecorded_files_stay_where_they_landed(lake, deliver, tmp_path):
     jobs.ingest(lake, str(tmp_path / "in"), MARCH)
     assert jobs.compact(lake) == 2 and partitions(lake, layout.LANDED, "source_id") == 1
     assert jobs.rejected_records(lake).count() == 1
+
+
+def rows_scanned(df):
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_row_groups(spark, lake):
+    charges = spark.range(200_000).select(
+        F.concat(F.lit("c"), F.pmod(F.xxhash64("id"), F.lit(2000))).alias("code"), F.sha2(F.col("id").cast("string"), 256).alias("more"))
+    charges = charges.withColumn("code", F.when(F.rand(1) < 0.3, "hot").otherwise(F.col("code")))
+    lake.replace("plain", charges.repartition(4))
+    lake.replace_indexed("indexed", charges, "code", distinct=500, group_bytes=256 << 10)
+    for code in ("c17", "hot"):
+        plain, indexed = (lake.read(table).filter(F.col("code") == code) for table in ("plain", "indexed"))
+        assert sorted(indexed.collect()) == sorted(plain.collect())
+    plain, indexed = (rows_scanned(lake.read(table).filter("code = 'c17'")) for table in ("plain", "indexed"))
+    assert plain == 200_000 and indexed < 50_000
+    sizes = lake.read("indexed").filter("code = 'hot'").groupBy(F.input_file_name()).count()
+    assert sizes.count() > 1
+
+
+def test_bloom_filters_skip_what_ranges_cannot(spark, tmp_path):
+    rows = spark.range(100_000).select(F.concat(F.lit("c"), F.col("id") * 2).alias("code"), F.sha2(F.col("id").cast("string"), 256).alias("more"))
+    for name, options in {"with": {"parquet.bloom.filter.enabled#code": "true", "parquet.bloom.filter.expected.ndv#code": "100000", "parquet.enable.dictionary": "false"}, "without": {"parquet.enable.dictionary": "false"}}.items():
+        rows.coalesce(1).write.options(**options).parquet(str(tmp_path / name))
+    scanned = {name: rows_scanned(spark.read.parquet(str(tmp_path / name)).filter("code = 'c33333'")) for name in ("with", "without")}
+    assert scanned["with"] == 0 and scanned["without"] > 0
