@@ -1,10 +1,12 @@
 """Context-tree scores over true bytes, with a model that is a stored table and grows with the corpus.
 
-A key is the ``depth`` bytes before a byte, the nearest first, and the byte itself. Cells (key, n) count the keys of the
-training texts; keys that only the texts to score have are cells with a count of 0, which weigh nothing. A task weighs
-all contexts that share their three nearest bytes, from the deepest up. Contexts of at most two bytes are summed over
-all tasks; only they are broadcast, at most 65,536 of them whatever the corpus. The finished cells (key, log
-probability) meet the keys of the texts in a shuffle by the whole key, so no frequent context gathers in one task.
+A key is the ``depth`` bytes before a byte, the nearest first, and the byte itself. Keys go to trees by a hash of their
+three nearest bytes, so a tree has whole contexts of three bytes. Training texts give cells (key, count), in one sorted
+list per block of text and tree, which are merged and stored. Contexts of at most two bytes are summed over all trees;
+only they are broadcast, at most 65,536 of them whatever the corpus. The texts to score are stored in blocks as well; the
+distinct keys of each block meet the cells of their tree, which is weighed from the deepest context up, and what comes
+back to the block is one log probability per key. So neither a key nor a probability is sent once per occurrence, and
+lists are delta-coded and compressed.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from math import log, pi
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -23,8 +26,8 @@ from chargelake.llm.blocks import text_blocks
 from chargelake.staging import staged
 
 SHALLOW = 2
-TREE_CELLS = 1 << 17
-BUCKET_CELLS = 1 << 19
+BLOCK_BYTES = 8 << 20
+TREE_BYTES = 8 << 20  # text for each tree, at least
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 _GAMMA = ctw.log_gamma(np.arange(1 << 16) / 2 + 0.5)
 
@@ -45,18 +48,54 @@ def keys_of(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarr
     return keys, lengths
 
 
-def cell_counts(texts: DataFrame, depth: int, weight: int) -> DataFrame:
-    """(key, n) of each block's keys; ``weight`` 0 lists them without counting."""
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes first; ``unpacked`` reverses it."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys by their differences."""
+    return packed(np.diff(keys, prepend=0))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.int64))
+
+
+def by_tree(keys: np.ndarray, depth: int, trees: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, trees, bounds): places of sorted keys tree by tree, the trees met, and where each begins and ends."""
+    nearest = (keys >> (8 * (depth - SHALLOW))).astype(np.uint64)
+    tree = ((nearest * _TURN >> np.uint64(40)) % np.uint64(trees)).astype(np.int64)
+    order = np.argsort(tree, kind="stable")
+    tree = tree[order]
+    first = np.flatnonzero(np.concatenate([[True], tree[1:] != tree[:-1]]))[: len(tree)]
+    return order, tree[first], np.append(first, len(tree))
+
+
+def _rows(columns: dict[str, tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in columns.values()], names=list(columns))
+
+
+def cell_lists(texts: DataFrame, depth: int, trees: int) -> DataFrame:
+    """(tree, keys, n): each block's keys and how often it has them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in text_blocks(batch.column(0)):
-                keys = np.sort(keys_of(data, offsets, depth)[0])
-                at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                n = np.diff(np.append(at, len(keys))) * weight
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(n)], names=["key", "n"])
+            for _, data, offsets in text_blocks(batch.column(0), BLOCK_BYTES):
+                keys, n = np.unique(keys_of(data, offsets, depth)[0], return_counts=True)
+                order, met, bounds = by_tree(keys, depth, trees)
+                parts = [order[i:j] for i, j in zip(bounds, bounds[1:])]
+                yield _rows({
+                    "tree": (met, pa.int64()), "keys": ([packed_keys(keys[part]) for part in parts], pa.binary()),
+                    "n": ([packed(n[part].astype(np.uint32)) for part in parts], pa.binary())})
 
-    return texts.mapInArrow(count, "key bigint, n bigint")
+    return texts.mapInArrow(count, "tree bigint, keys binary, n binary")
 
 
 def log_gamma_half(twice: np.ndarray) -> np.ndarray:
@@ -111,157 +150,166 @@ def weigh(keys: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, list
     return chances, sums
 
 
-def shallow(sums: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, a, b), sorted: a decision in a context of ``SHALLOW`` bytes has the chance a + b * the chance below."""
+def shallow(sums: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, one, share) for contexts of ``SHALLOW`` bytes, then one byte less, and so on; places are sorted."""
     order = np.argsort(sums["place"].to_numpy())
     places, zeros, ones, below = (sums[name].to_numpy()[order] for name in ("place", "zeros", "ones", "below"))
-    whole, above = places, np.arange(len(places))
     levels = []
     for at in range(SHALLOW, -1, -1):
         weighted, one, share = mix(zeros, ones, below)
-        levels.append((one[above], share[above]))
+        levels.append((places, one, share))
         if at:
             places, parent = np.unique(places >> 16 << 8 | places & 255, return_inverse=True)
             zeros, ones, below = (np.bincount(parent, part, len(places)) for part in (zeros, ones, weighted))
-            above = parent[above]
-    a, b = np.zeros(len(whole)), np.ones(len(whole))
-    for one, share in levels:
-        a, b = share * one + (1 - share) * a, (1 - share) * b
-    return whole, a, b
+    return levels
 
 
-def learned(cells: DataFrame, depth: int, buckets: int, trees: int) -> DataFrame:
-    """(bucket, hashes, logs): the log10 probability of each cell's byte, in lists by the key's hash."""
+def finished(keys: np.ndarray, chances: np.ndarray, levels: list[tuple[np.ndarray, ...]], depth: int) -> np.ndarray:
+    """log10 probability of each key's byte: the chances from below mixed with those of the shallow contexts.
+
+    A context that training lacks has an estimate of a half, and the weight of a half.
+    """
+    byte, logs = keys & 255, np.zeros(len(keys))
+    for level in range(8):
+        node, chance = (1 << level) | (byte >> (8 - level)), chances[level].astype(np.float64)
+        for at, (places, one, share) in zip(range(SHALLOW, -1, -1), levels, strict=True):
+            place = keys >> (8 * (depth - at + 1)) << 8 | node
+            if len(places):
+                found = np.minimum(np.searchsorted(places, place), len(places) - 1)
+                known = places[found] == place
+                own, weight = np.where(known, one[found], 0.5), np.where(known, share[found], 0.5)
+            else:
+                own = weight = 0.5
+            chance = weight * own + (1 - weight) * chance
+        logs += np.log10(np.where((byte >> (7 - level)) & 1, chance, 1 - chance))
+    return logs
+
+
+def merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several lists (keys, n) and the sum of n of each."""
+    if not lists:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    keys, place = np.unique(np.concatenate([keys for keys, _ in lists]), return_inverse=True)
+    return keys, np.bincount(place, np.concatenate([n for _, n in lists]), len(keys)).astype(np.int64)
+
+
+def learned(lists: DataFrame, depth: int) -> DataFrame:
+    """(tree, keys, n, tops), stored: the cells of each tree, and what it adds to the shallow contexts."""
 
     def tree(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("key")
-        keys = group["key"].to_numpy()
-        chances, sums = weigh(keys, group["n"].to_numpy(), depth)
+        keys, n = merged([(unpacked_keys(keys), unpacked(n, np.uint32)) for keys, n in zip(group["keys"], group["n"])])
+        _, sums = weigh(keys, n, depth)
         tops = np.concatenate([np.stack([part.astype(np.float64) for part in level], axis=1) for level in sums])
-        return pd.DataFrame({
-            "keys": [keys.tobytes(), b""], "chances": [chances.tobytes(), b""], "tops": [b"", tops.tobytes()]})
+        return pd.DataFrame({"tree": [group["tree"].iloc[0]], "keys": [packed_keys(keys)], "n": [packed(n)], "tops": [tops.tobytes()]})
 
-    nearest = F.shiftright("key", 8 * (depth - SHALLOW))
-    grouped = cells.withColumn("tree", F.pmod(F.xxhash64(nearest), F.lit(trees))).groupBy("tree")
-    weighed = staged(grouped.applyInPandas(tree, "keys binary, chances binary, tops binary"), "weighed")
+    return staged(lists.groupBy("tree").applyInPandas(tree, "tree bigint, keys binary, n binary, tops binary"), "cells")
 
+
+def tops_of(cells: DataFrame) -> list[tuple[np.ndarray, ...]]:
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 tops = np.frombuffer(value).reshape(-1, 4)
-                columns = [pa.array(tops[:, 0].astype(np.int64)), *(pa.array(tops[:, i]) for i in (1, 2, 3))]
-                yield pa.RecordBatch.from_arrays(columns, names=["place", "zeros", "ones", "below"])
+                yield _rows({"place": (tops[:, 0].astype(np.int64), pa.int64())} | {
+                    name: (tops[:, i], pa.float64()) for i, name in enumerate(("zeros", "ones", "below"), 1)})
 
-    tops = weighed.filter("octet_length(tops) > 0").select("tops").mapInArrow(opened, "place bigint, zeros double, ones double, below double")
-    tops = tops.groupBy("place").agg(*(F.sum(name).alias(name) for name in ("zeros", "ones", "below")))
-    mixed = cells.sparkSession.sparkContext.broadcast(shallow(tops.toArrow()))
+    tops = cells.select("tops").mapInArrow(opened, "place bigint, zeros double, ones double, below double")
+    return shallow(tops.groupBy("place").agg(*(F.sum(name).alias(name) for name in ("zeros", "ones", "below"))).toArrow())
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, a, b = mixed.value
-        for batch in batches:
-            for row in range(batch.num_rows):
-                keys = np.frombuffer(batch.column(0)[row].as_py(), np.int64)
-                chances = np.frombuffer(batch.column(1)[row].as_py(), np.float32).reshape(8, -1)
-                byte, logs = keys & 255, np.zeros(len(keys))
-                context = keys >> (8 * (depth - SHALLOW + 1)) << 8
-                for level in range(8):
-                    at = np.searchsorted(places, context | (1 << level) | (byte >> (8 - level)))
-                    one = a[at] + b[at] * chances[level]
-                    logs += np.log10(np.where((byte >> (7 - level)) & 1, one, 1 - one))
-                hashes = keys.astype(np.uint64) * _TURN
-                order = np.argsort(hashes)
-                hashes, logs = hashes[order], logs[order].astype(np.float32)
-                yield from split(hashes, buckets, lambda i, j: (hashes[i:j].tobytes(), logs[i:j].tobytes()), ["hashes", "logs"])
-
-    return weighed.filter("octet_length(keys) > 0").select("keys", "chances").mapInArrow(finish, "bucket int, hashes binary, logs binary")
-
-
-def split(hashes: np.ndarray, buckets: int, lists, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """A row (bucket, *lists) for each run of sorted hashes that falls into one bucket."""
-    bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-    rows = [lists(i, j) for i, j in zip(first, np.append(first[1:], len(hashes)), strict=True)]
-    columns = [pa.array(bucket[first]), *(pa.array(part, pa.binary()) for part in zip(*rows, strict=True))]
-    yield pa.RecordBatch.from_arrays(columns, names=["bucket", *names])
-
-
-def listed(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """(bucket, block, hashes, runs, texts): a block's keys by bucket, how often each occurs, and in which texts.
-
-    The row of bucket -1 has the block's row keys.
-    """
 
-    def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def text_blocks_of(rows: DataFrame) -> DataFrame:
+    """(block, named, sizes, data), stored: row keys, lengths and bytes of a run of texts, under a number of its own."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 31
-        names = ["bucket", "hashes", "runs", "texts"]
         for batch in batches:
             named = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
-            for first, data, offsets in text_blocks(batch.column(2)):
-                keys, lengths = keys_of(data, offsets, depth)
-                texts = np.repeat(np.arange(len(lengths), dtype=np.uint16 if len(lengths) < 1 << 16 else np.uint32), lengths)
-                hashes = keys.astype(np.uint64) * _TURN
-                order = np.argsort(hashes)
-                hashes, texts = hashes[order], texts[order]
-                at = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-                ends = np.append(at, len(hashes))
-                found, runs = hashes[at], np.diff(ends).astype(np.uint32)
-                head = pa.RecordBatch.from_arrays(
-                    [pa.array([-1], pa.int32()), pa.array([named[first : first + len(lengths)].tobytes()]), *(pa.array([b""]) for _ in range(2))], names=names)
-                lists = lambda i, j: (found[i:j].tobytes(), runs[i:j].tobytes(), texts[ends[i] : ends[j]].tobytes())  # noqa: B023, E731
-                for part in (head, *split(found, buckets, lists, names[1:])):
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, block))], names=[*names, "block"])
+            for first, data, offsets in text_blocks(batch.column(2), BLOCK_BYTES):
+                own = named[first : first + len(offsets) - 1].tobytes()
+                yield _rows({
+                    "block": ([block], pa.int64()), "named": ([own], pa.binary()), "sizes": ([packed(np.diff(offsets))], pa.binary()),
+                    "data": ([zstandard.ZstdCompressor(level=3).compress(data.tobytes())], pa.binary())})
                 block += 1
 
-    return rows.select("a", "b", "text").mapInArrow(block_rows, "bucket int, hashes binary, runs binary, texts binary, block bigint")
+    return staged(rows.select("a", "b", "text").mapInArrow(cut, "block bigint, named binary, sizes binary, data binary"), "blocks")
+
+
+def _opened(sizes: bytes, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.concatenate([[0], np.cumsum(unpacked(sizes, np.int64))])
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), offsets
+
+
+def asked_lists(blocks: DataFrame, depth: int, trees: int) -> DataFrame:
+    """(tree, block, keys): the distinct keys of each block."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sizes, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                keys = np.unique(keys_of(*_opened(sizes, data), depth)[0])
+                order, met, bounds = by_tree(keys, depth, trees)
+                parts = [packed_keys(keys[order[i:j]]) for i, j in zip(bounds, bounds[1:])]
+                yield _rows({"tree": (met, pa.int64()), "block": ([block] * len(met), pa.int64()), "keys": (parts, pa.binary())})
+
+    return blocks.select("block", "sizes", "data").mapInArrow(ask, "tree bigint, block bigint, keys binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows with the same first value, which must stand together."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if held and held[0][0] != row[0]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def answers(cells: DataFrame, asked: DataFrame, depth: int, parts: int) -> DataFrame:
+    """(block, tree, logs): of each list of asked keys, the log10 probabilities, in its order."""
+    levels = cells.sparkSession.sparkContext.broadcast(tops_of(cells))
+    model = cells.select("tree", F.lit(-1).cast("bigint").alias("block"), "keys", "n")
+    met = model.unionByName(asked.withColumn("n", F.lit(None).cast("binary")))
+    met = met.repartition(parts, "tree").sortWithinPartitions("tree", "block").select("tree", "block", "keys", "n")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            lists = [(block, unpacked_keys(keys)) for _, block, keys, n in rows if block >= 0]
+            counted = [(unpacked_keys(keys), unpacked(n, np.int64)) for _, block, keys, n in rows if block < 0]
+            keys, n = merged(counted + [(keys, np.zeros(len(keys), np.int64)) for _, keys in lists])
+            logs = finished(keys, weigh(keys, n, depth)[0], levels.value, depth).astype(np.float32)
+            for block, own in lists:
+                yield _rows({
+                    "block": ([block], pa.int64()), "tree": ([rows[0][0]], pa.int64()),
+                    "logs": ([packed(logs[np.searchsorted(keys, own)])], pa.binary())})
+
+    return met.mapInArrow(answer, "block bigint, tree bigint, logs binary")
 
 
 def tree_scores(rows: DataFrame, training: DataFrame, depth: int) -> DataFrame:
     """(a, b, score) for each row key (a, b) of ``rows`` (a, b, text), learned from a table with one text column."""
-    asked = cell_counts(rows.select("text"), depth, 0)
-    cells = staged(cell_counts(training, depth, 1).unionAll(asked).groupBy("key").agg(F.sum("n").alias("n")), "cells")
-    n_cells, least = cells.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets, trees = max(least, n_cells // BUCKET_CELLS + 1), max(least, n_cells // TREE_CELLS + 1)
+    blocks = text_blocks_of(rows)
+    bytes_of = F.sum(F.octet_length("text"))
+    size = (rows.agg(bytes_of).first()[0] or 0) + (training.agg(bytes_of).first()[0] or 0)
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    trees = max(least, size // TREE_BYTES + 1)
+    cells = learned(cell_lists(training, depth, trees), depth)
+    found = answers(cells, asked_lists(blocks, depth, trees), depth, trees)
     none = F.lit(None).cast("binary")
-    model = learned(cells, depth, buckets, trees).select(
-        "bucket", F.lit(0).alias("kind"), "hashes", "logs", none.alias("runs"), none.alias("texts"), F.lit(-1).cast("bigint").alias("block"))
-    events = listed(rows, depth, buckets).select("bucket", F.lit(1).alias("kind"), "hashes", none.alias("logs"), "runs", "texts", "block")
-    heads_apart = F.when(F.col("bucket") < 0, -1 - F.pmod("block", F.lit(1 << 20))).otherwise(F.col("bucket"))
-    met = model.unionAll(events).withColumn("meet", heads_apart).repartition(buckets, "meet").sortWithinPartitions("bucket", "kind")
-
-    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, known = None, [], None
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                if row["bucket"] < 0:
-                    out.append((row["block"], row["hashes"], b"", b""))
-                    continue
-                if row["bucket"] != now:
-                    now, parts, known = row["bucket"], [], None
-                hashes = np.frombuffer(row["hashes"], np.uint64)
-                if row["kind"] == 0:
-                    parts.append((hashes, np.frombuffer(row["logs"], np.float32)))
-                    continue
-                if known is None:
-                    found, logs = (np.concatenate(part) for part in zip(*parts, strict=True))
-                    order = np.argsort(found)
-                    known, parts = (found[order], logs[order].astype(np.float64)), []
-                runs = np.frombuffer(row["runs"], np.uint32)
-                texts = np.frombuffer(row["texts"], np.uint16 if len(row["texts"]) == 2 * runs.sum() else np.uint32)
-                sums = np.bincount(texts, np.repeat(known[1][np.searchsorted(known[0], hashes)], runs))
-                at = np.flatnonzero(sums)
-                out.append((row["block"], b"", at.astype(np.uint32).tobytes(), sums[at].tobytes()))
-            columns = zip(*out, strict=True) if out else [[]] * 4
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=["block", "named", "texts", "sums"])
-
-    summed = met.select("bucket", "kind", "hashes", "logs", "runs", "texts", "block").mapInArrow(
-        sum_up, "block bigint, named binary, texts binary, sums binary")
-
-    def total(group: pd.DataFrame) -> pd.DataFrame:
-        named = np.frombuffer(b"".join(group["named"]), np.int64).reshape(-1, 2)
-        texts, sums = np.frombuffer(b"".join(group["texts"]), np.uint32), np.frombuffer(b"".join(group["sums"]))
-        return pd.DataFrame({"a": named[:, 0], "b": named[:, 1], "score": np.bincount(texts, sums, len(named))})
-
-    scored = summed.groupBy("block").applyInPandas(total, "a bigint, b bigint, score double")
-    return scored.groupBy("a", "b").agg(F.first("score").alias("score"))
+    whole = blocks.select("block", F.lit(-1).cast("bigint").alias("tree"), none.alias("logs"), "named", "sizes", "data")
+    met = whole.unionByName(found.withColumns({name: none for name in ("named", "sizes", "data")}))
+    met = met.repartition(least, F.xxhash64("block")).sortWithinPartitions("block", "tree").select("block", "logs", "named", "sizes", "data")
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, _, named, sizes, data), *parts in _groups(batches):
+            text, offsets = _opened(sizes, data)
+            sequence, lengths = keys_of(text, offsets, depth)
+            keys, place = np.unique(sequence, return_inverse=True)
+            logs = np.empty(len(keys))
+            logs[by_tree(keys, depth, trees)[0]] = np.concatenate([unpacked(part[1], np.float32) for part in parts])
+            sums = np.add.reduceat(logs[place], np.cumsum(lengths) - lengths)
+            own = np.frombuffer(named, np.int64).reshape(-1, 2)
+            yield _rows({"a": (own[:, 0], pa.int64()), "b": (own[:, 1], pa.int64()), "score": (sums, pa.float64())})
+
+    return met.mapInArrow(total, "a bigint, b bigint, score double").groupBy("a", "b").agg(F.first("score").alias("score"))
