@@ -33,19 +33,29 @@ _GAMMA = ctw.log_gamma(np.arange(1 << 16) / 2 + 0.5)
 
 
 def keys_of(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The key of each byte and end mark of a block, and how many keys each text has. END lies before a text."""
+    """The key of each byte and end mark of a block, and how many keys each text has. END lies before a text.
+
+    The bytes of a key are written in place, lowest first: the byte itself, then the one furthest back.
+    """
     marked = np.insert(data, offsets[1:], ctw.END)
     lengths = np.diff(offsets) + 1
     starts = np.cumsum(lengths) - lengths
-    keys, early = marked.astype(np.int64), np.zeros(0, np.int64)
+    keys, early = np.zeros(len(marked), "<i8"), np.zeros(0, np.int64)
+    parts = keys.view(np.uint8).reshape(-1, 8)
+    parts[:, 0] = marked
     for back in range(1, depth + 1):
-        before = np.full(len(marked), ctw.END, np.uint8)
-        before[back:] = marked[:-back]
+        parts[back:, depth - back + 1] = marked[:-back]
         early = np.concatenate([early, starts + back - 1])
         early = early[early < len(marked)]
-        before[early] = ctw.END
-        keys |= before.astype(np.int64) << (8 * (depth - back + 1))
-    return keys, lengths
+        parts[early, depth - back + 1] = ctw.END
+    return keys.astype(np.int64, copy=False), lengths
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and how often each occurs; ``keys`` is sorted in place."""
+    keys.sort()
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+    return keys[at], np.diff(np.append(at, len(keys)))
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -88,7 +98,7 @@ def cell_lists(texts: DataFrame, depth: int, trees: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, data, offsets in text_blocks(batch.column(0), BLOCK_BYTES):
-                keys, n = np.unique(keys_of(data, offsets, depth)[0], return_counts=True)
+                keys, n = distinct(keys_of(data, offsets, depth)[0])
                 order, met, bounds = by_tree(keys, depth, trees)
                 parts = [order[i:j] for i, j in zip(bounds, bounds[1:])]
                 yield _rows({
@@ -120,7 +130,7 @@ def mix(zeros: np.ndarray, ones: np.ndarray, of_children: np.ndarray) -> tuple[n
     return weighted, one, np.exp(whole - log(2) - weighted)
 
 
-def weigh(keys: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
+def weigh(keys: np.ndarray, n: np.ndarray, depth: int, sums_only: bool = False) -> tuple[np.ndarray, list[tuple[np.ndarray, ...]]]:
     """Of sorted cells: the chance of a 1 at each of their eight decisions, mixed from the depth below ``SHALLOW`` down.
 
     And, per level of decisions, (context of ``SHALLOW`` bytes << 8 | decision, zeros, ones, log probability below).
@@ -144,9 +154,11 @@ def weigh(keys: np.ndarray, n: np.ndarray, depth: int) -> tuple[np.ndarray, list
                 sums.append((places, zeros, ones, below))
                 break
             weighted, one, share = mix(zeros, ones, below)
-            above = parent[above]
-            chance = share[above] * one[above] + (1 - share[above]) * chance
-        chances[level] = chance[row]
+            if not sums_only:
+                above = parent[above]
+                chance = share[above] * one[above] + (1 - share[above]) * chance
+        if not sums_only:
+            chances[level] = chance[row]
     return chances, sums
 
 
@@ -185,6 +197,12 @@ def finished(keys: np.ndarray, chances: np.ndarray, levels: list[tuple[np.ndarra
     return logs
 
 
+def rounded(logs: np.ndarray) -> np.ndarray:
+    """To 20 significant bits, an error below 5e-7 of each, so that the last byte compresses."""
+    bits = logs.astype(np.float32).view(np.uint32)
+    return ((bits + np.uint32(8)) & np.uint32(0xFFFFFFF0)).view(np.float32)
+
+
 def merged(lists: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of several lists (keys, n) and the sum of n of each."""
     if not lists:
@@ -198,7 +216,7 @@ def learned(lists: DataFrame, depth: int) -> DataFrame:
 
     def tree(group: pd.DataFrame) -> pd.DataFrame:
         keys, n = merged([(unpacked_keys(keys), unpacked(n, np.uint32)) for keys, n in zip(group["keys"], group["n"])])
-        _, sums = weigh(keys, n, depth)
+        _, sums = weigh(keys, n, depth, sums_only=True)
         tops = np.concatenate([np.stack([part.astype(np.float64) for part in level], axis=1) for level in sums])
         return pd.DataFrame({"tree": [group["tree"].iloc[0]], "keys": [packed_keys(keys)], "n": [packed(n)], "tops": [tops.tobytes()]})
 
@@ -228,7 +246,7 @@ def text_blocks_of(rows: DataFrame) -> DataFrame:
                 own = named[first : first + len(offsets) - 1].tobytes()
                 yield _rows({
                     "block": ([block], pa.int64()), "named": ([own], pa.binary()), "sizes": ([packed(np.diff(offsets))], pa.binary()),
-                    "data": ([zstandard.ZstdCompressor(level=3).compress(data.tobytes())], pa.binary())})
+                    "data": ([zstandard.ZstdCompressor(level=6).compress(data.tobytes())], pa.binary())})
                 block += 1
 
     return staged(rows.select("a", "b", "text").mapInArrow(cut, "block bigint, named binary, sizes binary, data binary"), "blocks")
@@ -245,7 +263,7 @@ def asked_lists(blocks: DataFrame, depth: int, trees: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, sizes, data in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                keys = np.unique(keys_of(*_opened(sizes, data), depth)[0])
+                keys, _ = distinct(keys_of(*_opened(sizes, data), depth)[0])
                 order, met, bounds = by_tree(keys, depth, trees)
                 parts = [packed_keys(keys[order[i:j]]) for i, j in zip(bounds, bounds[1:])]
                 yield _rows({"tree": (met, pa.int64()), "block": ([block] * len(met), pa.int64()), "keys": (parts, pa.binary())})
@@ -278,7 +296,7 @@ def answers(cells: DataFrame, asked: DataFrame, depth: int, parts: int) -> DataF
             lists = [(block, unpacked_keys(keys)) for _, block, keys, n in rows if block >= 0]
             counted = [(unpacked_keys(keys), unpacked(n, np.int64)) for _, block, keys, n in rows if block < 0]
             keys, n = merged(counted + [(keys, np.zeros(len(keys), np.int64)) for _, keys in lists])
-            logs = finished(keys, weigh(keys, n, depth)[0], levels.value, depth).astype(np.float32)
+            logs = rounded(finished(keys, weigh(keys, n, depth)[0], levels.value, depth))
             for block, own in lists:
                 yield _rows({
                     "block": ([block], pa.int64()), "tree": ([rows[0][0]], pa.int64()),
@@ -304,11 +322,16 @@ def tree_scores(rows: DataFrame, training: DataFrame, depth: int) -> DataFrame:
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, _, named, sizes, data), *parts in _groups(batches):
             text, offsets = _opened(sizes, data)
-            sequence, lengths = keys_of(text, offsets, depth)
-            keys, place = np.unique(sequence, return_inverse=True)
-            logs = np.empty(len(keys))
+            keys, lengths = keys_of(text, offsets, depth)
+            order = np.argsort(keys)
+            keys = keys[order]
+            new = np.concatenate([[True], keys[1:] != keys[:-1]])
+            keys = keys[new]
+            logs = np.empty(len(keys), np.float32)
             logs[by_tree(keys, depth, trees)[0]] = np.concatenate([unpacked(part[1], np.float32) for part in parts])
-            sums = np.add.reduceat(logs[place], np.cumsum(lengths) - lengths)
+            in_text = np.empty(len(order), np.float32)
+            in_text[order] = logs[np.cumsum(new, dtype=np.int32) - 1]
+            sums = np.add.reduceat(in_text, np.cumsum(lengths) - lengths, dtype=np.float64)
             own = np.frombuffer(named, np.int64).reshape(-1, 2)
             yield _rows({"a": (own[:, 0], pa.int64()), "b": (own[:, 1], pa.int64()), "score": (sums, pa.float64())})
 
