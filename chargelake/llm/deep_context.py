@@ -27,6 +27,7 @@ from chargelake.staging import staged
 
 SHALLOW = 2
 BLOCK_BYTES = 8 << 20
+PIECE_BYTES = 1 << 20
 TREE_BYTES = 8 << 20  # text for each tree, at least
 _TURN = np.uint64(0x9E3779B97F4A7C15)
 _GAMMA = ctw.log_gamma(np.arange(1 << 16) / 2 + 0.5)
@@ -305,6 +306,25 @@ def answers(cells: DataFrame, asked: DataFrame, depth: int, parts: int) -> DataF
     return met.mapInArrow(answer, "block bigint, tree bigint, logs binary")
 
 
+def runs_of(data: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bytes, offsets from 0) of runs of texts with at most ``limit`` bytes, or of one longer text."""
+    first, rows = 0, len(offsets) - 1
+    while first < rows:
+        last = int(np.searchsorted(offsets, offsets[first] + limit, side="right")) - 1
+        last = min(max(last, first + 1), rows)
+        yield data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        first = last
+
+
+def text_sums(keys: np.ndarray, logs: np.ndarray, data: np.ndarray, offsets: np.ndarray, depth: int) -> np.ndarray:
+    """The sum of the logs of each text's keys, all of which are among ``keys``."""
+    own, lengths = keys_of(data, offsets, depth)
+    order = np.argsort(own)
+    in_text = np.empty(len(own), np.float32)
+    in_text[order] = logs[np.searchsorted(keys, own[order])]
+    return np.add.reduceat(in_text, np.cumsum(lengths) - lengths, dtype=np.float64)
+
+
 def tree_scores(rows: DataFrame, training: DataFrame, depth: int) -> DataFrame:
     """(a, b, score) for each row key (a, b) of ``rows`` (a, b, text), learned from a table with one text column."""
     blocks = text_blocks_of(rows)
@@ -322,16 +342,10 @@ def tree_scores(rows: DataFrame, training: DataFrame, depth: int) -> DataFrame:
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, _, named, sizes, data), *parts in _groups(batches):
             text, offsets = _opened(sizes, data)
-            keys, lengths = keys_of(text, offsets, depth)
-            order = np.argsort(keys)
-            keys = keys[order]
-            new = np.concatenate([[True], keys[1:] != keys[:-1]])
-            keys = keys[new]
+            keys, _ = distinct(keys_of(text, offsets, depth)[0])
             logs = np.empty(len(keys), np.float32)
             logs[by_tree(keys, depth, trees)[0]] = np.concatenate([unpacked(part[1], np.float32) for part in parts])
-            in_text = np.empty(len(order), np.float32)
-            in_text[order] = logs[np.cumsum(new, dtype=np.int32) - 1]
-            sums = np.add.reduceat(in_text, np.cumsum(lengths) - lengths, dtype=np.float64)
+            sums = np.concatenate([text_sums(keys, logs, *piece, depth) for piece in runs_of(text, offsets, PIECE_BYTES)])
             own = np.frombuffer(named, np.int64).reshape(-1, 2)
             yield _rows({"a": (own[:, 0], pa.int64()), "b": (own[:, 1], pa.int64()), "score": (sums, pa.float64())})
 

@@ -6,7 +6,7 @@ from math import lgamma, log, log10, pi
 import numpy as np
 import pytest
 
-from chargelake.llm import ctw
+from chargelake.llm import ctw, deep_context
 
 
 class SlowTree:
@@ -83,3 +83,28 @@ def test_nothing_to_learn_from(documents):
     assert row.score == pytest.approx(3 * 8 * log10(0.5))
     assert ctw.score(documents([]), documents([(1, "ab")]), depth=6).count() == 0
     assert ctw.score(documents([]), documents([]), depth=6).count() == 0
+
+
+def test_odd_rows_and_several_blocks(documents, odd_rows, monkeypatch):
+    """A text longer than a block, NULLs, repeats; the same scores whatever the blocks."""
+    rng = random.Random(8)
+    long_text = " ".join(rng.choice(["abra", "cadabra", "é", "12"]) for _ in range(1_900_000))
+    assert len(long_text.encode()) > deep_context.BLOCK_BYTES
+    rows = [*odd_rows, (90, long_text), (91, "abra cadabra"), (91, "abra cadabra"), (92, "")]
+    docs = documents(rows, block=1, tree="x", logs=2, keys=3)
+    found = ctw.score(docs, docs.filter("doc_id IS NULL OR doc_id < 91"), depth=6).collect()
+    assert len(found) == len(rows)
+    scores = {}
+    for row in found:
+        assert scores.setdefault((row.doc_id, row.n_bytes), row.score) == row.score < 0
+    assert scores[91, 12] > 12 * log10(0.1) and scores[92, 0] == scores[2, 0]
+    alone = ctw.score(docs.filter("doc_id IN (5, 8, 91, 92)"), docs.filter("doc_id IS NULL OR doc_id < 91").repartition(5), depth=6)
+    for row in alone.collect():
+        assert row.score == pytest.approx(scores[row.doc_id, row.n_bytes], rel=1e-5)
+
+
+def test_numbers_are_packed_and_unpacked():
+    for values in (np.arange(0), np.array([3, 3, 900, 1 << 55]), np.array([1.5, -2.25], np.float32), np.array([7], np.uint32)):
+        assert deep_context.unpacked(deep_context.packed(values), values.dtype.type).tolist() == values.tolist()
+    keys = np.array([5, 9, 9, 1 << 54])
+    assert deep_context.unpacked_keys(deep_context.packed_keys(keys)).tolist() == keys.tolist()
