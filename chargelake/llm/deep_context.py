@@ -337,7 +337,8 @@ def tree_scores(rows: DataFrame, training: DataFrame, depth: int) -> DataFrame:
     none = F.lit(None).cast("binary")
     whole = blocks.select("block", F.lit(-1).cast("bigint").alias("tree"), none.alias("logs"), "named", "sizes", "data")
     met = whole.unionByName(found.withColumns({name: none for name in ("named", "sizes", "data")}))
-    met = met.repartition(least, F.xxhash64("block")).sortWithinPartitions("block", "tree").select("block", "logs", "named", "sizes", "data")
+    # About a block each, however many there are.
+    met = met.repartition(max(least, size // BLOCK_BYTES + 1), F.xxhash64("block")).sortWithinPartitions("block", "tree").select("block", "logs", "named", "sizes", "data")
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, _, named, sizes, data), *parts in _groups(batches):
