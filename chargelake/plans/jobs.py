@@ -27,7 +27,7 @@ from chargelake.sources.files import (
     ENDINGS, conflicting_files, content_marks, files_to_ingest, list_files, redelivered_files, scan_csv, scan_documents, with_source,
 )
 from chargelake.sources.split_json import scan_split_documents
-from chargelake.staging import staged
+from chargelake.staging import releasing, staged
 
 REGISTRY = "ingest_registry"
 CSV_VARIANT = 3
@@ -133,6 +133,7 @@ def ingest(
         lake, listing, run_ts, on_known, on_conflict, on_unknown, multi_line, file_format, known_ids, csv_options, split_bytes, on_duplicate)
 
 
+@releasing
 def take_files(
     lake: Lakehouse, listing: DataFrame, run_ts: datetime | Column, on_known: str = "skip", on_conflict: str = "error",
     on_unknown: str = "reject", multi_line: bool = True, file_format: str = "json",
@@ -265,11 +266,13 @@ def bronze_of_run(lake: Lakehouse, run_ts: datetime | Column) -> DataFrame:
     return _charges_among(bronze_rows(lake, _sources_of_run(lake, run_ts)))
 
 
+@releasing
 def compact(lake: Lakehouse) -> int:
     """Move recorded files from their own partitions into those of hospitals and months; returns how many."""
     return compact_bronze(lake, lake.read_or_empty(REGISTRY, REGISTRY_SCHEMA))
 
 
+@releasing
 def keep_unknown_fields(lake: Lakehouse, run_ts: datetime | Column) -> None:
     """Store the undeclared fields of a run's JSON files with their values, as JSON text, in place of what was stored.
 
@@ -289,6 +292,7 @@ def unknown_fields(lake: Lakehouse) -> DataFrame:
     return drift.unknown_fields(stored.withColumn("value", F.parse_json("value")), "source_id")
 
 
+@releasing
 def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") -> None:
     """Clean and enrich a run's bronze rows into silver. Rows of different files are never duplicates.
 
@@ -305,6 +309,7 @@ def refine(lake: Lakehouse, run_ts: datetime | Column, mode: str = "strict") ->
     lake.overwrite_partitions("silver_charges", silver, ["source_id"])
 
 
+@releasing
 def score_run(lake: Lakehouse, run_ts: datetime | Column) -> None:
     """Rank and score a run's silver rows among themselves and store them under their published columns."""
     silver = rows_of_run(lake, lake.read("silver_charges"), run_ts)
@@ -314,6 +319,7 @@ def score_run(lake: Lakehouse, run_ts: datetime | Column) -> None:
     lake.overwrite_partitions("scored_silver", scored.hint("rebalance", "source_id"), ["source_id"])
 
 
+@releasing
 def build_gold(lake: Lakehouse, silver: DataFrame, run_ts: datetime | Column) -> None:
     """Add new members to the dimensions, then the run's facts."""
     for table, (schema, additions) in KEYED_DIMENSIONS.items():

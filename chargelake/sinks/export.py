@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chargelake.sinks.changes import pending_partitions, with_partition
 from chargelake.sinks.lakehouse import Lakehouse
-from chargelake.staging import fits_broadcast, staged
+from chargelake.staging import fits_broadcast, releasing, staged
 
 FACTS, FACT_PARTITION = "fact_charges", "gold_ingestion_ts"
 LEDGER = "export_ledger"
@@ -123,6 +123,7 @@ def exported(target: Target, spark: SparkSession) -> DataFrame:
     return target.read(FACTS).join(_last_marked(_ledger(target, spark)), "batch_id", "left_semi").drop("batch_id")
 
 
+@releasing
 def export_gold(lake: Lakehouse, target: Target) -> bool:
     """Send what was committed since the last export and, if that is anything, the dimensions.
 

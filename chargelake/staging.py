@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -11,6 +15,7 @@ BROADCAST_BYTES = 32 << 20
 
 _local_scratch: tempfile.TemporaryDirectory | None = None
 _prepared: set[str] = set()
+_scope: ContextVar[list[str] | None] = ContextVar("scratch tables of the running job", default=None)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,10 +50,37 @@ def _prepare(spark: SparkSession, folder: str) -> None:
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, so later uses share one result that outlives executors."""
     path = scratch_path(df.sparkSession, label)
+    if (held := _scope.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables written within, by this thread, at the end. Nothing read from them may live on."""
+    held: list[str] = []
+    before = _scope.set(held)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        for path in held:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def releasing(job: Callable) -> Callable:
+    """A job on a lakehouse, its first argument, that leaves no scratch tables. It must not return rows."""
+
+    @wraps(job)
+    def run(lake, *more, **named):
+        with released(lake.spark):
+            return job(lake, *more, **named)
+
+    return run
+
+
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` in one aggregate and compare it with the limit."""
     fixed, varying = 16, []

@@ -12,7 +12,7 @@ from chargelake.operators.flatten import KNOWN_HOSPITAL_IDS
 from chargelake.plans.jobs import repaired_files, take_files
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.sources.files import list_files, listed_columns
-from chargelake.staging import staged
+from chargelake.staging import released, staged
 
 # Fixed value: the columns of Spark's file source.
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
@@ -42,10 +42,15 @@ def start_pickup(
         stamp = F.current_timestamp() if run_ts is None else run_ts
         take_files(lake, listing, stamp, on_conflict=on_conflict, known_ids=known_ids, file_format=file_format, on_duplicate=on_duplicate)
 
-    repaired = staged(repaired_files(lake, list_files(lake.spark, folder, file_format)), "repaired")
-    if not repaired.isEmpty():
-        take(repaired)
+    def take_batch(batch: DataFrame, _: int) -> None:
+        with released(lake.spark):
+            take(staged(batch, "batch"))
+
+    with released(lake.spark):
+        repaired = staged(repaired_files(lake, list_files(lake.spark, folder, file_format)), "repaired")
+        if not repaired.isEmpty():
+            take(repaired)
     files = lake.spark.readStream.format("binaryFile").schema(LISTING).option("recursiveFileLookup", True)
     files = files.option("maxFilesPerTrigger", files_per_batch).load(folder)
-    writer = listed_columns(files, file_format).writeStream.foreachBatch(lambda batch, _: take(staged(batch, "batch")))
+    writer = listed_columns(files, file_format).writeStream.foreachBatch(take_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -292,3 +292,19 @@ def test_redelivered_content_is_put_aside(lake, deliver, tmp_path):
         (tmp_path / "in" / name).write_text("{")
         assert jobs.ingest(lake, str(tmp_path / "in" / name), SECOND, on_duplicate="reject") == 0
     assert {r.reason for r in lake.read(jobs.REJECTED_FILES).filter("source_name IN ('f', 'g')").collect()} == {"document does not parse"}
+
+
+def test_jobs_leave_no_scratch_tables(spark, lake, target, deliver, tmp_path):
+    def stages():
+        path = spark._jvm.org.apache.hadoop.fs.Path(staging.scratch_path(spark, "x")).getParent()
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        return {status.getPath().getName() for status in files.listStatus(path)}
+
+    before = stages()
+    jobs.run_all(lake, [deliver("a.json", TYPE_1), deliver("b.json", [])], FIRST, target)
+    start_pickup(lake, str(tmp_path / "in"), str(tmp_path / "checkpoint")).awaitTermination()
+    jobs.keep_unknown_fields(lake, FIRST)
+    jobs.compact(lake)
+    jobs.refine(lake, FIRST)
+    assert stages() == before
+    assert target.read("fact_charges").count() == 4
