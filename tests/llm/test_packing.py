@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from chargelake.llm import packing
+from chargelake.llm.queries import op10_best_fit_packing
 
 
 def check(rows, placed, sizes):
@@ -55,3 +56,47 @@ def test_sizes_are_chosen_jointly():
     dear = packing.best_fit(np.full(1000, 10), (100, 1000), cost=lambda s: s * s)[2]
     assert set(dear.tolist()) == {100}
     assert packing.best_fit(np.array([990, 15]), (100, 1000))[2].tolist() == [1000, 100]
+
+
+def plain_best_fit(lengths, sizes, cost):
+    """The same rule by looking at every open bin for every piece."""
+    order = sorted(range(len(lengths)), key=lambda at: (-lengths[at], at))
+    bins, placed = [], {}
+    for turn, piece in enumerate(order):
+        length = lengths[piece]
+        fitting = [(size - used, number) for number, (size, used) in enumerate(bins) if size - used >= length]
+        if fitting:
+            number = min(fitting)[1]
+        else:
+            def per_place(size):
+                free = size - length
+                to_come = sum(lengths[other] for other in order[turn + 1 :] if lengths[other] <= free)
+                return cost(size) / (length + min(free, to_come))
+
+            bins.append((min((size for size in sizes if size >= length), key=per_place), 0))
+            number = len(bins) - 1
+        size, used = bins[number]
+        placed[piece] = (number, used)
+        bins[number] = (size, used + length)
+    return [placed[at] for at in range(len(lengths))], [min(size for size in sizes if size >= used) for _, used in bins]
+
+
+def test_equals_plain_best_fit():
+    draw = random.Random(4)
+    for trial in range(60):
+        sizes = sorted(draw.sample(range(20, 200), draw.randint(1, 4)))
+        lengths = [draw.choice([draw.randint(1, max(sizes)), 7, 7, max(sizes)]) for _ in range(draw.randint(0, 80))]
+        cost = draw.choice([packing.linear_cost, lambda size: size * size, lambda size: 1.0])
+        bins, positions, capacities = packing.best_fit(np.array(lengths, np.int64), sizes, cost)
+        placed, sized = plain_best_fit(lengths, sizes, cost)
+        assert list(zip(bins.tolist(), positions.tolist())) == placed and capacities.tolist() == sized
+
+
+def test_query_equals_plain_best_fit(spark):
+    """The smallest table is one partition and one chunk, so the whole result can be worked out."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    pieces = [(row.doc_id, at, min(max(packing.SIZES), len(row.text or "") + 1 - at)) for row in docs for at in range(0, len(row.text or "") + 1, max(packing.SIZES))]
+    placed, capacities = plain_best_fit([length for _, _, length in pieces], packing.SIZES, packing.linear_cost)
+    wanted = {(doc, start, length, capacities[own], position) for (doc, start, length), (own, position) in zip(pieces, placed)}
+    found = op10_best_fit_packing(spark, "/root/testdata/sf0.001").collect()
+    assert {(r.doc_id, r.start, r.length, r.capacity, r.position) for r in found} == wanted and len(found) == len(wanted)

@@ -2,10 +2,14 @@ from collections import Counter
 from zlib import crc32
 
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from chargelake.llm import sharding
+from chargelake.llm.queries import op4_virtual_slots
 from chargelake.staging import staged
 
+SF_DIR = "/root/testdata/sf0.001"
+
 
 def test_sizes_places_and_odd_rows(documents, odd_rows):
     rows = [*odd_rows, *((100 + i, "x" * (i * 37 % 900)) for i in range(600))]
@@ -45,3 +49,30 @@ def test_rebalancing_edits_few_slots(documents):
 def test_empty(documents):
     placed, slot_map = sharding.shard(documents([]), 3, slots=16)
     assert (placed.count(), slot_map.count()) == (0, 16)
+
+
+def test_query_equals_plain_computation(spark):
+    """Slots, map and places worked out row by row: the hash of the id, largest slots first to the lightest shard."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    slot_of = {row.doc_id: xxh64_intdigest(str(row.doc_id).encode(), seed=42) for row in docs}
+    slot_of = {doc: (value - (1 << 64 if value >> 63 else 0)) % sharding.SLOTS for doc, value in slot_of.items()}
+    size_of = {row.doc_id: len((row.text or "").encode()) + 8 for row in docs}
+    held = Counter()
+    for row in docs:
+        held[slot_of[row.doc_id]] += size_of[row.doc_id]
+    loads, shard_of = [0] * 24, {}
+    for slot in sorted(range(sharding.SLOTS), key=lambda slot: (-held[slot], slot)):
+        shard_of[slot] = loads.index(min(loads))
+        loads[shard_of[slot]] += held[slot]
+    found = op4_virtual_slots(spark, SF_DIR).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.virtual_slot) for r in found) == Counter(
+        (row.doc_id, size_of[row.doc_id], crc32((row.text or "").encode()), shard_of[slot_of[row.doc_id]], slot_of[row.doc_id]) for row in docs)
+    for shard in range(24):
+        assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
+    assert max(loads) - min(loads) <= max(size_of.values())
+
+
+def test_ties_go_to_the_smaller_slot_and_shard(spark):
+    sizes = spark.createDataFrame([(slot, 10, 1) for slot in range(7)], "virtual_slot bigint, bytes bigint, rows bigint")
+    slot_map = {r.virtual_slot: r.shard for r in sharding.balanced_map(sizes, 3).collect()}
+    assert slot_map == {0: 0, 1: 1, 2: 2, 3: 0, 4: 1, 5: 2, 6: 0}
