@@ -2,26 +2,38 @@
 
 # The patterns of the secret rules, in DuckDB's regex dialect.
 _KEYS = "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+# A private key's whole block: up to its last line, or over header and base64 lines with a shorter one at the end, which
+# must not run into other text. What follows that line is matched besides; the span is made of the groups.
+_BREAK, _LINE = "(?:\\\\[rn]|[\\x09-\\x0D\\x20])", "[A-Za-z0-9+/=]{16,}"
+_HEADER = "[A-Za-z-]+: [^\\r\\n\\\\]*(?:\\\\[rn]|[\\r\\n])"
+_FIRST = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_BODY = f"(?:{_BREAK}+{_HEADER}(?:{_BREAK}*{_HEADER})*{_BREAK}*|{_BREAK}+){_LINE}(?:{_BREAK}+{_LINE})*"
+_KEY_BLOCK = (
+    f"({_FIRST}(?:-{{0,4}}[^-])*-----END [A-Z ]*PRIVATE KEY-----)|({_FIRST}{_BODY})"
+    f"(?:({_BREAK}+[A-Za-z0-9+/]{{1,15}}={{0,2}})(?:[\\x09-\\x0D\\x20\\\\\"'']|$))?|({_FIRST})"
+)
 _PATTERNS = (
     ("assign", _KEYS + """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
     ("access", "AKIA[A-Z0-9]+", 0, 16),
     ("hex", "[0-9a-f]+", 0, 32),
     ("hosting", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
-    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("private_key", _KEY_BLOCK, 0, 1, (1, 2, 3, 4)),
 )
 
 
-def _spans(kind: str, pattern: str, group: int, least: int, place: int) -> str:
+def _spans(place: int, kind: str, pattern: str, group: int, least: int, of: tuple[int, ...] = (0,)) -> str:
+    size = " + ".join(f"coalesce(length(part_{at}[i]), 0)" for at in of)
+    parts = ", ".join(f"regexp_extract_all(text, '{pattern}', {at}) AS part_{at}" for at in of)
     return f"""
     SELECT n, {place} AS place, '{kind}' AS kind, i,
         list_sum([length(x) FOR x IN gaps[:i]]) + coalesce(list_sum([length(x) FOR x IN found[:i - 1]]), 0) AS s,
-        length(found[i]) AS size, length(vals[i]) >= {least} AS ok
-    FROM (SELECT n, unnest(range(1, len(found) + 1)) AS i, gaps, found, vals FROM (
+        {size} AS size, length(vals[i]) >= {least} AS ok
+    FROM (SELECT n, unnest(range(1, len(found) + 1)) AS i, * FROM (
         SELECT n, regexp_split_to_array(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS found,
-            regexp_extract_all(text, '{pattern}', {group}) AS vals FROM texts))"""
+            regexp_extract_all(text, '{pattern}', {group}) AS vals, {parts} FROM texts))"""
 
 
-_ALL = " UNION ALL ".join(_spans(*rule, place) for place, rule in enumerate(_PATTERNS))
+_ALL = " UNION ALL ".join(_spans(place, *rule) for place, rule in enumerate(_PATTERNS))
 
 _SECRETS = f"""
 WITH texts AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),

@@ -19,6 +19,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chargelake.llm.common import merged_spans, replace_spans, row_key, spans_from
+from chargelake.staging import fits_broadcast, staged
 
 EXACT_STRINGS = 64
 
@@ -47,20 +48,18 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}"),
     Rule("hex", r"[0-9a-f]{32,}"),
 )
-MORE_RULES = (
-    Rule("hosting", r"gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-)
-RULES = BASE_RULES + MORE_RULES
-# What is replaced of a private key: from its first line to its last one, or, without that, over header and base64 lines.
-# Line ends may be written as \n, as in JSON. No run is limited, and none is given back once it is read. Scans list the
-# first line alone, as their SQL does.
+# A private key is taken from its first line to its last one, or, without that, over header and base64 lines. Line ends
+# may be written as \n, as in JSON. No run is limited, and none is given back once it is read.
 _BREAK = r"(?:\\[rn]|\s)++"
 KEY_BLOCK = (
     r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:(?:[^-]++|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
     rf"|(?:{_BREAK}[A-Za-z-]+: [^\r\n\\]*+)*+(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+)++(?:{_BREAK}[A-Za-z0-9+/]{{1,15}}={{0,2}}(?![^\s\\\"']))?)?"
 )
-REDACTED_RULES = tuple(Rule(rule.kind, KEY_BLOCK) if rule.kind == "private_key" else rule for rule in RULES)
+MORE_RULES = (
+    Rule("hosting", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("private_key", KEY_BLOCK),
+)
+RULES = BASE_RULES + MORE_RULES
 
 
 def trigrams(word: str) -> frozenset[str]:
@@ -159,12 +158,16 @@ def candidates(keyed: DataFrame, queries: dict[str, Query]) -> DataFrame:
 
 
 def with_candidates(keyed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add ``kinds``: the indexed rules whose query holds for the row's text."""
+    """Add ``kinds``: the indexed rules whose query holds for the row's text.
+
+    Candidates are broadcast to the texts while they are measured to be small; beyond that both meet in a shuffle.
+    """
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     indexed = {kind: query for kind, query in queries.items() if frozenset() not in query}
     if not indexed:
         return keyed.withColumn("kinds", F.array().cast("array<string>"))
-    found = candidates(keyed.select("key", "text"), indexed)
+    found = staged(candidates(keyed.select("key", "text"), indexed), "candidates")
+    found = F.broadcast(found) if fits_broadcast(found) else found
     none = F.array().cast("array<string>")
     return keyed.join(found, "key", "left").withColumn("kinds", F.coalesce("kinds", none))
 
@@ -202,7 +205,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return with_spans(with_candidates(keyed, rules), rules).select(F.col("id").alias(id_col), "spans")
 
 
-def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", rules: Sequence[Rule] = REDACTED_RULES) -> DataFrame:
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", rules: Sequence[Rule] = RULES) -> DataFrame:
     """All rows and columns, with every secret in the text column replaced by ``mark``. A NULL text stays NULL."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = docs.select(F.struct("*").alias("row"), text.alias("text"), row_key(F.col(id_col), text).alias("key"))
