@@ -11,6 +11,7 @@ from chargelake.llm import (
 )
 from chargelake.llm.common import table
 from chargelake.llm.oracles import ORACLES  # noqa: F401
+from chargelake.staging import scratch_path, staged
 
 
 def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,10 +33,14 @@ def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = sharding.shard(table(spark, sf_dir, "documents"), 24)
-    return rows.select(
+    """A map for 23 shards is stored, edited for one more, and read again; ``first_shard`` is where a row lay before."""
+    rows, maps = staged(sharding.slotted(table(spark, sf_dir, "documents")), "slotted"), scratch_path(spark, "slot_maps")
+    first = sharding.edit_map(rows, maps, 23).select("virtual_slot", F.col("shard").alias("first_shard"))
+    latest = sharding.edit_map(rows, maps, 24)
+    found = sharding.placed(rows, latest).join(F.broadcast(first), "virtual_slot")  # a row per slot
+    return found.select(
         F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "first_shard")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

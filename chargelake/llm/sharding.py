@@ -2,7 +2,8 @@
 
 A row's id decides its slot, one of a few thousand whose number never changes. Bytes and rows are summed per slot, and
 a versioned map assigns slots to shards. Growing or rebalancing edits the map: a few slots change their shard and all
-other rows stay where they are. The map's size depends on the number of slots only.
+other rows stay where they are. The map's size depends on the number of slots only. Versions are stored one beside the other
+and never overwritten, so rows are placed by the latest or by any earlier one.
 
 A NULL text counts as empty. Rows with a NULL id are dealt by their text, so that they don't meet in one slot; equal
 rows share a slot. Only the id and text columns are read, so other columns may have any name.
@@ -10,7 +11,7 @@ rows share a slot. Only the id and text columns are read, so other columns may h
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from chargelake.staging import staged
 
@@ -114,6 +115,42 @@ def placed(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     return found.select("id", "size", "text_crc32", "virtual_slot", "shard", (F.col("start") + F.col("within")).alias("slot"))
 
 
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    """The greatest version that is stored whole."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    named = (status.getPath() for status in files.listStatus(folder))
+    whole = [p.getName() for p in named if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max((int(name.removeprefix("version=")) for name in whole if name.startswith("version=")), default=None)
+
+
+def save_map(slot_map: DataFrame, path: str) -> int:
+    """Store a map under the version it has; two editors of one version cannot both succeed.
+
+    What a failed write left of a version is never read; it has to be deleted before that version can be stored.
+    """
+    version = slot_map.agg(F.max("version")).first()[0]
+    slot_map.select("virtual_slot", "shard").coalesce(1).write.parquet(f"{path}/version={version}")
+    return version
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(version, virtual_slot, shard) of a stored version, the latest unless one is named."""
+    version = latest_version(spark, path) if version is None else version
+    held = spark.read.schema("virtual_slot bigint, shard int").parquet(f"{path}/version={version}")
+    return held.select(F.lit(version).alias("version"), "virtual_slot", "shard")
+
+
+def edit_map(rows: DataFrame, path: str, shards: int, slots: int = SLOTS) -> DataFrame:
+    """Store the next version for these slotted rows and return it: the first map, or the held one rebalanced."""
+    spark, sizes = rows.sparkSession, staged(slot_sizes(rows, slots), "slot_sizes")
+    held = latest_version(spark, path)
+    edited = balanced_map(sizes, shards) if held is None else rebalanced_map(load_map(spark, path, held), sizes, shards)
+    return load_map(spark, path, save_map(edited, path))
+
+
 def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
     """Rows with their shard and place, and the first version of the map, both stored."""
     rows = staged(slotted(docs, id_col, text_col, slots), "slotted")

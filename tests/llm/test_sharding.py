@@ -1,6 +1,8 @@
 from collections import Counter
 from zlib import crc32
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -60,13 +62,28 @@ def test_query_equals_plain_computation(spark):
     held = Counter()
     for row in docs:
         held[slot_of[row.doc_id]] += size_of[row.doc_id]
-    loads, shard_of = [0] * 24, {}
-    for slot in sorted(range(sharding.SLOTS), key=lambda slot: (-held[slot], slot)):
-        shard_of[slot] = loads.index(min(loads))
-        loads[shard_of[slot]] += held[slot]
+    def deal(slots, loads, shard_of):
+        for slot in sorted(slots, key=lambda slot: (-held[slot], slot)):
+            shard_of[slot] = loads.index(min(loads))
+            loads[shard_of[slot]] += held[slot]
+
+    first, shard_of, given = {}, {}, []
+    deal(range(sharding.SLOTS), [0] * 23, first)
+    fair, loads = -(-sum(held.values()) // 24), [0] * 24
+    for shard in range(23):
+        run = 0
+        for slot in sorted((slot for slot in first if first[slot] == shard), key=lambda slot: (-held[slot], slot)):
+            run += held[slot]
+            if run > fair and held[slot]:
+                given.append(slot)
+            else:
+                shard_of[slot], loads[shard] = shard, loads[shard] + held[slot]
+    deal(given, loads, shard_of)
     found = op4_virtual_slots(spark, SF_DIR).collect()
     assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.virtual_slot) for r in found) == Counter(
         (row.doc_id, size_of[row.doc_id], crc32((row.text or "").encode()), shard_of[slot_of[row.doc_id]], slot_of[row.doc_id]) for row in docs)
+    assert all(r.first_shard == first[r.virtual_slot] for r in found)
+    assert {r.virtual_slot for r in found if r.shard != r.first_shard} <= set(given)
     for shard in range(24):
         assert sorted(r.slot for r in found if r.shard == shard) == list(range(sum(r.shard == shard for r in found)))
     assert max(loads) - min(loads) <= max(size_of.values())
@@ -76,3 +93,17 @@ def test_ties_go_to_the_smaller_slot_and_shard(spark):
     sizes = spark.createDataFrame([(slot, 10, 1) for slot in range(7)], "virtual_slot bigint, bytes bigint, rows bigint")
     slot_map = {r.virtual_slot: r.shard for r in sharding.balanced_map(sizes, 3).collect()}
     assert slot_map == {0: 0, 1: 1, 2: 2, 3: 0, 4: 1, 5: 2, 6: 0}
+
+
+def test_versions_are_kept_and_never_overwritten(spark, documents, tmp_path):
+    path = f"{tmp_path}/maps"
+    assert sharding.latest_version(spark, path) is None
+    rows = staged(sharding.slotted(documents([(i, "y" * (i * 37 % 900)) for i in range(500)]), slots=64), "slotted")
+    first = sharding.edit_map(rows, path, 3, slots=64).collect()
+    second = sharding.edit_map(rows, path, 4, slots=64).collect()
+    assert (sharding.latest_version(spark, path), {r.version for r in second}, len(second)) == (2, {2}, 64)
+    assert sorted(sharding.load_map(spark, path, 1).collect()) == sorted(first)
+    with pytest.raises(AnalysisException):
+        sharding.save_map(sharding.load_map(spark, path, 1), path)
+    (tmp_path / "maps" / "version=3").mkdir()  # a version whose job did not end
+    assert sorted(sharding.load_map(spark, path).collect()) == sorted(second)
