@@ -100,3 +100,34 @@ def test_query_equals_plain_best_fit(spark):
     wanted = {(doc, start, length, capacities[own], position) for (doc, start, length), (own, position) in zip(pieces, placed)}
     found = op10_best_fit_packing(spark, "/root/testdata/sf0.001").collect()
     assert {(r.doc_id, r.start, r.length, r.capacity, r.position) for r in found} == wanted and len(found) == len(wanted)
+
+
+def test_under_filled_bins_are_packed_again_across_partitions(documents, monkeypatch):
+    random.seed(8)
+    rows = [(i, "x" * random.choice([700, random.randrange(0, 3000), 5000])) for i in range(600)]
+    docs, sizes = documents(rows, used=1, chunk=2), (1024, 4096)
+    few, many = (packing.pack(docs.repartition(n, "doc_id"), sizes=sizes).collect() for n in (1, 64))
+    check(rows, few, sizes)
+    check(rows, many, sizes)
+
+    def places(found):
+        return sum({r.bin_id: r.capacity for r in found}.values())
+
+    assert places(many) < 1.02 * places(few)
+    monkeypatch.setattr(packing, "NEARLY_FULL", 0.0)
+    once = packing.pack(docs.repartition(64, "doc_id"), sizes=sizes).collect()
+    check(rows, once, sizes)
+    assert places(once) > places(many)
+
+
+def test_equal_texts_fill_as_many_bins_in_any_split(documents):
+    docs = documents([(i, "x" * 499) for i in range(800)])
+    bins = [packing.pack(docs.repartition(n, "doc_id"), sizes=(1024, 16384)).select("bin_id").distinct().count() for n in (1, 50)]
+    assert bins[0] == bins[1] == 25
+
+
+def test_chunks_of_one_partition_and_odd_ids(documents, odd_rows, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 7)
+    monkeypatch.setattr(packing, "CHUNK_ROWS", 21)
+    rows = [*odd_rows, *((None if i % 9 == 0 else i, "z" * (i * 53 % 300)) for i in range(200))]
+    check(rows, packing.pack(documents(rows), sizes=(64, 256)).collect(), (64, 256))
