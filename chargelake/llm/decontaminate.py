@@ -36,6 +36,14 @@ def windows_of(codes: Column, size: int) -> Column:
     return F.when(F.size(codes) >= size, hashes)
 
 
+def windows_with_words(codes: Column, words: Column, size: int) -> Column:
+    """Hash and words of each run of ``size`` words, by its first word."""
+    starts = F.sequence(F.lit(1), F.size(codes) - size + 1)
+    runs = F.transform(starts, lambda i: F.struct(
+        F.xxhash64(F.slice(codes, i, F.lit(size))).alias("hash"), F.slice(words, i, F.lit(size)).alias("own")))
+    return F.when(F.size(codes) >= size, runs)
+
+
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW_WORDS) -> DataFrame:
     """(item, hash, words): all distinct windows of the items."""
     worded = items.select(F.col(id_col).cast("string").alias("item"), words_of(F.col(text_col)).alias("all")).filter(F.size("all") > 0)
@@ -48,7 +56,7 @@ def find_hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
     """(key, places, items) of each text that holds a window: its hit words' places and the items' ids.
 
     ``keyed`` has ``key`` and ``text``. The windows are broadcast while they are measured to be small; beyond that
-    they meet the documents' windows in a shuffle.
+    they meet the documents' windows in a shuffle, each of which carries its own words and not its text's.
     """
     known = windows.groupBy("hash", "words").agg(F.collect_set("item").alias("items"))
     known = staged(known.withColumn("size", F.size("words")), "benchmark")
@@ -56,15 +64,21 @@ def find_hits(keyed: DataFrame, windows: DataFrame) -> DataFrame:
     if not sizes:
         return keyed.select("key", F.array().cast("array<int>").alias("places"), F.array().cast("array<string>").alias("items")).limit(0)
     slim = known.select("hash", F.col("words").alias("window"), "size")
-    slim = F.broadcast(slim) if fits_broadcast(slim) else slim
+    small = fits_broadcast(slim)
+    slim = F.broadcast(slim) if small else slim
     worded = keyed.select("key", words_of(F.col("text")).alias("words"))
     worded = worded.select("key", "words", codes_of(F.col("words")).alias("codes"))
     hits = None
     for size in sizes:
         # The outer form keeps Spark from evaluating the windows once more in an inferred filter.
-        scanned = worded.select("key", "words", F.posexplode_outer(windows_of(F.col("codes"), size)).alias("pos", "hash"))
-        met = scanned.join(slim.filter(F.col("size") == size), "hash")
-        met = met.filter(F.slice("words", F.col("pos") + 1, F.col("size")) == F.col("window"))
+        if small:
+            scanned = worded.select("key", "words", F.posexplode_outer(windows_of(F.col("codes"), size)).alias("pos", "hash"))
+            own = F.slice("words", F.col("pos") + 1, F.col("size"))
+        else:
+            runs = windows_with_words(F.col("codes"), F.col("words"), size)
+            scanned = worded.select("key", F.posexplode_outer(runs).alias("pos", "run")).select("key", "pos", "run.hash", "run.own")
+            own = F.col("own")
+        met = scanned.join(slim.filter(F.col("size") == size), "hash").filter(own == F.col("window"))
         part = met.select("key", "pos", "size", "hash", "window")
         hits = part if hits is None else hits.unionAll(part)
     hits = staged(hits, "hits")

@@ -3,7 +3,9 @@
 import random
 import re
 
+import pytest
 from chargelake.llm import decontaminate
+from chargelake.staging import staged
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -30,7 +32,9 @@ def brute_force(docs, items):
     return sorted(out, key=str)
 
 
-def test_matches_brute_force(spark, documents, odd_rows):
+@pytest.mark.parametrize("small", [True, False])
+def test_matches_brute_force(spark, documents, odd_rows, monkeypatch, small):
+    monkeypatch.setattr(decontaminate, "fits_broadcast", lambda windows: small)
     random.seed(3)
     vocabulary = ["one", "Two", "thrée", "4our", "five", "SIX"]
     sentence = lambda n: " ".join(random.choices(vocabulary, k=n))
@@ -45,6 +49,22 @@ def test_matches_brute_force(spark, documents, odd_rows):
     assert kept.count() == sum(hit == 0 for _, _, hit, _ in brute_force(docs, items))
 
 
+def test_shuffled_windows_leave_their_text_behind(spark, documents, monkeypatch):
+    """What is dealt by a window's hash has the window's words, and no column with all words of its text."""
+    monkeypatch.setattr(decontaminate, "fits_broadcast", lambda windows: False)
+    plans = []
+    monkeypatch.setattr(decontaminate, "staged", lambda df, label: (plans.append((label, df)), staged(df, label))[1])
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id bigint, text string")
+    decontaminate.contamination(documents([(1, "zero one two three four five six seven eight nine ten")]), items).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = dict(plans)["hits"].select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [columns for columns in re.findall(r"Exchange hashpartitioning\(.*hash#.*\n.*Project \[(.*)\]", plan) if "key#" in columns]
+    assert len(dealt) == 1 and "words#" not in dealt[0], plan
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id bigint, text string")
     docs = documents([(1, "some words"), (2, None)])
