@@ -1,5 +1,6 @@
 """Files of bounded length, and files read in splits, on their way to bronze and silver."""
 
+import json
 from contextlib import redirect_stdout
 from datetime import datetime
 from io import StringIO
@@ -9,6 +10,7 @@ from uuid import uuid4
 import pytest
 from pyspark.sql import functions as F
 
+from chargelake import fixtures
 from chargelake.plans import jobs
 from chargelake.sinks.lakehouse import Lakehouse
 
@@ -27,6 +29,22 @@ def explained(df):
     return text.getvalue()
 
 
+@pytest.mark.parametrize("count", [1, 6, 7])
+def test_documents_go_into_arrays_of_bounded_length(spark, tmp_path, count):
+    docs = spark.range(count, numPartitions=1).select(F.col("id").cast("string").alias("pId"))
+    fixtures.write_documents(docs, str(tmp_path / "docs"), per_file=3)
+    arrays = [json.loads(path.read_text()) for path in sorted((tmp_path / "docs").glob("part-*"))]
+    assert [len(array) for array in arrays] == {1: [1], 6: [3, 3], 7: [3, 3, 1]}[count]
+    assert [doc["pId"] for array in arrays for doc in array] == [str(i) for i in range(count)]
+
+
+def test_one_file_per_task_on_request(spark, tmp_path):
+    docs = spark.range(7, numPartitions=1).select(F.col("id").cast("string").alias("pId"))
+    fixtures.write_documents(docs, str(tmp_path / "docs"), per_file=None)
+    (path,) = (tmp_path / "docs").glob("part-*")
+    assert len(json.loads(path.read_text())) == 7
+
+
 def test_only_whole_files_are_spread(lake):
     files = [SimpleNamespace(source_path=f"file:/in/{name}", length=1000) for name in ("a.csv", "b.csv")]
     assert not jobs._outweighs(lake, files, whole=False)
