@@ -70,3 +70,19 @@ def test_rows_of_split_files_are_not_shuffled(spark, lake, tmp_path, monkeypatch
     rows = jobs.bronze_charges(lake).groupBy("source_id").agg(F.sum("gross_charge").alias("sum"), F.count("*").alias("n"))
     assert [(row["sum"], row["n"]) for row in rows.collect()] == [(190.0, 20)] * 2
     assert jobs.rejected_records(lake).count() == 2
+
+
+def test_silver_is_gathered_before_its_columns_are_added(spark, lake, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text(
+        "provider_id,hospital_name,description,standard_charge | gross,standard_charge | min,standard_charge | max,"
+        "standard_charge | negotiated_dollar\n1,A,MRI,9,1,9,5\n1,A,MRI,9,1,9,5\n")
+    jobs.ingest(lake, str(tmp_path / "a.csv"), RUN_TS, file_format="csv")
+    seen, enrich = [], jobs.enrich
+
+    def watched(df, *more):
+        seen.append(explained(df))
+        return enrich(df, *more)
+
+    monkeypatch.setattr(jobs, "enrich", watched)
+    jobs.refine(lake, RUN_TS)
+    assert "REBALANCE" in seen[0]
