@@ -123,3 +123,21 @@ def test_no_slice_holds_a_service_or_a_tie(spark):
     by_service = Window.partitionBy("service_description").orderBy("standard_charge_dollar")
     want = charges.withColumn("r", F.rank().over(by_service)).select("id", "r")
     assert ranked == rows(want)
+
+
+def test_charges_are_not_sent_to_be_ranked(spark):
+    """Counts of prices are sent and sorted; the charges themselves meet their ranks where they lie."""
+    n = F.col("id")
+    charges = spark.range(2000).select(
+        n, F.concat(F.lit("S"), (n % 9).cast("string")).alias("service_description"), (n * 31 % 97 / 10).alias("standard_charge_dollar"),
+        (n % 4).cast("string").alias("payer_name"), (n % 2 == 0).alias("has_brand_indicator"))
+    for result in (score.with_price_rank(charges), score.score(charges)):
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Window" not in plan
+
+
+def test_equal_prices_share_a_rank_whatever_their_form(spark):
+    data = [("a", "S", 0.0), ("b", "S", -0.0), ("c", "S", float("nan")), ("d", "S", float("nan")), ("e", "S", None), ("f", "S", 1.0), ("g", None, 1.0), ("h", None, 1.0)]
+    charges = spark.createDataFrame(data, "id string, service_description string, standard_charge_dollar double")
+    got = {row.id: row.price_rank for row in score.with_price_rank(charges).collect()}
+    assert got == {"e": 1, "a": 2, "b": 2, "f": 4, "c": 5, "d": 5, "g": 1, "h": 1}
