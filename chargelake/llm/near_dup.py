@@ -42,6 +42,7 @@ COORDINATES = 64
 PACKET = 100
 LISTS_TOGETHER = 8
 MISS = 3e-4
+ROWS_PER_TASK = 1 << 14
 SPREAD = 4.4  # standard deviations that a sketch may fall short of the threshold
 
 _RANDOM = np.random.default_rng(20240611)
@@ -119,12 +120,13 @@ def agreement(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right:
     return np.where(same >= least_equal(percent), same, 0)
 
 
-def packets_of(rows: DataFrame, label: str) -> DataFrame:
+def packets_of(rows: DataFrame, label: str, most: int | None = None) -> DataFrame:
     """Members of each node that has two or more, in lists of bounded length, with the node's size.
 
     ``dense`` nodes are large and hold more than half of ``parent``, the members of the node they were branched from.
     Sizes are combined before the shuffle and meet the rows again in a join, which can be split where a
-    node is hot. Lists of large nodes are cut by the members' ids.
+    node is hot. Lists of large nodes are cut by the members' ids. ``most`` rows, if known, are written by no more
+    tasks than they need, as deep levels are many and small.
     """
     sized = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.first("parent").alias("parent"), F.first("used").alias("used"))
     dense = (F.col("size") > LEAF) & (F.col("size") * 2 > F.col("parent"))
@@ -135,7 +137,8 @@ def packets_of(rows: DataFrame, label: str) -> DataFrame:
     packed = joined.groupBy("node", "slot").agg(
         F.first("size").alias("size"), F.first("dense").alias("dense"), F.first("tree").alias("tree"), F.first("used").alias("used"),
         F.array_sort(F.collect_list(F.struct("cid", "n", "sketch"))).alias("members"))
-    return staged(packed.select("node", "tree", "size", "dense", "used", "members"), label)
+    packed = packed.select("node", "tree", "size", "dense", "used", "members")
+    return staged(packed if most is None else packed.coalesce(max(1, -(-most // ROWS_PER_TASK))), label, "zstd")
 
 
 def coordinate(tree: Column) -> Column:
@@ -205,7 +208,7 @@ class Texts:
     def of(self, cids: DataFrame) -> DataFrame:
         wanted = staged(self.classes.join(cids.select("cid").distinct(), "cid"), "wanted")
         found = self.docs.join(F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "key")
-        return staged(found.groupBy("cid").agg(F.first("text").alias("text")), "texts")
+        return staged(found.groupBy("cid").agg(F.first("text").alias("text")), "texts", "zstd")
 
 
 def intersections(left: list[set[bytes]], right: list[set[bytes]], columns: int = 4096) -> np.ndarray:
@@ -274,7 +277,7 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
     with a packet of the others, by sketch and then on the full sets, and gives no more links than connect components.
     """
     members = packets.select("node", F.inline("members")).join(labels.withColumnRenamed("node", "cid"), "cid", "left")
-    members = staged(members.select("node", "cid", "n", "sketch", F.coalesce("label", "cid").alias("own")), "members")
+    members = staged(members.select("node", "cid", "n", "sketch", F.coalesce("label", "cid").alias("own")), "members", "zstd")
     main = members.groupBy("node", "own").agg(F.count(F.lit(1)).alias("rows")).groupBy("node").agg(F.max(F.struct("rows", "own")).alias("main"))
     members = members.join(small_side(staged(main.select("node", F.col("main.own").alias("main")), "main")), "node")
     some = members.filter("own <> main")
@@ -352,18 +355,19 @@ def near_duplicates(
     none = F.lit(None).cast("bigint")
     own = F.call_function("shiftleft", F.lit(1).cast("bigint"), coordinate(F.col("tree"))).alias("used")
     level = classes.select("cid", "n", "sketch", F.posexplode("nodes").alias("tree", "node")).select("*", none.alias("parent"), own)
-    found, dense, reached = None, None, None
+    found, dense, reached, rows_here = None, None, None, None
     for wave in count(1):
         for depth in range(LEVELS):
             if trees_for(depth + 1, percent) > TREES:
                 here = level.select("cid", F.lit(trees_for(depth + 1, percent)).alias("trees"))
                 reached = here if reached is None else reached.unionAll(here)
-            packets = packets_of(level, f"level{depth}")
+            packets = packets_of(level, f"level{depth}", rows_here)
             ends = (F.col("size") <= LEAF) | F.col("dense") | F.lit(depth == LEVELS - 1)
             last, open_nodes = packets.filter(ends), packets.filter(~ends)
             more, crowded = pairs_of(last, percent), last.filter(F.col("size") > LEAF)
             found, dense = (more, crowded) if found is None else (found.unionAll(more), dense.unionAll(crowded))
-            if open_nodes.isEmpty():
+            rows_here = open_nodes.agg(F.sum(F.size("members"))).first()[0]
+            if rows_here is None:
                 break
             placed = open_nodes.withColumn("place", unused_coordinate(F.col("node"), F.col("used")))
             child = F.xxhash64("node", F.substring(F.col("sketch"), F.col("place") + 1, F.lit(1)))
@@ -374,9 +378,11 @@ def near_duplicates(
             break
         reached = staged(reached.groupBy("cid").agg(F.max("trees").alias("trees")), "reached")
         deeper = reached.filter(F.col("trees") > wave * TREES)
-        if deeper.isEmpty():
+        until = F.least(F.col("trees"), F.lit((wave + 1) * TREES))
+        rows_here = deeper.agg(F.sum(until - wave * TREES)).first()[0]
+        if rows_here is None:
             break
-        tree = F.explode(F.sequence(F.lit(wave * TREES), F.least(F.col("trees"), F.lit((wave + 1) * TREES)) - 1))
+        tree = F.explode(F.sequence(F.lit(wave * TREES), until - 1))
         root = F.xxhash64("tree", F.substring(F.col("sketch"), coordinate(F.col("tree")) + 1, F.lit(1)))
         level = classes.join(deeper, "cid").select("cid", "n", "sketch", tree.alias("tree")).select(
             "cid", "n", "sketch", "tree", root.alias("node"), none.alias("parent"), own)

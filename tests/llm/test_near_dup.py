@@ -103,3 +103,27 @@ def test_dense_nodes_are_closed_in_every_tree(documents, monkeypatch):
     rows = [(i, " ".join([*words, f"end{i}"])) for i in range(100)]
     near_dup.near_duplicates(documents(rows)).count()
     assert max(seen) >= 8
+
+
+def test_small_levels_take_few_tasks(documents, monkeypatch):
+    """A level of known size is written by as many tasks as it needs, so many small levels cost little."""
+    files, stage = {}, near_dup.staged
+
+    def counted(df, label, *more):
+        out = stage(df, label, *more)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(near_dup, "staged", counted)
+    monkeypatch.setattr(near_dup, "LEAF", 4)
+    rng = random.Random(5)
+    common = [f"c{i}" for i in range(60)]
+    rows = [(i, " ".join(common + [f"w{rng.randrange(10**6)}" for _ in range(50)])) for i in range(300)]
+    spark = documents([]).sparkSession
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert result(near_dup.near_duplicates(documents(rows))) == brute_force(rows, 2, 80)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert {n for label, n in files.items() if label.startswith("level") and label != "level0"} == {1}
