@@ -270,11 +270,23 @@ def small_side(lookup: DataFrame) -> DataFrame:
     return F.broadcast(lookup) if fits_broadcast(lookup) else lookup
 
 
+def meet_before(node: int, left: list[list[int]], right: list[list[int]]) -> np.ndarray:
+    """Whether each of the one and each of the others share a node that is less than this one."""
+    place = {one: i for i, one in enumerate({one for nodes in left for one in nodes if one < node})}
+    held = [np.zeros((len(part), len(place)), np.float32) for part in (left, right)]
+    for matrix, part in zip(held, (left, right), strict=True):
+        for row, nodes in enumerate(part):
+            matrix[row, [place[one] for one in nodes if one in place]] = 1
+    return held[0] @ held[1].T > 0
+
+
 def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, percent: int) -> DataFrame:
     """Links (x, y) in dense nodes, of members outside the most frequent component and any others.
 
     Lists of such members meet the lists of all members of their node, dealt by node and share. A meeting compares at most a packet of the ones
     with a packet of the others, by sketch and then on the full sets, and gives no more links than connect components.
+    Two members that share several nodes, as in many trees, are compared in the least of them only: they differ in their
+    component, so one of them is outside the most frequent one there too.
     """
     members = packets.select("node", F.inline("members")).join(labels.withColumnRenamed("node", "cid"), "cid", "left")
     members = staged(members.select("node", "cid", "n", "sketch", F.coalesce("label", "cid").alias("own")), "members", "zstd")
@@ -284,7 +296,7 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
     if some.isEmpty():
         return some.select(F.col("cid").alias("x"), F.col("own").alias("y"))
     every = members.join(small_side(staged(some.select("node").distinct(), "nodes")), "node", "left_semi")
-    used = texts.of(every)
+    used = texts.of(every).join(every.groupBy("cid").agg(F.collect_set("node").alias("nodes")), "cid")
 
     def sizes(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy("node").agg(F.ceil(F.count(F.lit(1)) / PACKET).alias(name))
@@ -295,21 +307,21 @@ def left_edges(packets: DataFrame, labels: DataFrame, texts: Texts, size: int, p
 
     def lists(rows: DataFrame, count: str, name: str) -> DataFrame:
         cut = rows.join(used, "cid").join(cuts, "node").withColumn("slot", F.pmod(F.xxhash64("cid"), F.col(count)))
-        listed = F.collect_list(F.struct("cid", "own", "n", "sketch", "text")).alias(name)
+        listed = F.collect_list(F.struct("cid", "own", "n", "sketch", "text", "nodes")).alias(name)
         return cut.groupBy("node", "slot").agg(listed, F.first(shares).alias("shares"))
 
     left = lists(some, "some_lists", "some").select("node", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"), "some")
     right = lists(every, "all_lists", "all").select("node", F.pmod("slot", "shares").alias("share"), "all")
-    met = left.join(right, ["node", "share"]).select("some", "all")
+    met = left.join(right, ["node", "share"]).select("node", "some", "all")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 left, right = batch.column("some")[row].as_py(), batch.column("all")[row].as_py()
-                yield meet(left, right)
+                yield meet(batch.column("node")[row].as_py(), left, right)
 
-    def meet(left: list[dict], right: list[dict]) -> pa.RecordBatch:
-        i, j = (part.ravel() for part in np.indices((len(left), len(right))))
+    def meet(node: int, left: list[dict], right: list[dict]) -> pa.RecordBatch:
+        i, j = np.nonzero(~meet_before(node, *([m["nodes"] for m in part] for part in (left, right))))
         sketches = [np.frombuffer(b"".join(m["sketch"] for m in part), np.uint8).reshape(-1, COORDINATES) for part in (left, right)]
         n = [np.array([m["n"] for m in part]) for part in (left, right)]
         may = np.flatnonzero(agreement(sketches[0][i], sketches[1][j], n[0][i], n[1][j], percent))

@@ -127,3 +127,9 @@ def test_small_levels_take_few_tasks(documents, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert {n for label, n in files.items() if label.startswith("level") and label != "level0"} == {1}
+
+
+def test_members_of_several_dense_nodes_are_compared_once():
+    got = near_dup.meet_before(5, [[5], [3, 5], [-1, 5, 9]], [[5, 9], [3, 5], [-1, 3, 5], []])
+    assert got.tolist() == [[False] * 4, [False, True, True, False], [False, False, True, False]]
+    assert near_dup.meet_before(5, [[5]], []).shape == (1, 0)
