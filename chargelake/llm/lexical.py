@@ -26,14 +26,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, Window, functions as F, types as T
 
 from chargelake.llm.blocks import text_blocks
-from chargelake.staging import staged
+from chargelake.staging import LONG_ROWS, staged
 
 SEGMENT_BYTES = 4 << 20  # text of one segment, or one longer text
 PIECE_BYTES = 1 << 20
 QUERY_BYTES = 4 << 20  # text of one block of queries
+BATCH_BYTES = 16 << 20  # what a task hands to Python at once; a row of the index has some megabytes
 FIRST_READ = 32  # list entries read before the bounds are looked at first; doubled each time
 
 # Fixed values of the ranking, in whole numbers: length share in percent, scale, and the two factors of the saturation.
@@ -47,6 +48,13 @@ _FOLD = bytes(
 )
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have a session hand at most ``BATCH_BYTES``, or one longer row, to Python at once; a lesser limit stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).removesuffix("b")) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 @dataclass(frozen=True)
 class Index:
     """Segments of (ids, terms, sizes, docs, parts), the number of documents and of their terms with repeats."""
@@ -136,7 +144,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     types = (kind, pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array([value], kind) for value, kind in zip(made, types, strict=True)], names=schema.names)
 
-    return Index(staged(rows.mapInArrow(build, schema), "postings"), documents, terms)
+    return Index(staged(rows.mapInArrow(build, schema), "postings", **LONG_ROWS), documents, terms)
 
 
 def document_frequencies(index: Index, terms: Sequence[str]) -> dict[str, int]:

@@ -6,12 +6,16 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from compare import difference, oracle_connection
+from pyspark.sql import functions as F
 
 from chargelake.llm import lexical
 from chargelake.llm.oracles import ORACLES
 from chargelake.llm.queries import op11_impact_search
+from chargelake.staging import LONG_ROWS, staged
 
 SF_DIR = "/root/testdata/sf0.001"
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -120,3 +124,34 @@ def test_only_candidates_are_shuffled(spark, documents, corpus):
     index = lexical.build_index(documents(corpus))
     plan = lexical.search(index, spark.createDataFrame([("a", "w1", 1)], QUERIES))._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInArrow") > plan.index("Exchange hashpartitioning(query")  # below it, before the exchange
+
+
+def test_long_rows_are_stored_and_handed_on_one_by_one(spark):
+    """A row of the index holds megabytes: neither the writer nor a task's batch may gather a hundred of them."""
+    rows = spark.range(12, numPartitions=1).select(F.concat(F.col("id"), F.repeat(F.lit("x"), 3 << 20)).alias("text"))
+    stored = staged(rows, "long", "uncompressed", **LONG_ROWS)
+    (path,) = stored.inputFiles()
+    meta = pq.ParquetFile(path.removeprefix("file:")).metadata
+    assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 7
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_pydict({"rows": [batch.num_rows]}) for batch in batches)
+
+    limit, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    op11_impact_search(spark, SF_DIR)
+    try:
+        assert int(spark.conf.get(limit)) == lexical.BATCH_BYTES
+        held = [row.rows for row in stored.mapInArrow(sizes, "rows bigint").collect()]
+        assert sum(held) == 12 and max(held) <= 7
+        spark.conf.set(limit, "1000")
+        lexical.small_batches(spark)
+        assert spark.conf.get(limit) == "1000"
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_the_index_is_stored_as_long_rows(documents, monkeypatch):
+    seen, stage = [], lexical.staged
+    monkeypatch.setattr(lexical, "staged", lambda df, label, **options: seen.append((label, options)) or stage(df, label, **options))
+    lexical.build_index(documents([(1, "one two"), (2, "two three")]))
+    assert seen == [("postings", LONG_ROWS)]
