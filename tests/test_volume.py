@@ -4,8 +4,10 @@ import glob
 
 from pyspark.sql import functions as F
 
+from chargelake import schemas
 from chargelake.functions import rules
-from chargelake.operators import clean
+from chargelake.operators import clean, flatten
+from chargelake.plans import queries
 from chargelake.sinks.lakehouse import Lakehouse
 from chargelake.staging import staged
 
@@ -37,6 +39,35 @@ def test_many_repeated_rows_are_compared_whole(spark, monkeypatch):
     assert clean.distinct_rows(df).count() == 100
 
 
+def test_rows_are_compared_by_slices(spark, monkeypatch):
+    monkeypatch.setattr(clean, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(clean, "ROWS_COMPARED", 100)
+    labels, stage = [], clean.staged
+    monkeypatch.setattr(clean, "staged", lambda df, label, *more: labels.append(label) or stage(df, label, *more))
+    df = spark.range(350).select(F.when(F.col("id") % 100 > 0, F.col("id") % 100).alias("a"), F.lit("x").alias("b"))
+    assert sorted(map(str, clean.distinct_rows(df).collect())) == sorted(map(str, df.dropDuplicates().collect()))
+    assert labels.count("distinct") == 4
+
+
+def test_items_are_spread_without_a_sort(spark):
+    doc = spark.range(1).select(F.from_json(F.lit('{"license_information": {"license": "L"}}'), schemas.DOCUMENT).alias("d")).select("d.*")
+    plan = plan_of(flatten.flatten_documents(staged(doc, "documents"), rebalance=True))
+    assert "REBALANCE_PARTITIONS" in plan and "RoundRobinPartitioning" not in plan
+
+
+def test_silver_is_stored_once(spark, monkeypatch):
+    stored = []
+    for module in (clean, queries):
+        monkeypatch.setattr(module, "staged", lambda df, label, *more, stage=module.staged: stored.append(label) or stage(df, label, *more))
+    queries._stored_silver(spark, "/root/testdata/sf0.001")
+    assert "silver" not in stored and stored.count("rows") == 1
+
+
+def test_shuffles_go_with_their_statement(spark):
+    queries.QUERIES["count_rows"](spark, "/root/testdata/sf0.001")
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
 def test_terms_are_searched_without_a_regular_expression(spark):
     text = spark.createDataFrame([("ct head",), ("a.b",), ("axb",), (None,)], "t string")
     found = text.select(rules.contains_any(F.col("t"), ("ct", "a.b")).alias("x"))
